@@ -232,13 +232,14 @@ def write_meta(spark, sf):
 
 @check("write_partitioned", """
 SELECT CAST(user_id AS VARCHAR) AS station, ts AS time, value, event_type AS source,
-  CAST(ts AS DATE) AS run_date FROM events""")
+  strftime(ts, '%Y-%m-%d') AS run_date FROM events""")
 def write_partitioned(spark, sf):
     rows = table(spark, sf, "events").select(
         F.col("user_id").cast("string").alias("station"), F.col("ts").alias("time"), "value",
         F.col("event_type").alias("source"), F.to_date("ts").alias("run_date"),
     )
-    return spark.read.parquet(W.write_partitioned(rows, scratch(spark, "parts")))
+    written = spark.read.parquet(W.write_partitioned(rows, scratch(spark, "parts")))
+    return written.withColumn("run_date", F.date_format("run_date", "yyyy-MM-dd"))
 
 
 # --- streams ----------------------------------------------------------------------------------

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gaugeloom.functions.values import nan_to_null
 from gaugeloom.schema import (
@@ -11,7 +12,7 @@ from gaugeloom.schema import (
     VALUE, provider_field,
 )
 
-TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+TIME_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 
 
 def _xml(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -30,9 +31,8 @@ def read_gauge_obs(spark: SparkSession, path: str, product: str | None = None) -
 
     Files lie under `class=<code>/station=<id>/`, so naming a product prunes the folders read.
     """
-    schema = type(GAUGE_OBS_SCHEMA)(list(GAUGE_OBS_SCHEMA.fields))
-    schema = schema.add("class", "int").add(STATION, "string")
-    raw = _xml(spark, path, schema)
+    folders = [T.StructField("class", T.IntegerType()), T.StructField(STATION, T.StringType())]
+    raw = _xml(spark, path, T.StructType([*GAUGE_OBS_SCHEMA.fields, *folders]))
     if product is not None:
         raw = raw.where(F.col("class") == SENSOR_CLASSES[provider_field("CONTRAILS", product)])
     return raw.select(
