@@ -192,7 +192,7 @@ def window_sql(i, start, end):
 
 @check("backfill", P.with_(
     P.obs("every", "user_id", "minute"), *[window_sql(i, *w) for i, w in enumerate(WINDOWS)], select="""
-SELECT station, time, arg_min(value, k) AS value FROM (""" + " UNION ALL ".join(
+SELECT station, time, arg_min(value, (value = -99999.0, k)) AS value FROM (""" + " UNION ALL ".join(
         f"SELECT *, {i} AS k FROM g{i}" for i in range(len(WINDOWS))) + ") GROUP BY 1, 2"))
 def backfill(spark, sf):
     obs = tide.read_tide_obs(spark, land_tide(spark, sf))

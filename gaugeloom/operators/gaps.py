@@ -26,23 +26,34 @@ def with_blocks(
 ) -> DataFrame:
     """Cut each station into time blocks, adding `_block` (start) and `_part`.
 
-    A block with more than `most` rows is cut again into equal time slices; None skips that look
-    at the sizes. `density` may name a cheaper frame to count, such as the rows before
-    de-duplication. Cuts depend only on exact counts, so a recomputed task finds the same ones.
+    A block with more than `most` rows is cut again into slices of whole seconds, so narrow that
+    its densest second times the width stays within `most`; None skips that look at the sizes.
+    Times are unique, so even a slice of one second has at most a million rows. `density` may
+    name a cheaper frame to count, such as the rows before de-duplication. Cuts depend only on
+    exact counts, so a recomputed task finds the same ones.
     """
     block = F.window(TIME, f"{hours} hours")["start"]
     rows = df.where(F.col(STATION).isNotNull()).withColumn("_block", block)
     if most is None:
         return rows.withColumn("_part", F.lit(0))
-    counted = density if density is not None else df
-    counts = counted.groupBy(STATION, block.alias("_block")).agg(F.count("*").alias("_n"))
-    hot = hot_groups(counts, most=most).select(STATION, "_block", "_parts")
+    keys = [STATION, "_block"]
+    counted = (density if density is not None else df).select(STATION, TIME).withColumn("_block", block)
+    hot = hot_groups(counted.groupBy(*keys).agg(F.count("*").alias("_n")), most=most).select(*keys)
+    # At most 50,000 hot blocks in any data, so both tables may be broadcast. Without any, the
+    # adaptive plan drops this whole branch.
+    peaks = (
+        counted.join(F.broadcast(hot), keys, "left_semi")
+        .groupBy(*keys, F.date_trunc("second", TIME).alias("_second"))
+        .agg(F.count("*").alias("_n"))
+        .groupBy(*keys)
+        .agg(F.max("_n").alias("_peak"))
+    )
+    width = F.greatest(F.lit(1), F.floor(F.lit(most) / F.col("_peak"))) * 1_000_000
     into = epoch_us(TIME) - epoch_us("_block")
-    part = F.floor(into * F.col("_parts") / F.lit(hours * 3_600_000_000)).cast("int")
     return (
-        rows.join(F.broadcast(hot), [STATION, "_block"], "left")
-        .withColumn("_part", F.coalesce(part, F.lit(0)))
-        .drop("_parts")
+        rows.join(F.broadcast(peaks), keys, "left")
+        .withColumn("_part", F.coalesce(F.floor(into / width).cast("int"), F.lit(0)))
+        .drop("_peak")
     )
 
 

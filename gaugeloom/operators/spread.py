@@ -38,9 +38,7 @@ def hot_groups(counts: DataFrame, n: str = "_n", most: int = 4_000_000) -> DataF
     """
     total = counts.agg(F.sum(n)).scalar()
     limit = F.greatest(F.lit(most), F.ceil(total / F.lit(MAX_HOT_GROUPS)))
-    return counts.where(F.col(n) > limit).withColumn(
-        "_parts", F.ceil(F.col(n) / F.lit(most)).cast("int")
-    )
+    return counts.where(F.col(n) > limit)
 
 
 def bucket_count(keys: DataFrame, per_bucket: int) -> Column:

@@ -24,7 +24,7 @@ from gaugeloom.operators.runs import (
 from gaugeloom.operators.spread import spread_join
 from gaugeloom.plans.series import harvest_series
 from gaugeloom.schema import (
-    DEFAULT_MINUTES, OWNERS, SEQ, STATION, TIME, VALUE, harvest_product,
+    DEFAULT_MINUTES, FILL_VALUE, OWNERS, SEQ, STATION, TIME, VALUE, harvest_product,
 )
 from gaugeloom.sinks.files import write_long, write_meta
 
@@ -194,11 +194,14 @@ def forecast_nowcast_pair(
 def backfill(windows: list[tuple], harvest: Callable[..., Harvest]) -> DataFrame:
     """Collect each `(start, end)` window and merge; the earlier window's value stays.
 
-    The windows are a short list the caller chose, so they become branches of one plan; each
+    A sentinel is not a value: where the earlier window had none, the later one's counts. The windows are a short list the caller chose, so they become branches of one plan; each
     branch carries its own range filter to the scan.
     """
+    missing = F.col(VALUE) == F.lit(FILL_VALUE)
     parts = [
-        harvest(start, end).data.withColumn(SEQ, F.lit(place))
+        harvest(start, end).data.withColumn(
+            SEQ, F.when(missing, F.lit(place + len(windows))).otherwise(F.lit(place))
+        )
         for place, (start, end) in enumerate(windows)
     ]
     stacked = reduce(lambda a, b: a.unionByName(b), parts)
