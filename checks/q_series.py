@@ -54,7 +54,8 @@ def union_periods(spark, sf):
 @check("interpolate_linear", P.with_(P.obs(unit="minute"), P.dedupe(), P.interpolate(), select="""
 SELECT * FROM filled"""))
 def interpolate_linear(spark, sf):
-    return G.interpolate_linear(clean(spark, sf, unit="minute"))
+    density = observations(spark, sf, unit="minute")
+    return G.interpolate_linear(clean(spark, sf, unit="minute"), density=density)
 
 
 @check("interpolate_linear_limit", P.with_(P.obs(station="user_id"), P.dedupe(), P.interpolate(limit=3), select="""

@@ -30,7 +30,8 @@ def align_stations(
     axis = (axis if axis is not None else columns).select(TIME).distinct()
     stations = (stations if stations is not None else columns).select(STATION).distinct()
     rosters_n = bucket_count(stations, roster_size)
-    roster_of = F.pmod(F.xxhash64(STATION), rosters_n)
+    # Never NULL, so that no null test is pushed into one of two branches that share an exchange.
+    roster_of = F.coalesce(F.pmod(F.xxhash64(STATION), rosters_n), F.lit(0))
 
     rosters = stations.groupBy(roster_of.alias("_roster")).agg(
         F.collect_list(STATION).alias("_members")

@@ -10,17 +10,24 @@ from gaugeloom.operators.spread import spread_join
 from gaugeloom.schema import STATION
 
 
+def named_nodes(nodes: DataFrame) -> DataFrame:
+    """Nodes under the station id that leads their name."""
+    return nodes.select("url", station_token("station_name").alias(STATION), "node_idx")
+
+
 def run_stations(nodes: DataFrame) -> DataFrame:
     """First node of each station id in each run: `(url, station, node_idx)`."""
-    named = nodes.select("url", station_token("station_name").alias(STATION), "node_idx")
-    return named.groupBy("url", STATION).agg(F.min("node_idx").alias("node_idx"))
+    return named_nodes(nodes).groupBy("url", STATION).agg(F.min("node_idx").alias("node_idx"))
 
 
 def match_stations(requested: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Requested stations a run has, with their node: `(url, position, station, node_idx)`."""
-    return spread_join(run_stations(nodes), requested, [STATION], "inner", spread=["url"]).select(
-        "url", "position", STATION, "node_idx"
-    )
+    """Requested stations a run has, with their first node: `(url, position, station, node_idx)`.
+
+    The request is joined before the first node is picked, so nodes nobody asked for do not
+    reach the aggregate.
+    """
+    wanted = spread_join(named_nodes(nodes), requested, [STATION], "inner", spread=["url"])
+    return wanted.groupBy("url", "position", STATION).agg(F.min("node_idx").alias("node_idx"))
 
 
 def unmatched_stations(requested: DataFrame, nodes: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeloom.functions.runs import is_advisory, parse_run_url, run_label, run_start
+from gaugeloom.operators.spread import spread_join
 from gaugeloom.schema import STATION, TIME
 
 
@@ -66,14 +67,17 @@ def first_nonempty(runs: DataFrame, batch: list[str] | None = None) -> DataFrame
 
 
 def first_valid_meta(pairs: DataFrame, nodes: DataFrame, runs: DataFrame) -> DataFrame:
-    """Node position and owner from the first run that has the node.
+    """Node position and owner of each pair, from the first run that has the node.
 
-    An aggregate rather than a ranked window, so only one row per station and task is shuffled.
+    Nodes are cut down to the pairs first. The pick is an aggregate rather than a ranked window,
+    so only one row per node and task is shuffled.
     """
-    placed = nodes.join(runs.select("url", F.col("position").alias("_run")), "url")
-    picked = placed.groupBy("node_idx").agg(
-        F.min_by(F.struct("url", "x", "y", "source"), "_run").alias("_first")
+    found = spread_join(nodes, pairs, ["node_idx"], "inner", spread=["url"])
+    placed = spread_join(
+        found, runs.select("url", F.col("position").alias("_run")), ["url"], "inner",
+        spread=["node_idx"],
     )
-    return pairs.join(picked, "node_idx").select(
+    first = F.min_by(F.struct("url", "x", "y", "source"), "_run").alias("_first")
+    return placed.groupBy(STATION, "node_idx").agg(first).select(
         STATION, "node_idx", "_first.url", "_first.x", "_first.y", "_first.source"
     )

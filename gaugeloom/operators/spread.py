@@ -9,6 +9,13 @@ WAYS = 16
 MAX_HOT_GROUPS = 50_000
 
 
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether Spark's own estimate puts a table under the session's broadcast limit."""
+    conf = df.sparkSession._jsparkSession.sessionState().conf()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= conf.autoBroadcastJoinThreshold()
+
+
 def spread_join(
     rows: DataFrame,
     lookup: DataFrame,
@@ -17,28 +24,31 @@ def spread_join(
     spread: list[str] | None = None,
     ways: int = WAYS,
 ) -> DataFrame:
-    """Equi-join a large row set to a table with few rows per key.
+    """Equi-join a large row set to a table with few rows per key, whatever one key holds.
 
-    Every key is cut into `ways` salted keys on the large side (by the hash of the `spread`
-    columns) and the lookup is repeated once per salt, so a hot key is shared by `ways` tasks.
-    No hint is given: where the lookup is small enough Spark broadcasts it by its own size check.
+    A lookup under the broadcast limit is joined where the rows are. Beyond it, every key is cut
+    into `ways` salted keys on the large side (by the hash of the `spread` columns) and the
+    lookup is repeated once per salt, so a hot key is shared by `ways` tasks.
     """
+    if fits_broadcast(lookup):
+        return rows.join(F.broadcast(lookup), on, how)
     spread = spread or [c for c in rows.columns if c not in on] or on
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(ways)))
-    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(ways - 1)).cast("array<bigint>")))
-    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+    salt = F.pmod(F.xxhash64(*spread), F.lit(ways)).cast("int")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(ways - 1)))
+    return (
+        rows.withColumn("_salt", salt)
+        .join(lookup.withColumn("_salt", salts), [*on, "_salt"], how)
+        .drop("_salt")
+    )
 
 
 def hot_groups(counts: DataFrame, n: str = "_n", most: int = 4_000_000) -> DataFrame:
     """The groups too large for one task, from a table of exact group sizes.
 
-    A group counts as hot above `most` rows or above 1/50,000 of all rows, whichever is more, so
-    there can never be more than 50,000 of them whatever the size of the data. That bound is what
-    lets the callers broadcast the result.
+    Never more than the 50,000 largest, whatever the size of the data; that bound is what lets
+    the callers broadcast the result. A group left out of it holds less than 1/50,000 of all rows.
     """
-    total = counts.agg(F.sum(n)).scalar()
-    limit = F.greatest(F.lit(most), F.ceil(total / F.lit(MAX_HOT_GROUPS)))
-    return counts.where(F.col(n) > limit)
+    return counts.where(F.col(n) > most).orderBy(F.desc(n)).limit(MAX_HOT_GROUPS)
 
 
 def bucket_count(keys: DataFrame, per_bucket: int) -> Column:

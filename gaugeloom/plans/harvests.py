@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +14,7 @@ from gaugeloom.functions.times import time_slice
 from gaugeloom.functions.values import convert_units, mask_below
 from gaugeloom.operators.dedupe import dedupe_keep_first
 from gaugeloom.operators.matching import (
-    distinct_pairs, match_stations, node_pairs, present_runs, unmatched_stations,
+    distinct_pairs, match_stations, node_pairs, unmatched_stations,
 )
 from gaugeloom.operators.metadata import resolve_site, standard_meta
 from gaugeloom.operators.quality import excluded_stations
@@ -26,19 +26,35 @@ from gaugeloom.plans.series import harvest_series
 from gaugeloom.schema import (
     DEFAULT_MINUTES, FILL_VALUE, OWNERS, SEQ, STATION, TIME, VALUE, harvest_product,
 )
+from gaugeloom.session import stage
 from gaugeloom.sinks.files import write_long, write_meta
 
 
 @dataclass
 class Harvest:
-    """The lazy results of one run."""
+    """One run. `rows` are its observations, not yet repaired; the rest is made when asked for."""
 
     source: str
     product: str
     requested: DataFrame
-    data: DataFrame
+    rows: DataFrame
     meta: DataFrame
-    excluded: DataFrame
+    minutes: int | None = DEFAULT_MINUTES
+
+    @cached_property
+    def staged(self) -> DataFrame:
+        """The rows as a table in the shared folder: landed text is parsed and joined once."""
+        return stage(self.rows.select(STATION, TIME, VALUE, SEQ), self.source.lower())
+
+    @cached_property
+    def data(self) -> DataFrame:
+        """Repaired, resampled, aligned and filled series."""
+        return harvest_series(self.staged, self.minutes)
+
+    @cached_property
+    def excluded(self) -> DataFrame:
+        """Requested stations without a usable series, and why."""
+        return excluded_stations(self.requested, self.staged)
 
     def write(self, root: str, tag: str, single_file: bool = False) -> tuple[str, str]:
         """Write both files under a `{group}_{time}` style tag."""
@@ -72,10 +88,7 @@ def tide_harvest(
     known = meta.join(
         requested.select(F.col(STATION).alias("STATION")).distinct(), "STATION", "left_semi"
     )
-    return Harvest(
-        "NOAA", product, requested, harvest_series(sliced, minutes), known,
-        excluded_stations(requested, sliced),
-    )
+    return Harvest("NOAA", product, requested, sliced, known, minutes)
 
 
 def gauge_harvest(
@@ -95,16 +108,14 @@ def gauge_harvest(
     located = resolve_site(sensors, sites, sensor).join(
         requested.select(STATION).distinct(), STATION, "left_semi"
     )
-    return Harvest(
-        "CONTRAILS", product, requested, harvest_series(metric, minutes),
-        standard_meta(located, OWNERS["CONTRAILS"]), excluded_stations(requested, metric),
-    )
+    meta = standard_meta(located, OWNERS["CONTRAILS"])
+    return Harvest("CONTRAILS", product, requested, metric, meta, minutes)
 
 
 @dataclass
 class ModelHarvest(Harvest):
-    casts: DataFrame
-    unmatched: DataFrame
+    casts: DataFrame | None = None
+    unmatched: DataFrame | None = None
 
 
 def model_harvest(
@@ -117,45 +128,47 @@ def model_harvest(
     """Ocean model: all runs of a batch in one scan, native time steps.
 
     Stations are found by name in the runs (`requested`), or by the curated node table
-    (`station_nodes`). Repeated times of overlapping runs keep the earlier run's value. A batch
-    that mixes forecasts and nowcasts fails when the result is read.
+    (`station_nodes`). Runs without landed data add nothing. Repeated times of overlapping runs
+    keep the earlier run's value. A batch that mixes forecasts and nowcasts fails when the result
+    is read.
+
+    The `(station, node)` pairs are staged first: they are few, and with their true size known
+    Spark cuts the model output down to them in the scan's own tasks.
     """
-    present = present_runs(runs.where(F.col("url") != ""), series)
+    listed = runs.where(F.col("url") != "")
     if station_nodes is not None:
-        pairs = node_pairs(station_nodes)
+        pairs = stage(node_pairs(station_nodes), "pairs")
         requested = station_nodes.select(
             (F.col("serial_nr") - 1).alias("position"), F.col("stationid").alias(STATION)
         )
         unmatched = unmatched_nodes(pairs, series)
     else:
-        landed = nodes.join(present.select("url"), "url", "left_semi")
-        pairs = distinct_pairs(match_stations(requested, landed)).drop("position")
+        landed = spread_join(nodes, listed.select("url"), ["url"], "left_semi", spread=["node_idx"])
+        pairs = stage(distinct_pairs(match_stations(requested, landed)).drop("position"), "pairs")
         unmatched = unmatched_stations(requested, landed)
 
-    casts = run_cast(series, present)
+    casts = run_cast(series, listed)
     cast = assert_single_cast(casts.withColumn("batch", F.lit("of this request"))).select("cast").scalar()
 
+    wanted = spread_join(series, pairs, ["node_idx"], "inner", spread=["url", TIME])
     placed = spread_join(
-        series, present.select("url", F.col("position").alias("_run")), ["url"], "inner",
+        wanted, listed.select("url", F.col("position").alias("_run")), ["url"], "inner",
         spread=["node_idx", TIME],
     )
-    rows = spread_join(placed, pairs, ["node_idx"], "inner", spread=["url", TIME]).select(
+    rows = placed.where(cast.isNotNull()).select(
         STATION, TIME, mask_below("zeta").alias(VALUE),
         (F.col("_run").cast("bigint") * F.lit(1 << 32) + F.col("node_idx")).alias(SEQ),
-    ).where(cast.isNotNull())
+    )
 
     name = with_run_parts(first_nonempty(runs)).select(grid_cast_name("grid", "ensemble")).scalar()
-    found = first_valid_meta(pairs, nodes, present)
+    found = first_valid_meta(pairs, nodes, listed)
     meta = standard_meta(
         found.select(
             STATION, F.col("y").alias("LAT"), F.col("x").alias("LON"), name.alias("NAME"), "source"
         ),
         F.col("source"),
     )
-    return ModelHarvest(
-        "ASGS", "water_level", requested, harvest_series(rows, 0), meta,
-        excluded_stations(requested, rows), casts, unmatched,
-    )
+    return ModelHarvest("ASGS", "water_level", requested, rows, meta, 0, casts, unmatched)
 
 
 def unmatched_nodes(pairs: DataFrame, series: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     # Naive timestamps pass through TIMESTAMP for arithmetic; UTC keeps that lossless.
@@ -53,3 +53,14 @@ def scratch(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="gaugeloom-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write a result that several later steps read to the shared folder, and read it back.
+
+    The work above it is then done once, later steps read only the columns they need, and Spark
+    knows the true size when it chooses a join.
+    """
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
