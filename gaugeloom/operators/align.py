@@ -36,9 +36,12 @@ def align_stations(
     rosters = stations.groupBy(roster_of.alias("_roster")).agg(
         F.collect_list(STATION).alias("_members")
     )
+    # A skeleton row is small but unfolds to a whole roster; the fixed number of partitions keeps
+    # the adaptive plan from packing them by their size before that.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     skeleton = axis.withColumn(
         "_roster", F.explode(F.sequence(F.lit(0).cast("bigint"), rosters_n - F.lit(1)))
-    )
+    ).repartition(tasks, TIME, "_roster")
     present = columns.groupBy(TIME, roster_of.alias("_roster")).agg(
         F.collect_list(F.struct(STATION, VALUE)).alias("_present")
     )

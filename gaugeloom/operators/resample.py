@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeloom.functions.times import epoch_us, from_epoch_us, truncate
-from gaugeloom.operators.gaps import linear
-from gaugeloom.operators.spread import spread_join
-from gaugeloom.schema import DEFAULT_MINUTES, STATION, TIME, VALUE
+from gaugeloom.operators.dedupe import dedupe_keep_first
+from gaugeloom.operators.gaps import BLOCK_ROWS, linear
+from gaugeloom.operators.spread import hot_groups, spread_join
+from gaugeloom.schema import DEFAULT_MINUTES, SEQ, STATION, TIME, VALUE
 
 DAY_MINUTES = 1440
 
@@ -71,18 +72,14 @@ def dense_bins(df: DataFrame, minutes: int = DEFAULT_MINUTES) -> DataFrame:
     )
 
 
-def repair_resample(df: DataFrame, minutes: int = DEFAULT_MINUTES) -> DataFrame:
-    """One-sample gap repair followed by first-per-bin, without a window over raw rows.
+def bin_heads(binned: DataFrame) -> DataFrame:
+    """What gap repair needs to know of each bin: its first, last and first valid row.
 
-    With a limit of one sample only the first row of a bin can turn a bin's answer: if it is
-    NULL it is repaired from the last row of the bin before and the next valid point, and any
-    later NULL of the bin either follows a valid row (which then is the answer) or a NULL (and
-    stays NULL). So six mergeable aggregates per bin carry everything, and the neighbours are
-    looked up among bins. Occupied bins only; value NULL where a bin has no valid point.
+    Six mergeable aggregates on rows that carry `bin`. Times must be unique per station.
     """
     v, t = F.col(VALUE), F.col(TIME)
     valid_t = F.when(v.isNotNull(), t)
-    bins = bin_origin(df, minutes).groupBy(STATION, "bin").agg(
+    return binned.groupBy(STATION, "bin").agg(
         F.min(t).alias("head_t"),
         F.min_by(v, t).alias("head_v"),
         F.max(t).alias("tail_t"),
@@ -90,8 +87,18 @@ def repair_resample(df: DataFrame, minutes: int = DEFAULT_MINUTES) -> DataFrame:
         F.min(valid_t).alias("valid_t"),
         F.min_by(v, valid_t).alias("valid_v"),
     )
+
+
+def repair_bins(heads: DataFrame) -> DataFrame:
+    """First value of each bin after one-sample gap repair, from `bin_heads`.
+
+    With a limit of one sample only the first row of a bin can turn the bin's answer: if it is
+    NULL it is repaired from the last row of the bin before and the next valid point, and any
+    later NULL of the bin either follows a valid row (which then is the answer) or a NULL (and
+    stays NULL). So the neighbours are looked up among bins, and no window sees raw rows.
+    """
     along = Window.partitionBy(STATION).orderBy("bin")
-    near = bins.select(
+    near = heads.select(
         STATION, "bin", "head_t", "head_v", "valid_v",
         F.lag("tail_t").over(along).alias("_pt"),
         F.lag("tail_v").over(along).alias("_p"),
@@ -110,10 +117,49 @@ def repair_resample(df: DataFrame, minutes: int = DEFAULT_MINUTES) -> DataFrame:
     return near.select(STATION, F.col("bin").alias(TIME), value.alias(VALUE))
 
 
-def station_spans(df: DataFrame, minutes: int) -> DataFrame:
-    """First and last bin of each station, from two columns of the scan."""
+def repair_resample(df: DataFrame, minutes: int = DEFAULT_MINUTES) -> DataFrame:
+    """One-sample gap repair followed by first-per-bin, on rows with unique times.
+
+    Occupied bins only; the value is NULL where a bin has no valid point. Bins are summed up
+    before the shuffle, so raw rows do not travel.
+    """
+    return repair_bins(bin_heads(bin_origin(df, minutes)))
+
+
+def bin_counts(df: DataFrame, minutes: int) -> DataFrame:
+    """Rows per occupied bin, from two columns of the scan."""
     binned = bin_origin(df.select(STATION, TIME), minutes)
-    return binned.groupBy(STATION).agg(F.min("bin").alias("lo"), F.max("bin").alias("hi"))
+    return binned.groupBy(STATION, "bin").agg(F.count("*").alias("_n"))
+
+
+def first_heads(
+    obs: DataFrame, counts: DataFrame, minutes: int, most: int = BLOCK_ROWS
+) -> DataFrame:
+    """`bin_heads` of rows that may repeat times; the first by `seq` counts.
+
+    Rows are shuffled once, by bin: a bin's copies and its summary are then worked out in place.
+    Bins with more than `most` rows (a hot station, or one row copied without end) do not take
+    that way: their copies collapse before a shuffle by time, and their summary is merged from
+    partial ones. There are at most 50,000 of them, so the list can be broadcast; without any,
+    the adaptive plan drops that branch.
+    """
+    keys = [STATION, "bin"]
+    hot = F.broadcast(hot_groups(counts, most=most).select(*keys))
+    binned = bin_origin(obs.select(STATION, TIME, VALUE, SEQ), minutes)
+    calm = binned.join(hot, keys, "left_anti").repartition(*keys)
+    busy = binned.join(hot, keys, "left_semi")
+    times = [*keys, TIME]
+    return bin_heads(dedupe_keep_first(calm, times)).unionByName(
+        bin_heads(dedupe_keep_first(busy, times))
+    )
+
+
+def station_spans(counts: DataFrame) -> DataFrame:
+    """First and last occupied bin of each station, from `bin_counts`."""
+    # The test keeps the count in the plan, so every reader of the counts shares one exchange.
+    return counts.where(F.col("_n") > 0).groupBy(STATION).agg(
+        F.min("bin").alias("lo"), F.max("bin").alias("hi")
+    )
 
 
 def bin_axis(spans: DataFrame, minutes: int) -> DataFrame:

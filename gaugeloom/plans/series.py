@@ -8,24 +8,28 @@ from pyspark.sql import functions as F
 from gaugeloom.functions.values import fill_missing
 from gaugeloom.operators.align import align_stations
 from gaugeloom.operators.dedupe import dedupe_keep_first
-from gaugeloom.operators.gaps import interpolate_linear
-from gaugeloom.operators.resample import bin_axis, repair_resample, station_spans
+from gaugeloom.operators.gaps import BLOCK_ROWS, interpolate_linear
+from gaugeloom.operators.resample import (
+    bin_axis, bin_counts, first_heads, repair_bins, repair_resample, station_spans,
+)
 from gaugeloom.schema import DEFAULT_MINUTES, FILL_VALUE, SEQ, STATION, TIME, VALUE
 
 
-def clean_series(
-    obs: DataFrame, minutes: int | None = DEFAULT_MINUTES, unique: bool = False
-) -> DataFrame:
-    """De-duplicated, repaired and resampled, still sparse: occupied bins (or raw times) only.
+def native_series(obs: DataFrame, unique: bool = False) -> DataFrame:
+    """De-duplicated and repaired rows at their own times."""
+    if unique:
+        return interpolate_linear(obs)
+    rows = dedupe_keep_first(obs.select(STATION, TIME, VALUE, SEQ))
+    return interpolate_linear(rows, density=obs)
 
-    `unique` says that no station repeats a time, which saves the shuffle of raw rows.
-    """
-    rows = obs.select(STATION, TIME, VALUE) if unique else dedupe_keep_first(
-        obs.select(STATION, TIME, VALUE, SEQ)
-    ).drop(SEQ)
-    if minutes == 0:
-        return interpolate_linear(rows, density=obs)
-    return repair_resample(rows, minutes or DEFAULT_MINUTES)
+
+def regular_series(
+    obs: DataFrame, counts: DataFrame, minutes: int, unique: bool = False, most: int = BLOCK_ROWS
+) -> DataFrame:
+    """De-duplicated, repaired and resampled; occupied bins only."""
+    if unique:
+        return repair_resample(obs, minutes)
+    return repair_bins(first_heads(obs, counts, minutes, most))
 
 
 def harvest_series(
@@ -33,21 +37,26 @@ def harvest_series(
     minutes: int | None = DEFAULT_MINUTES,
     fill: float = FILL_VALUE,
     unique: bool = False,
+    most: int = BLOCK_ROWS,
 ) -> DataFrame:
     """`(station, time, value)` with a row for every station at every time of the common axis.
 
     Order of work: first of repeated times, one-sample gap repair, first value per bin, common
-    axis, sentinel for what is missing. `minutes=0` keeps the native times. The axis needs only
-    the first and last bin of each station, from two columns of the scan.
+    axis, sentinel for what is missing. `minutes=0` keeps the native times. `unique` says that no
+    station repeats a time, which saves the shuffle of raw rows. The axis and the sizes of bins
+    come from one count per bin, over two columns of the scan.
     """
-    sparse = clean_series(obs, minutes, unique)
     if minutes == 0:
-        aligned = align_stations(sparse, axis=obs, stations=obs)
+        aligned = align_stations(native_series(obs, unique), axis=obs, stations=obs)
     else:
-        spans = station_spans(obs, minutes or DEFAULT_MINUTES)
+        width = minutes or DEFAULT_MINUTES
+        counts = bin_counts(obs, width)
+        spans = station_spans(counts)
         # The comparison keeps both bounds in the plan, so axis and roster share one exchange.
         roster = spans.where(F.col("lo") <= F.col("hi"))
         aligned = align_stations(
-            sparse, axis=bin_axis(spans, minutes or DEFAULT_MINUTES), stations=roster
+            regular_series(obs, counts, width, unique, most),
+            axis=bin_axis(spans, width),
+            stations=roster,
         )
     return aligned.withColumn(VALUE, fill_missing(VALUE, fill))

@@ -16,7 +16,7 @@ from gaugeloom.operators.dedupe import (
 )
 from gaugeloom.operators.gaps import gap_runs, interpolate_linear
 from gaugeloom.operators.resample import bin_origin, dense_bins, repair_resample, resample_first
-from gaugeloom.plans.series import clean_series, harvest_series
+from gaugeloom.plans.series import harvest_series
 from helpers import OBS, at, binned, by_key, first_of_times, obs_frame, recipe, repaired
 
 BURSTY = st.lists(
@@ -118,7 +118,19 @@ def test_fused_repair_equals_repair_then_resample(spark, raw):
 
 def test_unique_flag_gives_the_same_answer(spark):
     df = obs_frame(spark, [("A", 6 * i, None if i % 3 == 0 else float(i)) for i in range(50)])
-    assert by_key(clean_series(df, unique=True)) == by_key(clean_series(df))
+    for minutes in (0, 15):
+        assert by_key(harvest_series(df, minutes, unique=True)) == by_key(harvest_series(df, minutes))
+
+
+@pytest.mark.parametrize("most", [1, 4, 40])
+def test_hot_bins_take_the_other_way(spark, most):
+    # One row copied over and over, and one station with most of the rows.
+    rng = random.Random(most)
+    raw = [("copy", 5, None)] + [("copy", 5, 1.0)] * 60 + [("copy", 22, 2.0)]
+    raw += [("hot", rng.randrange(40), rng.choice([None, float(i)])) for i in range(90)]
+    raw += [("calm", 33, 4.0)]
+    rows = [(s, at(m), v, i) for i, (s, m, v) in enumerate(raw)]
+    assert by_key(harvest_series(obs_frame(spark, raw), most=most)) == recipe(rows)
 
 
 def test_empty_bins_are_present(spark):
