@@ -16,6 +16,7 @@ from gaugeloom.operators.periods import (
     cycles, daily_periods, gauge_requests, harvest_manifest, overlapping_windows, range_bucket_join,
     sliding_windows,
 )
+from gaugeloom.operators import products
 from gaugeloom.operators.quality import row_cap_check
 from gaugeloom.operators.runs import with_run_parts
 
@@ -23,6 +24,16 @@ AS_OF = "2024-01-25 12:00:00"
 
 
 @check("select_product", """
+SELECT CAST(user_id AS VARCHAR) AS station, ts AS time, value / 2 AS value FROM events""")
+def select_product(spark, sf):
+    answers = table(spark, sf, "events").select(
+        F.col("user_id").cast("string").alias("station"), F.col("ts").alias("date_time"),
+        F.col("value").alias("water_level"), (F.col("value") / 2).alias("predicted_wl"),
+    )
+    return products.select_product(answers, "NOAA", "predictions", time="date_time")
+
+
+@check("product_registry", """
 WITH products AS (SELECT * FROM (VALUES
   ('NOAA', 'water_level', 'water_level', NULL), ('NOAA', 'predictions', 'predicted_wl', NULL),
   ('NOAA', 'air_pressure', 'air_press', NULL), ('NOAA', 'hourly_height', 'water_level', NULL),
@@ -34,7 +45,7 @@ asked AS (SELECT event_id, CASE event_type WHEN 'signup' THEN 'predictions' WHEN
   FROM events)
 SELECT event_id, product, source, provider_column, coalesce(class_code, -1) AS class_code
 FROM asked JOIN products USING (product)""")
-def select_product(spark, sf):
+def product_registry(spark, sf):
     asked = table(spark, sf, "events").select(
         "event_id",
         F.when(F.col("event_type") == "signup", "predictions")
@@ -43,8 +54,7 @@ def select_product(spark, sf):
         .when(F.col("event_type") == "error", "river_water_level")
         .otherwise("sea_ice").alias("product"),
     )
-    # A dozen rows, fixed in the code: safe to broadcast.
-    return asked.join(F.broadcast(schema.product_table(spark)), "product").select(
+    return products.with_provider_column(asked).select(
         "event_id", "product", "source", "provider_column",
         F.coalesce("class_code", F.lit(-1)).alias("class_code"),
     )

@@ -46,6 +46,7 @@ def harvest_series(
     station repeats a time, which saves the shuffle of raw rows. The axis and the sizes of bins
     come from one count per bin, over two columns of the scan.
     """
+    obs = obs.where(F.col(STATION).isNotNull() & F.col(TIME).isNotNull())
     if minutes == 0:
         aligned = align_stations(native_series(obs, unique), axis=obs, stations=obs)
     else:

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugeloom.functions.values import nan_to_null
+from gaugeloom.operators.products import select_sensor_class
 from gaugeloom.schema import (
-    GAUGE_OBS_SCHEMA, GAUGE_SENSOR_SCHEMA, GAUGE_SITE_SCHEMA, SENSOR_CLASSES, SEQ, STATION, TIME,
-    VALUE, provider_field,
+    GAUGE_OBS_SCHEMA, GAUGE_SENSOR_SCHEMA, GAUGE_SITE_SCHEMA, SEQ, STATION, TIME, VALUE,
 )
 
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
@@ -34,7 +34,7 @@ def read_gauge_obs(spark: SparkSession, path: str, product: str | None = None) -
     folders = [T.StructField("class", T.IntegerType()), T.StructField(STATION, T.StringType())]
     raw = _xml(spark, path, T.StructType([*GAUGE_OBS_SCHEMA.fields, *folders]))
     if product is not None:
-        raw = raw.where(F.col("class") == SENSOR_CLASSES[provider_field("CONTRAILS", product)])
+        raw = select_sensor_class(raw, product)
     return raw.select(
         STATION,
         "class",

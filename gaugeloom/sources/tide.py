@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeloom.functions.values import empty_to_null, nan_to_null
+from gaugeloom.functions.values import empty_to_null
 from gaugeloom.operators.metadata import standard_meta
-from gaugeloom.schema import (
-    OWNERS, SEQ, STATION, TIDE_META_SCHEMA, TIDE_OBS_SCHEMA, TIME, VALUE, provider_field,
-)
+from gaugeloom.operators.products import product_value
+from gaugeloom.schema import OWNERS, SEQ, STATION, TIDE_META_SCHEMA, TIDE_OBS_SCHEMA, TIME
 
 
 def read_tide_obs(
@@ -19,16 +18,12 @@ def read_tide_obs(
 
     `seq` is the row's place in the provider's answer where the landed files carry it, else 0.
     """
-    field = provider_field("NOAA", product)
     reader = spark.read.schema(TIDE_OBS_SCHEMA)
     if fmt == "csv":
         reader = reader.option("header", True)
-    return reader.format(fmt).load(path).select(
-        STATION,
-        F.col("date_time").alias(TIME),
-        nan_to_null(F.col(field)).alias(VALUE),
-        F.coalesce(SEQ, F.lit(0).cast("bigint")).alias(SEQ),
-    )
+    rows = reader.format(fmt).load(path)
+    seq = F.coalesce(SEQ, F.lit(0).cast("bigint")).alias(SEQ)
+    return rows.select(STATION, F.col("date_time").alias(TIME), product_value("NOAA", product), seq)
 
 
 def read_tide_meta(spark: SparkSession, path: str) -> DataFrame:
