@@ -50,9 +50,10 @@ def with_blocks(
     )
     width = F.greatest(F.lit(1), F.floor(F.lit(most) / F.col("_peak"))) * 1_000_000
     into = epoch_us(TIME) - epoch_us("_block")
+    part = F.when(F.col("_peak").isNull(), 0).otherwise(F.floor(into / width).cast("int"))
     return (
         rows.join(F.broadcast(peaks), keys, "left")
-        .withColumn("_part", F.coalesce(F.floor(into / width).cast("int"), F.lit(0)))
+        .withColumn("_part", F.coalesce(part, F.lit(0)))
         .drop("_peak")
     )
 

@@ -69,6 +69,16 @@ def test_hot_blocks_are_cut_by_count(spark):
     assert [r["_part"] for r in parts if r["station"] == "cold"] == [0]
 
 
+def test_ordinary_blocks_stay_whole(spark):
+    from gaugeloom.operators.gaps import with_blocks
+
+    calm = [("calm", 6 * i, float(i)) for i in range(200)]
+    for rows in (calm, calm + [("hot", i / 60, 1.0) for i in range(300)]):
+        parts = with_blocks(obs_frame(spark, rows), most=100).where("station = 'calm'")
+        assert {r["_part"] for r in parts.collect()} == {0}
+        assert parts.select("_block").distinct().count() == 4
+
+
 @given(BURSTY, st.sampled_from([1, 2, 3]), st.sampled_from([3, None]))
 @FEW
 def test_interpolation_matches_plain_python(spark, raw, limit, most):
