@@ -10,7 +10,6 @@ from checks.standins import (
     customer_meta, model_nodes, model_series, observations, runs, sensors, sites, table,
     user_request,
 )
-from gaugeloom.operators.dedupe import dedupe_keep_first
 from gaugeloom.plans.series import harvest_series
 from gaugeloom.schema import META_KEYS, STATION_NODE_TYPES
 from gaugeloom.session import scratch
@@ -152,9 +151,9 @@ def land_xml(spark, rows, name) -> str:
 
 @check("read_gauge_obs", """
 SELECT event_type AS station, CASE WHEN value >= 50 THEN 20 ELSE 94 END AS class, ts AS time,
-  CASE WHEN value >= 20 THEN value END AS value, CAST(0 AS BIGINT) AS seq FROM events""")
+  CASE WHEN value >= 20 THEN value END AS value FROM events""")
 def read_gauge_obs(spark, sf):
-    return gauge.read_gauge_obs(spark, land_gauge(spark, sf))
+    return gauge.read_gauge_obs(spark, land_gauge(spark, sf)).drop("seq")
 
 
 @check("read_gauge_sensor_meta", P.with_(P.SENSORS, select="SELECT * FROM sensors"))

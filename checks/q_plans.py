@@ -8,7 +8,9 @@ from checks import pieces as P
 from checks.q_files import land_gauge, land_tide, land_tide_meta, land_xml
 from checks.q_runs import MATCHED, part_nodes
 from checks.registry import check
-from checks.standins import model_nodes, model_series, requested, runs, table, user_request
+from checks.standins import (
+    model_nodes, model_series, observations, requested, runs, table, user_request,
+)
 from gaugeloom.plans import harvests as H
 from gaugeloom.sources import gauge, tide
 
@@ -112,6 +114,30 @@ def gauge_harvest_meta(spark, sf):
     return gauge_run(spark, sf, "river_water_level").meta
 
 
+@check("gauge_plan", """
+WITH days AS (SELECT unnest(generate_series(TIMESTAMP '2024-01-05', TIMESTAMP '2024-01-12', INTERVAL 1 DAY)) AS day),
+periods AS (SELECT greatest(day, TIMESTAMP '2024-01-05 03:00:00') AS period_start,
+  least(day + INTERVAL 86399 SECOND, TIMESTAMP '2024-01-12 21:00:00') AS period_end FROM days)
+SELECT CAST(c_custkey AS INTEGER) AS position, CAST(c_custkey AS VARCHAR) AS station, period_start, period_end,
+  'method=GetSensorData&class=94&site_id=' || c_custkey || '&tz=gmt&data_start='
+  || replace(url_encode(strftime(period_start, '%Y-%m-%d %H:%M:%S')), '%20', '+') || '&data_end='
+  || replace(url_encode(strftime(period_end, '%Y-%m-%d %H:%M:%S')), '%20', '+') AS query
+FROM customer CROSS JOIN periods""")
+def gauge_plan(spark, sf):
+    return H.gauge_plan(user_request(spark, sf), START, END, "coastal_water_level")
+
+
+@check("capped_requests", """
+SELECT CAST(user_id AS VARCHAR) AS station, greatest(date_trunc('day', ts), TIMESTAMP '2024-01-05 03:00:00') AS period_start,
+  least(date_trunc('day', ts) + INTERVAL 86399 SECOND, TIMESTAMP '2024-01-12 21:00:00') AS period_end,
+  count(*) AS rows, count(*) >= 4 AS at_cap
+FROM events WHERE ts BETWEEN TIMESTAMP '2024-01-05 03:00:00' AND TIMESTAMP '2024-01-12 21:00:00'
+  AND ts <= date_trunc('day', ts) + INTERVAL 86399 SECOND GROUP BY 1, 2, 3""")
+def capped_requests(spark, sf):
+    plan = H.gauge_plan(user_request(spark, sf), START, END)
+    return H.capped_requests(observations(spark, sf, "user_id"), plan, cap=4)
+
+
 # --- ocean model ------------------------------------------------------------------------------
 
 SHIFT = 10  # years by which the run starts precede the series, so that the batch is all forecast

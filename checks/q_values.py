@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks import pieces as P
 from checks.registry import check
-from checks.standins import customer_meta, observations, requested, runs, table, user_ranges
+from checks.standins import customer_meta, observations, runs, table, user_ranges
 from gaugeloom import schema
 from gaugeloom.functions import runs as R
 from gaugeloom.functions import times as T

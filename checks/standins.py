@@ -8,14 +8,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gaugeloom.session import prepare
 
 BASE = "https://data.example/dodsC"
 
 
+SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return prepare(spark).read.parquet(f"{sf}/{name}.parquet")
+    """A given table; its schema is looked up once."""
+    path = f"{sf}/{name}.parquet"
+    if path not in SCHEMAS:
+        SCHEMAS[path] = prepare(spark).read.parquet(path).schema
+    return prepare(spark).read.schema(SCHEMAS[path]).parquet(path)
 
 
 def observations(spark, sf, station="event_type", unit=None) -> DataFrame:

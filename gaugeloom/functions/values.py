@@ -26,6 +26,11 @@ def convert_units(c: Column | str, factor: float = FEET_TO_METRES) -> Column:
     return _col(c) * F.lit(factor)
 
 
+def stable_order(value: Column | str) -> Column:
+    """A rank for rows whose arrival order is unknown: the same in every run and every retry."""
+    return F.xxhash64(_col(value))
+
+
 def fill_missing(c: Column | str, fill: float = FILL_VALUE) -> Column:
     return F.coalesce(nan_to_null(c), F.lit(fill))
 

@@ -10,7 +10,12 @@ MAX_HOT_GROUPS = 50_000
 
 
 def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Spark's own estimate puts a table under the session's broadcast limit."""
+    """Whether Spark's own estimate puts a table under the session's broadcast limit.
+
+    A remote client cannot see the estimate; the answer is then no.
+    """
+    if not hasattr(df, "_jdf"):
+        return False
     conf = df.sparkSession._jsparkSession.sessionState().conf()
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     return int(str(size)) <= conf.autoBroadcastJoinThreshold()

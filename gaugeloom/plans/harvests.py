@@ -17,14 +17,15 @@ from gaugeloom.operators.matching import (
     distinct_pairs, match_stations, node_pairs, unmatched_stations,
 )
 from gaugeloom.operators.metadata import resolve_site, standard_meta
-from gaugeloom.operators.quality import excluded_stations
+from gaugeloom.operators.periods import gauge_requests, harvest_manifest, range_bucket_join
+from gaugeloom.operators.quality import excluded_stations, row_cap_check
 from gaugeloom.operators.runs import (
     assert_single_cast, first_nonempty, first_valid_meta, run_cast, with_run_parts,
 )
 from gaugeloom.operators.spread import spread_join
 from gaugeloom.plans.series import harvest_series
 from gaugeloom.schema import (
-    DEFAULT_MINUTES, FILL_VALUE, OWNERS, SEQ, STATION, TIME, VALUE, harvest_product,
+    DEFAULT_MINUTES, FILL_VALUE, OWNERS, REQUEST_ROW_CAP, SEQ, STATION, TIME, VALUE, harvest_product,
 )
 from gaugeloom.session import stage
 from gaugeloom.sinks.files import write_long, write_meta
@@ -112,6 +113,21 @@ def gauge_harvest(
     return Harvest("CONTRAILS", product, requested, metric, meta, minutes)
 
 
+def gauge_plan(
+    requested: DataFrame, start, end, product: str = "river_water_level", as_of=None
+) -> DataFrame:
+    """What a gauge collection has to ask for: one query per station and day period."""
+    sensor = harvest_product("CONTRAILS", product)
+    return gauge_requests(harvest_manifest(requested, start, end, as_of), sensor)
+
+
+def capped_requests(obs: DataFrame, plan: DataFrame, cap: int = REQUEST_ROW_CAP) -> DataFrame:
+    """Rows each planned request brought, and whether it may have been cut at the provider's cap."""
+    periods = plan.select(STATION, "period_start", "period_end").distinct()
+    placed = range_bucket_join(obs, periods, on=[STATION])
+    return row_cap_check(placed, ["period_start", "period_end"], cap)
+
+
 @dataclass
 class ModelHarvest(Harvest):
     casts: DataFrame | None = None
@@ -148,7 +164,8 @@ def model_harvest(
         unmatched = unmatched_stations(requested, landed)
 
     casts = run_cast(series, listed)
-    cast = assert_single_cast(casts.withColumn("batch", F.lit("of this request"))).select("cast").scalar()
+    whole = casts.withColumn("batch", F.lit("of this request"))
+    cast = assert_single_cast(whole).select("cast").scalar()
 
     wanted = spread_join(series, pairs, ["node_idx"], "inner", spread=["url", TIME])
     placed = spread_join(
@@ -207,8 +224,9 @@ def forecast_nowcast_pair(
 def backfill(windows: list[tuple], harvest: Callable[..., Harvest]) -> DataFrame:
     """Collect each `(start, end)` window and merge; the earlier window's value stays.
 
-    A sentinel is not a value: where the earlier window had none, the later one's counts. The windows are a short list the caller chose, so they become branches of one plan; each
-    branch carries its own range filter to the scan.
+    A sentinel is not a value: where the earlier window had none, the later one's counts. The
+    windows are a short list the caller chose, so they become branches of one plan; each branch
+    carries its own range filter to the scan.
     """
     missing = F.col(VALUE) == F.lit(FILL_VALUE)
     parts = [

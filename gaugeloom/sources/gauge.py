@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeloom.functions.values import nan_to_null
+from gaugeloom.functions.values import nan_to_null, stable_order
 from gaugeloom.operators.products import select_sensor_class
 from gaugeloom.schema import (
     GAUGE_OBS_SCHEMA, GAUGE_SENSOR_SCHEMA, GAUGE_SITE_SCHEMA, SEQ, STATION, TIME, VALUE,
@@ -40,7 +40,7 @@ def read_gauge_obs(spark: SparkSession, path: str, product: str | None = None) -
         "class",
         F.col("data_time").alias(TIME),
         nan_to_null("data_value").alias(VALUE),
-        F.lit(0).cast("bigint").alias(SEQ),
+        stable_order("data_value").alias(SEQ),
     )
 
 

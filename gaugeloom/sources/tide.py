@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeloom.functions.values import empty_to_null
+from gaugeloom.functions.values import empty_to_null, stable_order
 from gaugeloom.operators.metadata import standard_meta
 from gaugeloom.operators.products import product_value
-from gaugeloom.schema import OWNERS, SEQ, STATION, TIDE_META_SCHEMA, TIDE_OBS_SCHEMA, TIME
+from gaugeloom.schema import OWNERS, SEQ, STATION, TIDE_META_SCHEMA, TIDE_OBS_SCHEMA, TIME, VALUE
 
 
 def read_tide_obs(
@@ -16,14 +16,17 @@ def read_tide_obs(
 ) -> DataFrame:
     """One product as `(station, time, value, seq)`; only its column is read.
 
-    `seq` is the row's place in the provider's answer where the landed files carry it, else 0.
+    `seq` is the row's place in the provider's answer where the landed files carry it. Else a
+    repeated time keeps one of its values, always the same one.
     """
     reader = spark.read.schema(TIDE_OBS_SCHEMA)
     if fmt == "csv":
         reader = reader.option("header", True)
     rows = reader.format(fmt).load(path)
-    seq = F.coalesce(SEQ, F.lit(0).cast("bigint")).alias(SEQ)
-    return rows.select(STATION, F.col("date_time").alias(TIME), product_value("NOAA", product), seq)
+    value = product_value("NOAA", product)
+    return rows.select(STATION, F.col("date_time").alias(TIME), value, SEQ).withColumn(
+        SEQ, F.coalesce(SEQ, stable_order(VALUE))
+    )
 
 
 def read_tide_meta(spark: SparkSession, path: str) -> DataFrame:

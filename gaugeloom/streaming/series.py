@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from gaugeloom.functions.values import stable_order
 from gaugeloom.operators.dedupe import dedupe_keep_first
 from gaugeloom.schema import DEFAULT_MINUTES, SEQ, STATION, TIME, VALUE
 
@@ -51,7 +52,7 @@ def merge_batch(batch: DataFrame, batch_id: int, table: str) -> None:
     touches are read.
     """
     spark = batch.sparkSession
-    ranked = batch if SEQ in batch.columns else batch.withColumn(SEQ, F.lit(0))
+    ranked = batch if SEQ in batch.columns else batch.withColumn(SEQ, stable_order(VALUE))
     rows = dedupe_keep_first(ranked.select(STATION, TIME, VALUE, SEQ)).drop(SEQ)
     rows = rows.withColumn("day", F.to_date(TIME))
     if batch_id > 0:

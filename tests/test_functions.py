@@ -14,9 +14,9 @@ from gaugeloom.functions import values as V
 from gaugeloom.operators import periods as P
 from gaugeloom.operators.runs import with_run_parts
 
-HEAD = "http://tds.site.org/thredds/dodsC"
-CYCLE = f"{HEAD}/2022/nam/2022011600/hsofs/machine/hsofs-nam-bob-2021/namforecast/fort.61.nc"
-STORM = f"{HEAD}/2021/ida/11/hsofs/machine/hsofs-al09-bob/nhcOfcl/fort.61.nc"
+HEAD = "https://data.example/dodsC"
+CYCLE = f"{HEAD}/2022/nam/2022011600/hsofs/machine/instance-1/namforecast/fort.61.nc"
+STORM = f"{HEAD}/2021/ida/11/hsofs/machine/instance-2/nhcOfcl/fort.61.nc"
 
 
 def one(spark, *columns):
@@ -85,7 +85,7 @@ def test_overlapping_windows(spark):
 def test_run_url_of_a_cycle(spark):
     row = with_run_parts(spark.createDataFrame([(CYCLE,)], "url string")).collect()[0]
     assert (row["start"], row["grid"], row["instance"], row["ensemble"], row["advisory"], row["label"]) == (
-        stamp("2022-01-16"), "HSOFS", "hsofs-nam-bob-2021", "namforecast", False, "2022-01-16T00:00:00")
+        stamp("2022-01-16"), "HSOFS", "instance-1", "namforecast", False, "2022-01-16T00:00:00")
 
 
 def test_run_url_of_a_storm(spark):
