@@ -2,14 +2,35 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeloom.llm.common import ORACLES, QUERIES, query, table  # noqa: F401
+from gaugeloom.llm.kd_shards import kd_shards
+from gaugeloom.llm.packing import pack
 from gaugeloom.llm.quality_rules import quality_rules
 from gaugeloom.llm.simhash import hex_digits, near_duplicates
 
 
+@query("op6_kd_tree_shards")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = kd_shards(table(spark, sf_dir, "documents"), carry=["doc_id"], shards=16)
+    return placed.select(
+        "row.doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query("op7_hilbert_packing")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), carry=["doc_id"])
+    return pieces.select(
+        "row.doc_id", "start", F.floor(F.octet_length("ids") / 4).alias("length"),
+        F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset",
+    )
+
+
 @query("op9_simhash_near_dedup")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
