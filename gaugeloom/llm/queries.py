@@ -6,13 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeloom.llm.common import ORACLES, QUERIES, query, table  # noqa: F401
+from gaugeloom.llm.common import ORACLES, QUERIES, held_out, query, table  # noqa: F401
+from gaugeloom.llm.hmm import hmm_scores
 from gaugeloom.llm.kd_shards import kd_shards
 from gaugeloom.llm.packing import pack
 from gaugeloom.llm.quality_rules import quality_rules
 from gaugeloom.llm.simhash import hex_digits, near_duplicates
 
 
+@query("op5_hidden_markov_scores")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out("doc_id", 10).alias("held_out"))
+    scored = hmm_scores(docs.withColumn("train", ~F.col("held_out")), "train", carry=["doc_id", "held_out"])
+    return scored.select("row.*", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query("op6_kd_tree_shards")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = kd_shards(table(spark, sf_dir, "documents"), carry=["doc_id"], shards=16)
