@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeloom.llm.common import ORACLES, QUERIES, held_out, query, table  # noqa: F401
+from gaugeloom.llm.forest import nearest
 from gaugeloom.llm.hmm import hmm_scores
 from gaugeloom.llm.kd_shards import kd_shards
 from gaugeloom.llm.packing import pack
@@ -14,6 +15,12 @@ from gaugeloom.llm.quality_rules import quality_rules
 from gaugeloom.llm.simhash import hex_digits, near_duplicates
 
 
+@query("op4_hash_prefix_forest")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return nearest(vectors.withColumn("asks", F.col("vec_id") % 50 == 0), "asks", k=5)
+
+
 @query("op5_hidden_markov_scores")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out("doc_id", 10).alias("held_out"))
