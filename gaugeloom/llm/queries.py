@@ -11,10 +11,19 @@ from gaugeloom.llm.forest import nearest
 from gaugeloom.llm.hmm import hmm_scores
 from gaugeloom.llm.kd_shards import kd_shards
 from gaugeloom.llm.packing import pack
+from gaugeloom.llm.quality_classifier import KEEP_FROM, quality_score
 from gaugeloom.llm.quality_rules import quality_rules
 from gaugeloom.llm.simhash import hex_digits, near_duplicates
 
 
+@query("op2_random_indexing_quality")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").filter(~held_out("doc_id", 5))
+    scored = docs.select("doc_id", held_out("doc_id", 5).alias("held_out"), quality_score(docs, labels).alias("score"))
+    return scored.withColumn("predicted", F.when(F.col("score") >= KEEP_FROM, 1).otherwise(0))
+
+
 @query("op4_hash_prefix_forest")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
