@@ -6,14 +6,31 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gaugeloom.llm import oracles
+from gaugeloom.llm.chat import render
 from gaugeloom.llm.common import ORACLES, QUERIES, held_out, query, table  # noqa: F401
 from gaugeloom.llm.forest import nearest
 from gaugeloom.llm.hmm import hmm_scores
 from gaugeloom.llm.kd_shards import kd_shards
+from gaugeloom.llm.mixing import mix
 from gaugeloom.llm.packing import pack
 from gaugeloom.llm.quality_classifier import KEEP_FROM, quality_score
 from gaugeloom.llm.quality_rules import quality_rules
 from gaugeloom.llm.simhash import hex_digits, near_duplicates
+from gaugeloom.llm.url_filter import judge, rules_table
+
+
+#: Sources whose weight in the mix differs from 1.
+WEIGHTS = {"src0": 4.0, "src1": 2.0, "src2": 0.5}
+MIX_SEED = 7
+URL_RULES = [
+    ("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"),
+]
+
+
+@query("op1_chat_formatting", oracles.CHAT)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return render(table(spark, sf_dir, "conversations"))
 
 
 @query("op2_random_indexing_quality")
@@ -24,6 +41,12 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", F.when(F.col("score") >= KEEP_FROM, 1).otherwise(0))
 
 
+@query("op3_poisson_mixing", oracles.mixing(WEIGHTS, MIX_SEED))
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix(table(spark, sf_dir, "documents"), WEIGHTS, seed=MIX_SEED)
+    return mixed.select("row.*", "copies", "copy", "mix_key")
+
+
 @query("op4_hash_prefix_forest")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
@@ -55,6 +78,12 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op8_bloom_cascade_urls", oracles.URLS)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = judge(table(spark, sf_dir, "pages").select("page_id", "url"), rules_table(spark, URL_RULES))
+    return judged.select("row.page_id", "host", "path", "rule", "verdict")
+
+
 @query("op9_simhash_near_dedup")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
