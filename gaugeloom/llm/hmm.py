@@ -37,7 +37,8 @@ RUN = 512
 BATCH_TOKENS = 1 << 19
 COUNTED = 400_000
 END = b"\n"  # no word holds white space
-SMOOTH = 50.0
+#: Part of each state's emissions that comes from the corpus's shares.
+SMOOTH = 0.15
 
 
 def bucket_of(word: bytes) -> int:
@@ -211,7 +212,8 @@ def _round(texts: DataFrame, model: Model, share: np.ndarray) -> Model:
     table = np.zeros((len(share) + states + 1, states))
     if len(sums):
         table[sums["key"].to_numpy(np.int64)] += sums[names].to_numpy()  # negative keys count from the end
-    emit = table[: len(share)] + SMOOTH * share[:, None]
+    emit = table[: len(share)]
+    emit = emit / np.maximum(emit.sum(axis=0), 1e-9) * (1 - SMOOTH) + SMOOTH * share[:, None]
     move = table[: -states - 2 : -1][:states] + 0.1
     start = table[-states - 1] + 0.1
     return Model(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
