@@ -149,7 +149,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
         for batch in batches:
             for text in batch.column("text"):
-                found.update(text.as_py().split())
+                found.update(text.as_py().lower().split())
                 if len(found) > COUNTED:
                     yield rows()
                     found = Counter()
@@ -160,6 +160,23 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(each, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def encoded(texts: DataFrame) -> DataFrame:
+    """Column `ids`: each text's buckets and the end, two bytes each."""
+
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        buckets = _Buckets()
+        for batch in batches:
+            out = []
+            for text in batch["text"]:
+                words = text.lower().split()
+                ids = np.full(len(words) + 1, BUCKETS, "<u2")
+                ids[:-1] = np.fromiter(map(buckets.__getitem__, words), "<u2", len(words))
+                out.append(ids.tobytes())
+            yield pd.DataFrame({"ids": out})
+
+    return texts.mapInPandas(each, "ids binary")
+
+
 def _first_model(share: np.ndarray, states: int, seed: int) -> Model:
     """States that stay, each with its own random tilt of the buckets' shares."""
     rng = np.random.default_rng(seed)
@@ -168,14 +185,14 @@ def _first_model(share: np.ndarray, states: int, seed: int) -> Model:
     return Model(np.full(states, 1 / states), move, emit / emit.sum(axis=0))
 
 
-def _round(texts: DataFrame, model: Model, share: np.ndarray) -> Model:
-    """One Baum-Welch round over the `text` column of all training texts."""
+def _round(coded: DataFrame, model: Model, share: np.ndarray) -> Model:
+    """One Baum-Welch round over the `ids` of all training texts."""
     states = len(model.start)
     names = [f"v{k}" for k in range(states)]
-    shared = texts.sparkSession.sparkContext.broadcast(model.parts)
+    shared = coded.sparkSession.sparkContext.broadcast(model.parts)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
-        now, buckets = Model(*shared.value), _Buckets()
+        now = Model(*shared.value)
         emitted, moves, starts = np.zeros_like(now.emit), np.zeros_like(now.move), np.zeros_like(now.start)
         held: list[np.ndarray] = []
         fresh: list[bool] = []
@@ -188,11 +205,8 @@ def _round(texts: DataFrame, model: Model, share: np.ndarray) -> Model:
             held, fresh, size = [], [], 0
 
         for batch in batches:
-            for text in batch["text"]:
-                words = text.split()
-                ids = np.empty(len(words) + 1, np.int64)
-                ids[:-1] = np.fromiter(map(buckets.__getitem__, words), np.int64, len(words))
-                ids[-1] = BUCKETS
+            for coded in batch["ids"]:
+                ids = np.frombuffer(coded, "<u2").astype(np.int64)
                 for k, run in enumerate(_runs(ids)):
                     held.append(run)
                     fresh.append(k == 0)
@@ -207,7 +221,7 @@ def _round(texts: DataFrame, model: Model, share: np.ndarray) -> Model:
         yield rows
 
     kind = "key long, " + ", ".join(f"{n} double" for n in names)
-    sums = texts.mapInPandas(each, kind).groupBy("key").agg(*[F.sum(n).alias(n) for n in names]).toPandas()
+    sums = coded.mapInPandas(each, kind).groupBy("key").agg(*[F.sum(n).alias(n) for n in names]).toPandas()
     shared.unpersist()
     table = np.zeros((len(share) + states + 1, states))
     if len(sums):
@@ -238,8 +252,9 @@ def train(texts: DataFrame, counts: DataFrame, rounds: int = ROUNDS, states: int
     ends = counts.filter(F.col("word") == F.lit(END)).agg(F.sum("n")).first()[0] or 0
     share = np.append(total, ends) + 0.1
     model = _first_model(share / share.sum(), states, seed)
+    coded = stage(encoded(texts), "encoded") if rounds else None
     for _ in range(rounds):
-        model = _round(texts, model, share / share.sum())
+        model = _round(coded, model, share / share.sum())
     return model, weight
 
 
@@ -253,9 +268,7 @@ def hmm_scores(docs: DataFrame, training: str, carry: list[str], text: str = "te
     end alone. Repeated rows count as often as they are there. Without training rows scores come from
     even shares; an empty table gives an empty result.
     """
-    body = F.translate(F.col(text).cast("string"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    docs_text = docs.select(row_of(docs, carry).alias("row"), F.col(training).alias("train"), body.alias("text"))
-    docs_text = docs_text.withColumn("text", utf8("text"))
+    docs_text = docs.select(row_of(docs, carry).alias("row"), F.col(training).alias("train"), utf8(text).alias("text"))
     texts = docs_text.filter("train").select("text")
     counts = stage(word_counts(texts), "counts")
     n, v = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
@@ -294,7 +307,7 @@ def hmm_scores(docs: DataFrame, training: str, carry: list[str], text: str = "te
 
             held = 0
             for k, text in enumerate(batch.column("text")):
-                tokens = text.as_py().split()
+                tokens = text.as_py().lower().split()
                 at = np.fromiter((find(w, -1) for w in tokens), np.int64, len(tokens))
                 seen = at >= 0
                 one = np.full(len(tokens) + 1, BUCKETS, np.int64)
