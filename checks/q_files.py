@@ -272,3 +272,18 @@ def stream_merge(spark, sf):
         stream = spark.readStream.schema(rows.schema).parquet(landing)
         merge_stream(stream, out, state).awaitTermination()
     return merged(spark, out)
+
+
+@check("stream_merge_restart", P.with_(P.obs("old", unit="hour"), P.obs("new", unit="minute"),
+    P.dedupe("old", "a"), P.dedupe("new", "b"), select="""
+SELECT station, time, value FROM a UNION ALL
+SELECT station, time, value FROM b WHERE (station, time) NOT IN (SELECT (station, time) FROM a)"""))
+def stream_merge_restart(spark, sf):
+    """A second checkpoint on the same table: the first one's rows stay and none comes twice."""
+    out = scratch(spark, "merged")
+    for unit in ("hour", "minute", "hour"):
+        landing, state = scratch(spark, "landing"), scratch(spark, "merged-state")
+        rows = observations(spark, sf, unit=unit)
+        rows.write.parquet(landing)
+        merge_stream(spark.readStream.schema(rows.schema).parquet(landing), out, state).awaitTermination()
+    return merged(spark, out)

@@ -78,11 +78,12 @@ def gauge_sites(spark, sf):
 
 
 def gauge_run(spark, sf, product):
+    """All landed classes are read; the plan takes the product's own."""
     kinds = table(spark, sf, "events").select(
         F.lit(0).alias("position"), F.col("event_type").alias("station")
     ).distinct()
     return H.gauge_harvest(
-        gauge.read_gauge_obs(spark, land_gauge(spark, sf), product),
+        gauge.read_gauge_obs(spark, land_gauge(spark, sf)),
         gauge.read_gauge_sensor_meta(spark, land_xml(spark, gauge_sensors(spark, sf), "sensors")),
         gauge.read_gauge_site_meta(spark, land_xml(spark, gauge_sites(spark, sf), "sites")),
         kinds, START, END, product,
@@ -131,8 +132,7 @@ def gauge_plan(spark, sf):
 SELECT CAST(user_id AS VARCHAR) AS station, greatest(date_trunc('day', ts), TIMESTAMP '2024-01-05 03:00:00') AS period_start,
   least(date_trunc('day', ts) + INTERVAL 86399 SECOND, TIMESTAMP '2024-01-12 21:00:00') AS period_end,
   count(*) AS rows, count(*) >= 4 AS at_cap
-FROM events WHERE ts BETWEEN TIMESTAMP '2024-01-05 03:00:00' AND TIMESTAMP '2024-01-12 21:00:00'
-  AND ts <= date_trunc('day', ts) + INTERVAL 86399 SECOND GROUP BY 1, 2, 3""")
+FROM events WHERE ts BETWEEN TIMESTAMP '2024-01-05 03:00:00' AND TIMESTAMP '2024-01-12 21:00:00' GROUP BY 1, 2, 3""")
 def capped_requests(spark, sf):
     plan = H.gauge_plan(user_request(spark, sf), START, END)
     return H.capped_requests(observations(spark, sf, "user_id"), plan, cap=4)
@@ -186,6 +186,16 @@ def model_harvest_mesh(spark, sf):
     ).data
 
 
+@check("unmatched_nodes", P.with_(P.runs(shift_years=SHIFT), P.model_series(), select="""
+SELECT 'P' || p_partkey AS station FROM part WHERE p_partkey NOT IN (
+  SELECT node_idx FROM series JOIN (SELECT url FROM runs ORDER BY position LIMIT 40) USING (url))"""))
+def unmatched_nodes(spark, sf):
+    """Nodes that only runs outside the list have count as missing."""
+    batch, nodes, series = model_inputs(spark, sf)
+    listed = batch.orderBy("position").limit(40)
+    return H.model_harvest(listed, nodes, series, station_nodes=part_nodes(spark, sf)).unmatched
+
+
 @check("forecast_nowcast_pair", P.with_(P.runs(shift_years=SHIFT), P.model_series(), """asked AS (
   SELECT 'forecast' AS kind, url FROM runs UNION ALL
   SELECT 'nowcast', replace(url, '/' || split_part(url, '/', -2) || '/', '/nowcast/') FROM runs)""", select="""

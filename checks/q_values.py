@@ -277,7 +277,9 @@ def daily_periods_(spark, sf):
 
 @check("range_bucket_join", P.with_(RANGES, PERIODS, P.obs(station="user_id"), select="""
 SELECT o.station, o.time, o.value, o.seq, p.period_start, p.period_end
-FROM obs o JOIN periods p ON o.station = p.station AND o.time BETWEEN p.period_start AND p.period_end"""))
+FROM obs o JOIN periods p ON o.station = p.station AND o.time >= p.period_start AND (o.time <= p.period_end
+  OR (p.period_end = date_trunc('day', p.period_end) + INTERVAL 86399 SECOND
+    AND o.time < date_trunc('day', p.period_end) + INTERVAL 1 DAY))"""))
 def range_bucket_join_(spark, sf):
     periods = daily_periods(user_ranges(spark, sf), as_of=AS_OF)
     return range_bucket_join(
@@ -287,6 +289,21 @@ def range_bucket_join_(spark, sf):
     )
 
 
+@check("rows_in_periods", """
+SELECT CAST(user_id AS VARCHAR) AS station, count(*) AS rows_in, count(*) AS rows_out
+FROM events WHERE ts < TIMESTAMP '2024-02-01' GROUP BY 1""")
+def rows_in_periods(spark, sf):
+    """Rows moved into the last second of their day: every row of the range finds its period."""
+    end = F.to_timestamp_ntz(F.lit("2024-02-01 00:00:00"))
+    obs = observations(spark, sf, "user_id").where(F.col("time") < end)
+    late = F.date_trunc("day", "time").cast("timestamp_ntz") + F.make_dt_interval(secs=F.lit(86_399.5))
+    obs = obs.withColumn("time", F.when(F.col("seq") % 3 == 0, late).otherwise(F.col("time")))
+    stations = obs.select("station").distinct()
+    placed = range_bucket_join(obs, harvest_manifest(stations, "2024-01-01 00:00:00", end), on=["station"])
+    came = obs.groupBy("station").agg(F.count("*").alias("rows_in"))
+    return came.join(placed.groupBy("station").agg(F.count("*").alias("rows_out")), "station")
+
+
 @check("row_cap_check", P.with_(P.obs(), select="""
 SELECT station, date_trunc('day', time) AS day, count(*) AS rows, count(*) >= 70 AS at_cap FROM obs GROUP BY 1, 2"""))
 def row_cap_check_(spark, sf):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gaugeloom.functions.times import iso_time
 from gaugeloom.functions.values import fill_missing
-from gaugeloom.operators.spread import bucket_count, spread_join
+from gaugeloom.operators.spread import bucket_count
 from gaugeloom.schema import FILL_VALUE, STATION, TIME, VALUE
 
 ROSTER_SIZE = 64
@@ -81,7 +81,7 @@ def output_form(df: DataFrame, product: str, fill: float = FILL_VALUE) -> DataFr
 def with_position(df: DataFrame, requested: DataFrame) -> DataFrame:
     """Attach the place of each station in the request (its first, if it is listed twice)."""
     places = requested.groupBy(STATION).agg(F.min("position").alias("position"))
-    return spread_join(df, places, [STATION], spread=[TIME])
+    return df.join(places, [STATION], "left")
 
 
 def order_output(df: DataFrame, requested: DataFrame | None = None) -> DataFrame:

@@ -6,11 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeloom.functions.times import epoch_us
-from gaugeloom.operators.spread import hot_groups
 from gaugeloom.schema import STATION, TIME, VALUE
 
-BLOCK_HOURS = 6
-BLOCK_ROWS = 4_000_000
+BLOCK_MINUTES = 60
 
 
 def linear(p: Column, pt: Column, n: Column, nt: Column, t: Column) -> Column:
@@ -18,52 +16,20 @@ def linear(p: Column, pt: Column, n: Column, nt: Column, t: Column) -> Column:
     return p + (n - p) * (epoch_us(t) - epoch_us(pt)) / (epoch_us(nt) - epoch_us(pt))
 
 
-def with_blocks(
-    df: DataFrame,
-    hours: int = BLOCK_HOURS,
-    most: int | None = BLOCK_ROWS,
-    density: DataFrame | None = None,
-) -> DataFrame:
-    """Cut each station into time blocks, adding `_block` (start) and `_part`.
+def with_blocks(df: DataFrame, minutes: int = BLOCK_MINUTES) -> DataFrame:
+    """Add `_block`, the start of the row's block of the clock.
 
-    A block with more than `most` rows is cut again into slices of whole seconds, so narrow that
-    its densest second times the width stays within `most`; None skips that look at the sizes.
-    Times are unique, so even a slice of one second has at most a million rows. `density` may
-    name a cheaper frame to count, such as the rows before de-duplication. Cuts depend only on
-    exact counts, so a recomputed task finds the same ones.
+    The cut is an expression of the row alone: every block is treated alike, whatever it holds, and
+    a recomputed task finds the same ones. Times are unique within a station, so an hour at a
+    thousand samples a second is 3.6 million rows. Rows without station or time belong to no block.
     """
-    block = F.window(TIME, f"{hours} hours")["start"]
-    rows = df.where(F.col(STATION).isNotNull()).withColumn("_block", block)
-    if most is None:
-        return rows.withColumn("_part", F.lit(0))
-    keys = [STATION, "_block"]
-    counted = (density if density is not None else df).select(STATION, TIME).withColumn("_block", block)
-    hot = hot_groups(counted.groupBy(*keys).agg(F.count("*").alias("_n")), most=most).select(*keys)
-    # At most 50,000 hot blocks in any data, so both tables may be broadcast. Without any, the
-    # adaptive plan drops this whole branch.
-    peaks = (
-        counted.join(F.broadcast(hot), keys, "left_semi")
-        .groupBy(*keys, F.date_trunc("second", TIME).alias("_second"))
-        .agg(F.count("*").alias("_n"))
-        .groupBy(*keys)
-        .agg(F.max("_n").alias("_peak"))
-    )
-    width = F.greatest(F.lit(1), F.floor(F.lit(most) / F.col("_peak"))) * 1_000_000
-    into = epoch_us(TIME) - epoch_us("_block")
-    part = F.when(F.col("_peak").isNull(), 0).otherwise(F.floor(into / width).cast("int"))
-    return (
-        rows.join(F.broadcast(peaks), keys, "left")
-        .withColumn("_part", F.coalesce(part, F.lit(0)))
-        .drop("_peak")
-    )
+    return df.where(F.col(STATION).isNotNull()).withColumn("_block", F.window(TIME, f"{minutes} minutes")["start"])
 
 
 def interpolate_linear(
     df: DataFrame,
     limit: int = 1,
-    hours: int = BLOCK_HOURS,
-    most: int | None = BLOCK_ROWS,
-    density: DataFrame | None = None,
+    block_minutes: int = BLOCK_MINUTES,
 ) -> DataFrame:
     """Fill at most the first `limit` NULLs of each gap on the line between its neighbours in time.
 
@@ -76,12 +42,12 @@ def interpolate_linear(
     exchange.
     """
     columns = [STATION, TIME, VALUE]
-    keys = [STATION, "_block", "_part"]
-    rows = with_blocks(df.select(*columns), hours, most, density).repartition(*keys)
+    keys = [STATION, "_block"]
+    rows = with_blocks(df.select(*columns), block_minutes).repartition(*keys)
     v, t = F.col(VALUE), F.col(TIME)
     inside = Window.partitionBy(*keys).orderBy(TIME)
     before = inside.rowsBetween(Window.unboundedPreceding, -1)
-    along = Window.partitionBy(STATION).orderBy("_block", "_part")
+    along = Window.partitionBy(STATION).orderBy("_block")
 
     valid_t = F.when(v.isNotNull(), t)
     edges = rows.groupBy(*keys).agg(
@@ -123,7 +89,7 @@ def interpolate_linear(
         so_far = along.rowsBetween(Window.unboundedPreceding, -1)
         islands = edges.withColumn("_isl", F.sum(F.col("any_valid").cast("int")).over(
             along.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        run = Window.partitionBy(STATION, "_isl").orderBy("_block", "_part")
+        run = Window.partitionBy(STATION, "_isl").orderBy("_block")
         carry = (
             islands.withColumn("_run_tail", F.sum("tail").over(
                 run.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
@@ -159,24 +125,22 @@ def interpolate_linear(
     return found.withColumn(VALUE, filled).select(*columns)
 
 
-def gap_runs(
-    df: DataFrame, hours: int = BLOCK_HOURS, most: int | None = BLOCK_ROWS
-) -> DataFrame:
+def gap_runs(df: DataFrame, block_minutes: int = BLOCK_MINUTES) -> DataFrame:
     """Number the NULLs of each gap: adds `gap_id` and `gap_pos` (NULL on valid rows).
 
     `gap_id` is the count of valid points before the gap; `gap_pos` starts at 1. Same block
     scheme as `interpolate_linear`: local counts plus the totals carried in from earlier blocks.
     """
     columns = [STATION, TIME, VALUE]
-    keys = [STATION, "_block", "_part"]
-    rows = with_blocks(df.select(*columns), hours, most).repartition(*keys)
+    keys = [STATION, "_block"]
+    rows = with_blocks(df.select(*columns), block_minutes).repartition(*keys)
     valid = F.col(VALUE).isNotNull()
     inside = Window.partitionBy(*keys).orderBy(TIME)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     numbered = rows.withColumn("_rn", F.row_number().over(inside)).withColumn(
         "_valid", F.count_if(valid).over(upto)
     ).withColumn("_at", F.max(F.when(valid, F.col("_rn"))).over(upto))
-    along = Window.partitionBy(STATION).orderBy("_block", "_part")
+    along = Window.partitionBy(STATION).orderBy("_block")
     tails = numbered.groupBy(*keys).agg(
         F.max("_valid").alias("n_valid"),
         (F.max("_rn") - F.coalesce(F.max("_at"), F.lit(0))).alias("tail"),
@@ -185,7 +149,7 @@ def gap_runs(
     islands = tails.withColumn(
         "_isl", F.sum((F.col("n_valid") > 0).cast("int")).over(upto_block)
     )
-    run = Window.partitionBy(STATION, "_isl").orderBy("_block", "_part").rowsBetween(
+    run = Window.partitionBy(STATION, "_isl").orderBy("_block").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     carry = islands.withColumn("_run_tail", F.sum("tail").over(run)).select(

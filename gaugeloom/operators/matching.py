@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeloom.functions.runs import station_token
-from gaugeloom.operators.spread import spread_join
 from gaugeloom.schema import STATION
 
 
@@ -26,7 +25,7 @@ def match_stations(requested: DataFrame, nodes: DataFrame) -> DataFrame:
     The request is joined before the first node is picked, so nodes nobody asked for do not
     reach the aggregate.
     """
-    wanted = spread_join(named_nodes(nodes), requested, [STATION], "inner", spread=["url"])
+    wanted = named_nodes(nodes).join(requested, [STATION], "inner")
     return wanted.groupBy("url", "position", STATION).agg(F.min("node_idx").alias("node_idx"))
 
 
@@ -53,8 +52,7 @@ def node_pairs(station_nodes: DataFrame) -> DataFrame:
 def node_lookup(station_nodes: DataFrame, series: DataFrame) -> DataFrame:
     """Model rows of the curated stations, with the station id attached."""
     rest = [c for c in series.columns if c not in ("node_idx", "url")]
-    spread = [c for c in ("url", "time") if c in series.columns]
-    joined = spread_join(series, node_pairs(station_nodes), ["node_idx"], "inner", spread=spread)
+    joined = series.join(node_pairs(station_nodes), ["node_idx"], "inner")
     return joined.select("url", STATION, "node_idx", *rest)
 
 

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeloom.functions.values import empty_to_null, fill_missing_text
-from gaugeloom.operators.spread import spread_join
 from gaugeloom.schema import META_KEYS, SENSOR_CLASSES, STATION, TIME, TIME_ZONE, UNITS
 
 
@@ -82,7 +81,7 @@ def resolve_site(sensors: DataFrame, sites: DataFrame, sensor: str) -> DataFrame
 def attach_meta(data: DataFrame, meta: DataFrame) -> DataFrame:
     """Data rows with their station's metadata; rows without any stay."""
     keyed = meta.withColumnRenamed("STATION", STATION)
-    return spread_join(data, keyed, [STATION], "left", spread=[TIME])
+    return data.join(keyed, [STATION], "left")
 
 
 def data_without_meta(data: DataFrame, meta: DataFrame) -> DataFrame:

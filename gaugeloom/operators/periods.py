@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from gaugeloom.functions.runs import request_query
 from gaugeloom.functions.times import _col, clamp_end, cycle_times, ntz, ordered, truncate
-from gaugeloom.operators.spread import spread_join
 from gaugeloom.schema import SENSOR_CLASSES, STATION, TIME, TIME_ZONE
 
 DAY_END = 86_399  # seconds into a day at 23:59:59
@@ -86,16 +85,24 @@ def sliding_windows(
     ).drop("_w")
 
 
+def in_period(time: str = TIME) -> Column:
+    """Whether a row lies in its period. A period that ends at 23:59:59 runs up to midnight: that end is
+    how a request is written, and the next period begins a second later."""
+    t, end = F.col(time), F.col("period_end")
+    midnight = truncate("day", "period_end") + F.make_dt_interval(days=F.lit(1))
+    last_second = end + F.make_dt_interval(secs=F.lit(1)) == midnight
+    return (t >= F.col("period_start")) & ((t <= end) | (last_second & (t < midnight)))
+
+
 def range_bucket_join(
     obs: DataFrame, periods: DataFrame, on: list[str] | None = None, time: str = TIME
 ) -> DataFrame:
     """Rows with the period they fall in. A period lies within one day, so the day is an equi key.
 
-    The range test runs inside the hash join, and a busy day is shared by several tasks.
+    Every row inside the range that was cut into periods gets one, those of a day's last second too.
+    How the periods travel is Spark's choice from their true size.
     """
     on = on or []
     days = periods.withColumn("_day", F.to_date("period_start"))
     rows = obs.withColumn("_day", F.to_date(time))
-    joined = spread_join(rows, days, [*on, "_day"], "inner", spread=[time, *on])
-    inside = F.col(time).between(F.col("period_start"), F.col("period_end"))
-    return joined.where(inside).drop("_day")
+    return rows.join(days, [*on, "_day"], "inner").where(in_period(time)).drop("_day")

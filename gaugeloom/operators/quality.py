@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeloom.operators.spread import spread_join
 from gaugeloom.schema import FILL_VALUE, REQUEST_ROW_CAP, STATION, TIME, VALUE
 
 
@@ -61,7 +60,7 @@ def missing_report(df: DataFrame, fill: float = FILL_VALUE) -> DataFrame:
 def drop_empty_stations(df: DataFrame) -> DataFrame:
     """Remove stations whose every value is NULL."""
     alive = df.where(F.col(VALUE).isNotNull()).select(STATION).distinct()
-    return spread_join(df, alive, [STATION], "left_semi", spread=[TIME])
+    return df.join(alive, [STATION], "left_semi")
 
 
 def row_cap_check(df: DataFrame, period: list[str], cap: int = REQUEST_ROW_CAP) -> DataFrame:

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from gaugeloom.functions.times import epoch_us, from_epoch_us, truncate
 from gaugeloom.operators.dedupe import dedupe_keep_first
-from gaugeloom.operators.gaps import BLOCK_ROWS, linear
-from gaugeloom.operators.spread import hot_groups, spread_join
+from gaugeloom.operators.gaps import linear
 from gaugeloom.schema import DEFAULT_MINUTES, SEQ, STATION, TIME, VALUE
 
 DAY_MINUTES = 1440
@@ -24,7 +23,7 @@ def bin_origin(df: DataFrame, minutes: int = DEFAULT_MINUTES) -> DataFrame:
 
     Where the bin length divides a day that is the same as counting from any midnight and needs
     no look at the rest of the station. Otherwise the first day is one aggregate per station,
-    joined back with the hot keys spread.
+    joined back.
     """
     if DAY_MINUTES % minutes == 0:
         return df.withColumn("bin", F.window(TIME, f"{minutes} minutes")["start"])
@@ -32,7 +31,7 @@ def bin_origin(df: DataFrame, minutes: int = DEFAULT_MINUTES) -> DataFrame:
     width = F.lit(minutes * 60_000_000)
     origin = epoch_us("_origin")
     start = origin + F.floor((epoch_us(TIME) - origin) / width) * width
-    joined = spread_join(df, first_day, [STATION], spread=[TIME])
+    joined = df.join(first_day, [STATION], "left")
     return joined.withColumn("bin", from_epoch_us(start)).drop("_origin")
 
 
@@ -133,26 +132,15 @@ def bin_counts(df: DataFrame, minutes: int) -> DataFrame:
     return binned.groupBy(STATION, "bin").agg(F.count("*").alias("_n"))
 
 
-def first_heads(
-    obs: DataFrame, counts: DataFrame, minutes: int, most: int = BLOCK_ROWS
-) -> DataFrame:
+def first_heads(obs: DataFrame, minutes: int) -> DataFrame:
     """`bin_heads` of rows that may repeat times; the first by `seq` counts.
 
-    Rows are shuffled once, by bin: a bin's copies and its summary are then worked out in place.
-    Bins with more than `most` rows (a hot station, or one row copied without end) do not take
-    that way: their copies collapse before a shuffle by time, and their summary is merged from
-    partial ones. There are at most 50,000 of them, so the list can be broadcast; without any,
-    the adaptive plan drops that branch.
+    Two mergeable aggregates for all bins alike: copies collapse by `(station, bin, time)` before they
+    are shuffled, and a bin is summed up from partial sums of its times. So neither a hot station nor
+    one row copied without end makes a task larger than others.
     """
-    keys = [STATION, "bin"]
-    hot = F.broadcast(hot_groups(counts, most=most).select(*keys))
     binned = bin_origin(obs.select(STATION, TIME, VALUE, SEQ), minutes)
-    calm = binned.join(hot, keys, "left_anti").repartition(*keys)
-    busy = binned.join(hot, keys, "left_semi")
-    times = [*keys, TIME]
-    return bin_heads(dedupe_keep_first(calm, times)).unionByName(
-        bin_heads(dedupe_keep_first(busy, times))
-    )
+    return bin_heads(dedupe_keep_first(binned, [STATION, "bin", TIME]))
 
 
 def station_spans(counts: DataFrame) -> DataFrame:

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeloom.functions.runs import is_advisory, parse_run_url, run_label, run_start
-from gaugeloom.operators.spread import spread_join
 from gaugeloom.schema import STATION, TIME
 
 
@@ -72,11 +71,8 @@ def first_valid_meta(pairs: DataFrame, nodes: DataFrame, runs: DataFrame) -> Dat
     Nodes are cut down to the pairs first. The pick is an aggregate rather than a ranked window,
     so only one row per node and task is shuffled.
     """
-    found = spread_join(nodes, pairs, ["node_idx"], "inner", spread=["url"])
-    placed = spread_join(
-        found, runs.select("url", F.col("position").alias("_run")), ["url"], "inner",
-        spread=["node_idx"],
-    )
+    found = nodes.join(pairs, ["node_idx"], "inner")
+    placed = found.join(runs.select("url", F.col("position").alias("_run")), ["url"], "inner")
     first = F.min_by(F.struct("url", "x", "y", "source"), "_run").alias("_first")
     return placed.groupBy(STATION, "node_idx").agg(first).select(
         STATION, "node_idx", "_first.url", "_first.x", "_first.y", "_first.source"

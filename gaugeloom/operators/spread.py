@@ -1,60 +1,10 @@
-"""Joins and group splits that stay balanced when one key holds much of the data."""
+"""Bucket numbers that follow an exact count."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-WAYS = 16
-MAX_HOT_GROUPS = 50_000
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Spark's own estimate puts a table under the session's broadcast limit.
-
-    A remote client cannot see the estimate; the answer is then no.
-    """
-    if not hasattr(df, "_jdf"):
-        return False
-    conf = df.sparkSession._jsparkSession.sessionState().conf()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= conf.autoBroadcastJoinThreshold()
-
-
-def spread_join(
-    rows: DataFrame,
-    lookup: DataFrame,
-    on: list[str],
-    how: str = "left",
-    spread: list[str] | None = None,
-    ways: int = WAYS,
-) -> DataFrame:
-    """Equi-join a large row set to a table with few rows per key, whatever one key holds.
-
-    A lookup under the broadcast limit is joined where the rows are. Beyond it, every key is cut
-    into `ways` salted keys on the large side (by the hash of the `spread` columns) and the
-    lookup is repeated once per salt, so a hot key is shared by `ways` tasks.
-    """
-    if fits_broadcast(lookup):
-        return rows.join(F.broadcast(lookup), on, how)
-    spread = spread or [c for c in rows.columns if c not in on] or on
-    salt = F.pmod(F.xxhash64(*spread), F.lit(ways)).cast("int")
-    salts = F.explode(F.sequence(F.lit(0), F.lit(ways - 1)))
-    return (
-        rows.withColumn("_salt", salt)
-        .join(lookup.withColumn("_salt", salts), [*on, "_salt"], how)
-        .drop("_salt")
-    )
-
-
-def hot_groups(counts: DataFrame, n: str = "_n", most: int = 4_000_000) -> DataFrame:
-    """The groups too large for one task, from a table of exact group sizes.
-
-    Never more than the 50,000 largest, whatever the size of the data; that bound is what lets
-    the callers broadcast the result. A group left out of it holds less than 1/50,000 of all rows.
-    """
-    return counts.where(F.col(n) > most).orderBy(F.desc(n)).limit(MAX_HOT_GROUPS)
-
 
 def bucket_count(keys: DataFrame, per_bucket: int) -> Column:
     """How many buckets hold these distinct keys at about `per_bucket` each (scalar subquery)."""

@@ -18,11 +18,11 @@ from gaugeloom.operators.matching import (
 )
 from gaugeloom.operators.metadata import resolve_site, standard_meta
 from gaugeloom.operators.periods import gauge_requests, harvest_manifest, range_bucket_join
+from gaugeloom.operators.products import select_sensor_class
 from gaugeloom.operators.quality import excluded_stations, row_cap_check
 from gaugeloom.operators.runs import (
     assert_single_cast, first_nonempty, first_valid_meta, run_cast, with_run_parts,
 )
-from gaugeloom.operators.spread import spread_join
 from gaugeloom.plans.series import harvest_series
 from gaugeloom.schema import (
     DEFAULT_MINUTES, FILL_VALUE, OWNERS, REQUEST_ROW_CAP, SEQ, STATION, TIME, VALUE, harvest_product,
@@ -67,7 +67,7 @@ class Harvest:
 
 def _of_stations(obs: DataFrame, requested: DataFrame) -> DataFrame:
     wanted = requested.select(STATION).distinct()
-    return spread_join(obs, wanted, [STATION], "left_semi", spread=[TIME])
+    return obs.join(wanted, [STATION], "left_semi")
 
 
 def tide_harvest(
@@ -102,9 +102,13 @@ def gauge_harvest(
     product: str = "river_water_level",
     minutes: int | None = DEFAULT_MINUTES,
 ) -> Harvest:
-    """River or coastal gauges: values in feet, metadata from the sensor and site tables."""
+    """River or coastal gauges: values in feet, metadata from the sensor and site tables.
+
+    Of the observations only those of the product's sensor class count.
+    """
     sensor = harvest_product("CONTRAILS", product)
-    sliced = _of_stations(obs.where(time_slice(TIME, start, end)), requested)
+    own = select_sensor_class(obs, product)
+    sliced = _of_stations(own.where(time_slice(TIME, start, end)), requested)
     metric = sliced.withColumn(VALUE, convert_units(VALUE))
     located = resolve_site(sensors, sites, sensor).join(
         requested.select(STATION).distinct(), STATION, "left_semi"
@@ -152,6 +156,8 @@ def model_harvest(
     Spark cuts the model output down to them in the scan's own tasks.
     """
     listed = runs.where(F.col("url") != "")
+    # Landed runs outside the list go before anything is summed or joined.
+    series = series.join(listed.select("url").distinct(), "url", "left_semi")
     if station_nodes is not None:
         pairs = stage(node_pairs(station_nodes), "pairs")
         requested = station_nodes.select(
@@ -159,7 +165,7 @@ def model_harvest(
         )
         unmatched = unmatched_nodes(pairs, series)
     else:
-        landed = spread_join(nodes, listed.select("url"), ["url"], "left_semi", spread=["node_idx"])
+        landed = nodes.join(listed.select("url"), ["url"], "left_semi")
         pairs = stage(distinct_pairs(match_stations(requested, landed)).drop("position"), "pairs")
         unmatched = unmatched_stations(requested, landed)
 
@@ -167,11 +173,8 @@ def model_harvest(
     whole = casts.withColumn("batch", F.lit("of this request"))
     cast = assert_single_cast(whole).select("cast").scalar()
 
-    wanted = spread_join(series, pairs, ["node_idx"], "inner", spread=["url", TIME])
-    placed = spread_join(
-        wanted, listed.select("url", F.col("position").alias("_run")), ["url"], "inner",
-        spread=["node_idx", TIME],
-    )
+    wanted = series.join(pairs, ["node_idx"], "inner")
+    placed = wanted.join(listed.select("url", F.col("position").alias("_run")), ["url"], "inner")
     rows = placed.where(cast.isNotNull()).select(
         STATION, TIME, mask_below("zeta").alias(VALUE),
         (F.col("_run").cast("bigint") * F.lit(1 << 32) + F.col("node_idx")).alias(SEQ),
@@ -189,7 +192,7 @@ def model_harvest(
 
 
 def unmatched_nodes(pairs: DataFrame, series: DataFrame) -> DataFrame:
-    """Curated stations whose node no run has."""
+    """Curated stations whose node none of the given series has."""
     return pairs.join(series.select("node_idx").distinct(), "node_idx", "left_anti").select(STATION)
 
 

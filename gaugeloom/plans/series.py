@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gaugeloom.functions.values import fill_missing
 from gaugeloom.operators.align import align_stations
 from gaugeloom.operators.dedupe import dedupe_keep_first
-from gaugeloom.operators.gaps import BLOCK_ROWS, interpolate_linear
+from gaugeloom.operators.gaps import interpolate_linear
 from gaugeloom.operators.resample import (
     bin_axis, bin_counts, first_heads, repair_bins, repair_resample, station_spans,
 )
@@ -19,17 +19,14 @@ def native_series(obs: DataFrame, unique: bool = False) -> DataFrame:
     """De-duplicated and repaired rows at their own times."""
     if unique:
         return interpolate_linear(obs)
-    rows = dedupe_keep_first(obs.select(STATION, TIME, VALUE, SEQ))
-    return interpolate_linear(rows, density=obs)
+    return interpolate_linear(dedupe_keep_first(obs.select(STATION, TIME, VALUE, SEQ)))
 
 
-def regular_series(
-    obs: DataFrame, counts: DataFrame, minutes: int, unique: bool = False, most: int = BLOCK_ROWS
-) -> DataFrame:
+def regular_series(obs: DataFrame, minutes: int, unique: bool = False) -> DataFrame:
     """De-duplicated, repaired and resampled; occupied bins only."""
     if unique:
         return repair_resample(obs, minutes)
-    return repair_bins(first_heads(obs, counts, minutes, most))
+    return repair_bins(first_heads(obs, minutes))
 
 
 def harvest_series(
@@ -37,14 +34,13 @@ def harvest_series(
     minutes: int | None = DEFAULT_MINUTES,
     fill: float = FILL_VALUE,
     unique: bool = False,
-    most: int = BLOCK_ROWS,
 ) -> DataFrame:
     """`(station, time, value)` with a row for every station at every time of the common axis.
 
     Order of work: first of repeated times, one-sample gap repair, first value per bin, common
     axis, sentinel for what is missing. `minutes=0` keeps the native times. `unique` says that no
-    station repeats a time, which saves the shuffle of raw rows. The axis and the sizes of bins
-    come from one count per bin, over two columns of the scan.
+    station repeats a time, which saves the shuffle of raw rows. The axis comes from one count per
+    bin, over two columns of the scan.
     """
     obs = obs.where(F.col(STATION).isNotNull() & F.col(TIME).isNotNull())
     if minutes == 0:
@@ -56,7 +52,7 @@ def harvest_series(
         # The comparison keeps both bounds in the plan, so axis and roster share one exchange.
         roster = spans.where(F.col("lo") <= F.col("hi"))
         aligned = align_stations(
-            regular_series(obs, counts, width, unique, most),
+            regular_series(obs, width, unique),
             axis=bin_axis(spans, width),
             stations=roster,
         )

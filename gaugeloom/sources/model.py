@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeloom.operators.matching import present_runs
-from gaugeloom.operators.spread import spread_join
 from gaugeloom.schema import MODEL_NODE_SCHEMA, MODEL_SERIES_SCHEMA
 
 
@@ -19,7 +18,7 @@ def read_model_series(
         return series
     if isinstance(nodes, DataFrame):
         wanted = nodes.select("node_idx").distinct()
-        return spread_join(series, wanted, ["node_idx"], "left_semi", spread=["url", "time"])
+        return series.join(wanted, ["node_idx"], "left_semi")
     return series.where(F.col("node_idx").isin([int(n) for n in nodes]))
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -44,42 +45,61 @@ def append_to(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     )
 
 
-def merge_batch(batch: DataFrame, batch_id: int, table: str) -> None:
+MERGED = f"{STATION} string, {TIME} timestamp_ntz, {VALUE} double, day date, run string, batch bigint"
+
+
+def _earlier(spark: SparkSession, table: str, days: list[str], run: str, batch_id: int) -> DataFrame:
+    """Keys that the table has on these days, but for what this very batch wrote before."""
+    paths = f"{table}/day={{{','.join(days)}}}"
+    try:
+        found = spark.read.schema(MERGED).option("basePath", table).parquet(paths)
+    except AnalysisException as error:  # no folder of these days yet
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        found = spark.createDataFrame([], MERGED)
+    own = (F.col("run") == run) & (F.col("batch") == batch_id)
+    return found.where(~own).select(STATION, TIME)
+
+
+def merge_batch(batch: DataFrame, batch_id: int, table: str, run: str = "0") -> None:
     """Add the rows of one batch whose (station, time) the table does not have yet.
 
-    The table is laid out by day and batch. A batch only replaces its own folders, so a repeated
-    attempt gives the same table, and rows seen first are never rewritten. Only days the batch
-    touches are read.
+    The table is laid out by day, run and batch; `run` names the checkpoint the batch numbers count for,
+    so a new checkpoint never writes into folders of an older one. A batch only replaces its own
+    folders, so a repeated attempt gives the same table, and rows seen first are never rewritten. Only
+    folders of days that the batch touches are listed; those days are counted out on the driver,
+    a text of ten signs each. One writer at a time.
     """
     spark = batch.sparkSession
     ranked = batch if SEQ in batch.columns else batch.withColumn(SEQ, stable_order(VALUE))
     rows = dedupe_keep_first(ranked.select(STATION, TIME, VALUE, SEQ)).drop(SEQ)
-    rows = rows.withColumn("day", F.to_date(TIME))
-    if batch_id > 0:
-        # A day column has at most a few ten thousand values in any data, so it can be broadcast.
-        days = batch.select(F.to_date(TIME).alias("day")).distinct()
-        earlier = (
-            spark.read.schema(f"{STATION} string, {TIME} timestamp_ntz, {VALUE} double, day date, batch bigint")
-            .parquet(table)
-            .where(F.col("batch") < batch_id)
-            .join(F.broadcast(days), "day", "left_semi")
-            .select(STATION, TIME)
-        )
-        rows = rows.join(earlier, [STATION, TIME], "left_anti")
+    rows = rows.where(F.col(TIME).isNotNull()).withColumn("day", F.to_date(TIME))
+    days = [r[0] for r in rows.select(F.col("day").cast("string")).distinct().collect()]
+    if not days:
+        return
+    rows = rows.join(_earlier(spark, table, days, run, batch_id), [STATION, TIME], "left_anti")
     (
-        rows.withColumn("batch", F.lit(batch_id).cast("bigint"))
+        rows.withColumns({"run": F.lit(run), "batch": F.lit(batch_id).cast("bigint")})
         .repartitionByRange("day", STATION, TIME)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("day", "batch")
+        .partitionBy("day", "run", "batch")
         .parquet(table)
     )
 
 
 def merge_stream(stream: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
-    """Merge every available micro-batch into `table`, first-seen value kept."""
+    """Merge every available micro-batch into `table`, first-seen value kept.
+
+    The query's id is kept with its checkpoint: it stays over restarts and is new with a new one.
+    """
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        merge_batch(batch, batch_id, table, run)
+
     return (
-        stream.writeStream.foreachBatch(lambda batch, i: merge_batch(batch, i, table))
+        stream.writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -168,7 +168,8 @@ def test_manifest_and_requests(spark):
 def test_rows_fall_in_one_period_each(spark):
     periods = P.daily_periods(ranged(spark, "2022-01-14 06:00:00", "2022-01-16 00:00:00"))
     obs = spark.createDataFrame(
-        [(stamp(t),) for t in ("2022-01-14 05:59:59", "2022-01-14 06:00:00", "2022-01-15 23:59:59")],
+        [(stamp(t),) for t in ("2022-01-14 05:59:59", "2022-01-14 06:00:00", "2022-01-14 23:59:59.7", "2022-01-15 23:59:59")],
         "time timestamp_ntz")
     found = P.range_bucket_join(obs, periods.select("period_start", "period_end")).collect()
-    assert sorted(str(r["time"]) for r in found) == ["2022-01-14 06:00:00", "2022-01-15 23:59:59"]
+    assert sorted(str(r["time"]) for r in found) == [
+        "2022-01-14 06:00:00", "2022-01-14 23:59:59.700000", "2022-01-15 23:59:59"]

@@ -227,3 +227,15 @@ def test_merge_batch_can_be_repeated(spark):
     for batch, number in ((first, 0), (second, 1), (second, 1)):
         merge_batch(batch, number, out)
     assert by_key(merged(spark, out)) == {("A", at(0)): 1.0, ("A", at(6)): 3.0}
+
+
+def test_merge_over_a_new_checkpoint(spark):
+    out = scratch(spark, "merged")
+    batches = [[("A", 0, 1.0), ("A", 6, 2.0)], [("A", 6, 9.0), ("A", 12, 3.0)], [("A", 0, 8.0), ("B", 3000, 4.0)]]
+    for rows in batches:
+        landing, state = scratch(spark, "landing"), scratch(spark, "state")
+        frame = obs_frame(spark, rows)
+        frame.write.parquet(landing)
+        merge_stream(spark.readStream.schema(frame.schema).parquet(landing), out, state).awaitTermination()
+    assert by_key(merged(spark, out)) == {("A", at(0)): 1.0, ("A", at(6)): 2.0, ("A", at(12)): 3.0, ("B", at(3000)): 4.0}
+    assert merged(spark, out).count() == 4

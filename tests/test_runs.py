@@ -11,7 +11,6 @@ from gaugeloom.operators import matching as M
 from gaugeloom.operators import metadata as D
 from gaugeloom.operators import quality as Q
 from gaugeloom.operators import runs as R
-from gaugeloom.operators.spread import spread_join
 from helpers import at, obs_frame
 
 URL = "http://x/2022/nam/{}/hsofs/machine/inst/{}/fort.61.nc"
@@ -136,25 +135,3 @@ def test_missing_cap_and_empty(spark):
     day = data.withColumn("day", F.to_date("time"))
     assert {r["station"]: r["at_cap"] for r in Q.row_cap_check(day, ["day"], cap=2).collect()} == {
         "A": True, "B": False}
-
-
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_spread_join_equals_plain_join(spark, how):
-    rows = spark.createDataFrame([("hot", i) for i in range(300)] + [("cold", 1), ("none", 2)], "k string, n int")
-    lookup = spark.createDataFrame([("hot", "h"), ("cold", "c")], "k string, v string")
-    want = sorted(map(str, rows.join(lookup, "k", how).collect()))
-    assert sorted(map(str, spread_join(rows, lookup, ["k"], how, spread=["n"]).collect())) == want
-
-
-def test_hot_key_is_shared_by_tasks(spark):
-    rows = spark.range(0, 4000, 1, 4).select(F.lit("hot").alias("k"), F.col("id").alias("n"))
-    lookup = spark.createDataFrame([("hot", "h")], "k string, v string")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        sizes = spread_join(rows, lookup, ["k"], spread=["n"]).groupBy(F.spark_partition_id()).count().collect()
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 << 20))
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert sum(r["count"] for r in sizes) == 4000 and max(r["count"] for r in sizes) < 3000
-    assert at(0).minute == 0

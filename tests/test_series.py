@@ -54,36 +54,36 @@ def test_repair_crosses_block_borders(spark, limit):
     rows = [("A", 150 * i, rng.choice([None, None, float(i)])) for i in range(80)]
     df = obs_frame(spark, rows)
     want = dict(repaired([(at(m), v) for _, m, v in rows], limit))
-    for options in ({}, {"hours": 1}, {"most": 1}, {"most": None}):
+    for options in ({}, {"block_minutes": 15}, {"block_minutes": 1440}):
         got = {t: v for (_, t), v in by_key(interpolate_linear(df, limit, **options)).items()}
         assert got == want, options
 
 
-def test_hot_blocks_are_cut_by_count(spark):
-    from gaugeloom.operators.gaps import with_blocks
-
-    rows = [("hot", i / 60, float(i)) for i in range(900)] + [("cold", 0, 1.0)]
-    parts = with_blocks(obs_frame(spark, rows), most=100).groupBy("station", "_part").count().collect()
-    hot = [r["count"] for r in parts if r["station"] == "hot"]
-    assert sum(hot) == 900 and max(hot) <= 100
-    assert [r["_part"] for r in parts if r["station"] == "cold"] == [0]
-
-
-def test_ordinary_blocks_stay_whole(spark):
+def test_blocks_depend_on_the_row_alone(spark):
     from gaugeloom.operators.gaps import with_blocks
 
     calm = [("calm", 6 * i, float(i)) for i in range(200)]
     for rows in (calm, calm + [("hot", i / 60, 1.0) for i in range(300)]):
-        parts = with_blocks(obs_frame(spark, rows), most=100).where("station = 'calm'")
-        assert {r["_part"] for r in parts.collect()} == {0}
-        assert parts.select("_block").distinct().count() == 4
+        blocks = with_blocks(obs_frame(spark, rows)).where("station = 'calm'")
+        assert {r["count"] for r in blocks.groupBy("_block").count().collect()} == {10}
+
+
+@pytest.mark.parametrize("stations", [1, 30])
+def test_hot_and_equally_hot_blocks(spark, stations):
+    # One station with most rows, or many bins of one size: the same path, the same answer.
+    rng = random.Random(stations)
+    raw = [(f"s{i % stations}", rng.randrange(600) / 10, rng.choice([None, float(i)])) for i in range(900)]
+    rows = [(s, at(m), v, i) for i, (s, m, v) in enumerate(raw)]
+    want = {(s, t): v for s, p in first_of_times(rows).items() for t, v in repaired(p, 1)}
+    assert by_key(interpolate_linear(dedupe_keep_first(obs_frame(spark, raw)))) == want
+    assert by_key(harvest_series(obs_frame(spark, raw))) == recipe(rows)
 
 
-@given(BURSTY, st.sampled_from([1, 2, 3]), st.sampled_from([3, None]))
+@given(BURSTY, st.sampled_from([1, 2, 3]), st.sampled_from([2, 60]))
 @FEW
-def test_interpolation_matches_plain_python(spark, raw, limit, most):
+def test_interpolation_matches_plain_python(spark, raw, limit, minutes):
     df = obs_frame(spark, raw)
-    got = by_key(interpolate_linear(dedupe_keep_first(df), limit, hours=1, most=most))
+    got = by_key(interpolate_linear(dedupe_keep_first(df), limit, minutes))
     rows = [(s, at(m), v, i) for i, (s, m, v) in enumerate(raw)]
     want = {(s, t): v for s, p in first_of_times(rows).items() for t, v in repaired(p, limit)}
     assert got == want
@@ -93,7 +93,7 @@ def test_interpolation_matches_plain_python(spark, raw, limit, most):
 @FEW
 def test_gap_runs_match_plain_python(spark, raw):
     got = {(r["station"], r["time"]): (r["gap_id"], r["gap_pos"])
-           for r in gap_runs(dedupe_keep_first(obs_frame(spark, raw)), hours=1, most=3).collect()}
+           for r in gap_runs(dedupe_keep_first(obs_frame(spark, raw)), 2).collect()}
     want = {}
     for s, points in first_of_times([(s, at(m), v, i) for i, (s, m, v) in enumerate(raw)]).items():
         valid = run = 0
@@ -132,15 +132,15 @@ def test_unique_flag_gives_the_same_answer(spark):
         assert by_key(harvest_series(df, minutes, unique=True)) == by_key(harvest_series(df, minutes))
 
 
-@pytest.mark.parametrize("most", [1, 4, 40])
-def test_hot_bins_take_the_other_way(spark, most):
+@pytest.mark.parametrize("seed", [1, 4, 40])
+def test_hot_bins(spark, seed):
     # One row copied over and over, and one station with most of the rows.
-    rng = random.Random(most)
+    rng = random.Random(seed)
     raw = [("copy", 5, None)] + [("copy", 5, 1.0)] * 60 + [("copy", 22, 2.0)]
     raw += [("hot", rng.randrange(40), rng.choice([None, float(i)])) for i in range(90)]
     raw += [("calm", 33, 4.0)]
     rows = [(s, at(m), v, i) for i, (s, m, v) in enumerate(raw)]
-    assert by_key(harvest_series(obs_frame(spark, raw), most=most)) == recipe(rows)
+    assert by_key(harvest_series(obs_frame(spark, raw))) == recipe(rows)
 
 
 def test_empty_bins_are_present(spark):
