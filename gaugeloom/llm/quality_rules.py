@@ -34,6 +34,8 @@ FLOORS = [0.3, 0.05, 0.25, 0.3, 0.3, 0.15, 0.15]
 SHARE = 0.75
 STEPS = 4
 MIN_ROWS = 200
+#: Parts that rows of one group are dealt into when they meet their group's estimate.
+SALTS = 64
 TAIL = 1e-9
 REMEMBERED = 400_000
 
@@ -155,6 +157,12 @@ def _group_keys(stats: DataFrame, min_rows: int) -> DataFrame:
     return each.join(by_lang, "g_lang").select("g_lang", "g_source", key.alias("key"))
 
 
+def _salted(groups: DataFrame) -> DataFrame:
+    """A row of each group for each salt. Joined by group and salt, a hot group is many tasks' work, and
+    what is summed up by group afterwards is summed up in part before it is shuffled."""
+    return groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
 def _distance(params: str = "p") -> Column:
     """Squared Mahalanobis distance of the features to the parameters in struct `params`."""
     d = len(FEATURES)
@@ -207,14 +215,17 @@ def _estimate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def robust_estimates(stats: DataFrame, steps: int = STEPS) -> DataFrame:
-    """(key, p): centre and inverse covariance of each group after the concentration steps."""
+    """(key, p): centre and inverse covariance of each group after the concentration steps.
+
+    `stats` has columns key, salt (from 0 below `SALTS`) and the features.
+    """
     params = stage(_start(stats), "mcd")
     for _ in range(steps):
-        far = stats.join(params, "key").withColumn("d2", _distance())
+        far = stats.join(_salted(params), ["key", "salt"]).withColumn("d2", _distance())
         cut = far.groupBy("key").agg(
             F.percentile_approx("d2", SHARE, 2000).alias("cut"), F.first("p.n").alias("n")
         )
-        sums = far.join(cut, "key").filter("d2 <= cut").groupBy("key").agg(F.first("n").alias("n"), *_sums())
+        sums = far.join(_salted(cut), ["key", "salt"]).filter("d2 <= cut").groupBy("key").agg(F.first("n").alias("n"), *_sums())
         kind = "key string, p struct<n: long, center: array<double>, inverse: array<double>>"
         params = stage(sums.mapInPandas(_estimate, kind), "mcd")
     return params
@@ -246,14 +257,15 @@ def quality_rules(
         )
         .select("row", "g_lang", "g_source", "counts.*")
         .withColumn("base_failed", base_failed())
+        .withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
         .select("*", *[x.alias(f) for f, x in zip(FEATURES, _features())]),
         "stats",
     )
     keys = stage(_group_keys(stats, min_rows), "groups")
-    good = stats.filter("NOT base_failed").join(keys, ["g_lang", "g_source"])
-    params = robust_estimates(good.select("key", *FEATURES))
+    good = stats.filter("NOT base_failed").join(_salted(keys), ["g_lang", "g_source", "salt"])
+    params = robust_estimates(good.select("key", "salt", *FEATURES))
     limit = chi2_quantile(1 - tail, len(FEATURES))
     by_group = keys.join(params, "key").filter(F.col("p.n") >= min_rows)
-    judged = stats.join(by_group, ["g_lang", "g_source"], "left").withColumn("distance2", _distance())
+    judged = stats.join(_salted(by_group), ["g_lang", "g_source", "salt"], "left").withColumn("distance2", _distance())
     kept = ~F.col("base_failed") & (F.coalesce("distance2", F.lit(0.0)) <= limit)
     return judged.select("row", *COUNTS, "base_failed", "distance2", kept.alias("kept"))

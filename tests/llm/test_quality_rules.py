@@ -65,8 +65,8 @@ def test_estimates_against_numpy(spark):
     rng = np.random.default_rng(1)
     x = rng.standard_normal((400, len(rules.FEATURES))) @ rng.standard_normal((len(rules.FEATURES),) * 2)
     x[:60] += 25  # outliers that pull a plain mean and covariance
-    rows = [("a", *map(float, r)) for r in x]
-    stats = spark.createDataFrame(rows, "key string, " + ", ".join(f"{f} double" for f in rules.FEATURES))
+    rows = [("a", k % rules.SALTS, *map(float, r)) for k, r in enumerate(x)]
+    stats = spark.createDataFrame(rows, "key string, salt int, " + ", ".join(f"{f} double" for f in rules.FEATURES))
     got = rules.robust_estimates(stats).first()["p"]
     center, inverse = plain_mcd(x, rules.STEPS)
     assert np.allclose(got["center"], center) and np.allclose(np.reshape(got["inverse"], inverse.shape), inverse)
