@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import datetime
 from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame
@@ -19,13 +20,13 @@ from gaugeloom.operators.matching import (
 from gaugeloom.operators.metadata import resolve_site, standard_meta
 from gaugeloom.operators.periods import gauge_requests, harvest_manifest, range_bucket_join
 from gaugeloom.operators.products import select_sensor_class
-from gaugeloom.operators.quality import excluded_stations, row_cap_check
+from gaugeloom.operators.quality import excluded_stations, harvest_counts, row_cap_check
 from gaugeloom.operators.runs import (
     assert_single_cast, first_nonempty, first_valid_meta, run_cast, with_run_parts,
 )
 from gaugeloom.plans.series import harvest_series
 from gaugeloom.schema import (
-    DEFAULT_MINUTES, FILL_VALUE, OWNERS, REQUEST_ROW_CAP, SEQ, STATION, TIME, VALUE, harvest_product,
+    DEFAULT_MINUTES, FILL_VALUE, GAUGE_GROUPS, OWNERS, REQUEST_ROW_CAP, SEQ, STATION, TIME, VALUE, harvest_product,
 )
 from gaugeloom.session import stage
 from gaugeloom.sinks.files import write_long, write_meta
@@ -41,6 +42,7 @@ class Harvest:
     rows: DataFrame
     meta: DataFrame
     minutes: int | None = DEFAULT_MINUTES
+    stop: str | datetime | None = None
 
     @cached_property
     def staged(self) -> DataFrame:
@@ -57,14 +59,30 @@ class Harvest:
         """Requested stations without a usable series, and why."""
         return excluded_stations(self.requested, self.staged)
 
-    def write(self, root: str, tag: str, single_file: bool = False) -> tuple[str, str]:
-        """Write both files under a `{group}_{time}` style tag."""
-        data = write_long(
-            self.data, root, self.source, tag, self.product, self.requested, single_file
-        )
+    @cached_property
+    def counts(self) -> DataFrame:
+        """Stations with and without data, and with and without metadata, in one row."""
+        return harvest_counts(self.requested, self.staged, self.meta)
+
+    def tag(self) -> str:
+        """The part of the file names that tells this run from others."""
+        if self.stop is None:
+            raise ValueError("this run has no stop time to be named by")
+        return "_".join(p for p in (GAUGE_GROUPS.get(self.product), iso_text(self.stop)) if p)
+
+    def write(self, root: str, tag: str | None = None) -> tuple[str, str]:
+        """Write data and metadata; the names follow from the run unless a tag is given."""
+        tag = tag or self.tag()
+        data = write_long(self.data, root, self.source, tag, self.product, self.requested)
         return data, write_meta(self.meta, root, self.source, tag)
 
 
+def iso_text(time: str | datetime) -> str:
+    """A time as file names have it."""
+    parsed = time if isinstance(time, datetime) else datetime.fromisoformat(time)
+    return parsed.strftime("%Y-%m-%dT%H:%M:%S")
+
+
 def _of_stations(obs: DataFrame, requested: DataFrame) -> DataFrame:
     wanted = requested.select(STATION).distinct()
     return obs.join(wanted, [STATION], "left_semi")
@@ -89,7 +107,7 @@ def tide_harvest(
     known = meta.join(
         requested.select(F.col(STATION).alias("STATION")).distinct(), "STATION", "left_semi"
     )
-    return Harvest("NOAA", product, requested, sliced, known, minutes)
+    return Harvest("NOAA", product, requested, sliced, known, minutes, end)
 
 
 def gauge_harvest(
@@ -114,7 +132,7 @@ def gauge_harvest(
         requested.select(STATION).distinct(), STATION, "left_semi"
     )
     meta = standard_meta(located, OWNERS["CONTRAILS"])
-    return Harvest("CONTRAILS", product, requested, metric, meta, minutes)
+    return Harvest("CONTRAILS", product, requested, metric, meta, minutes, end)
 
 
 def gauge_plan(
@@ -136,6 +154,12 @@ def capped_requests(obs: DataFrame, plan: DataFrame, cap: int = REQUEST_ROW_CAP)
 class ModelHarvest(Harvest):
     casts: DataFrame | None = None
     unmatched: DataFrame | None = None
+    runs: DataFrame | None = None
+
+    def tag(self) -> str:
+        """Ensemble, grid and start (or advisory) of the first run: one row comes to the driver."""
+        first = with_run_parts(first_nonempty(self.runs)).select("ensemble", F.upper("grid"), "label").first()
+        return "_".join(first)
 
 
 def model_harvest(
@@ -188,7 +212,7 @@ def model_harvest(
         ),
         F.col("source"),
     )
-    return ModelHarvest("ASGS", "water_level", requested, rows, meta, 0, casts, unmatched)
+    return ModelHarvest("ASGS", "water_level", requested, rows, meta, 0, None, casts, unmatched, runs)
 
 
 def unmatched_nodes(pairs: DataFrame, series: DataFrame) -> DataFrame:

@@ -22,17 +22,14 @@ def write_long(
     tag: str,
     product: str = "water_level",
     requested: DataFrame | None = None,
-    single_file: bool = False,
 ) -> str:
     """Write `TIME,STATION,<PRODUCT>` in request order and return the folder.
 
     The global sort is a range partitioning, so the part files, read in order, are the file; a
-    long station spans several of them. `single_file` is for small runs only.
+    long station spans several of them.
     """
     path = artifact_path(root, source, tag)
     rows = output_form(order_output(df, requested), product)
-    if single_file:
-        rows = rows.coalesce(1)
     rows.write.mode("overwrite").csv(path, header=True)
     return path
 

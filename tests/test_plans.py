@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -47,12 +48,14 @@ def test_tide_run(spark, tides):
     meta = run.meta.collect()
     assert [(m["STATION"], m["LON"], m["OWNER"]) for m in meta] == [("A", None, "NOAA/NOS")]
     assert {r["station"] for r in run.excluded.collect()} == {"B", "C"}
-    data, metafile = run.write(scratch(spark, "out"), "2021-09-02T00:00:00", single_file=True)
+    data, metafile = run.write(scratch(spark, "out"))
     assert data.endswith("noaa_stationdata_2021-09-02T00:00:00")
     assert metafile.endswith("noaa_stationdata_meta_2021-09-02T00:00:00")
-    lines = [r["value"] for r in spark.read.text(data).collect()]
-    assert lines[0] == "TIME,STATION,WATER_LEVEL"
-    assert lines[1:] == ["2021-09-01T00:00:00,B,-99999.0", "2021-09-01T00:15:00,B,7.0",
+    head = "TIME,STATION,WATER_LEVEL"
+    files = sorted(Path(data).glob("part-*.csv"))  # read in order they are the file
+    lines = [line for f in files for line in f.read_text().splitlines() if line != head]
+    assert all(f.read_text().startswith(head) for f in files if f.read_text())
+    assert lines == ["2021-09-01T00:00:00,B,-99999.0", "2021-09-01T00:15:00,B,7.0",
                          "2021-09-01T00:00:00,A,1.0", "2021-09-01T00:15:00,A,5.0"]
 
 
@@ -99,6 +102,7 @@ def test_gauge_run(spark):
     assert [round(got["30033", t], 6) for t in times] == [0.338328] * 3 + [-99999.0]
     assert round(got["35370047744601", quarter], 6) == 3.048 and len(got) == 8
     meta = run.meta.collect()[0]
+    assert run.tag().startswith("RIVERS_20")
     assert (meta["STATION"], meta["LAT"], meta["LON"], meta["NAME"], meta["OWNER"]) == (
         "30033", 35.1, None, "Creek", "NCEM")
 
@@ -125,6 +129,8 @@ def test_model_run_by_station_name(spark):
     assert {r["NAME"] for r in run.meta.collect()} == {"HSOFS_NAMFORECAST"}
     assert {(r["STATION"], r["LON"], r["OWNER"]) for r in run.meta.collect()} == {("A", 11.0, "model"), ("C", 10.0, "model")}
     assert {r["cast"] for r in run.casts.collect()} == {"FORECAST"}
+    assert tuple(run.counts.first()) == (2, 1, 2, 1)
+    assert run.tag() == "namforecast_HSOFS_2022-01-16T00:00:00"
 
 
 def test_model_run_by_node_table(spark):
