@@ -1,7 +1,7 @@
 """Approximate nearest neighbours by cosine: forests of sorted hash strings.
 
-Distinct vectors are dealt into shards of a fixed size. A task holds one shard's vectors and its
-forest: for each tree a sorted array of 64-bit strings, one bit for each random hyperplane. A block of
+Distinct vectors are dealt into shards of a fixed size, distinct queries into blocks of a fixed size. A
+task holds one shard's vectors, their forest and one block: for each tree a sorted array of 64-bit strings, one bit for each random hyperplane. A block of
 queries descends every tree to its longest common prefix and then ascends all trees together, one bit
 a step, until the subtrees under the shared prefix hold enough candidates. Candidates are compared
 exactly, and a shard returns only its best for each query. Since a shard's size and its candidates do
@@ -26,6 +26,8 @@ SHARD_ROWS = 16_384
 #: vectors have no structure at all.
 CANDIDATES = 8_000
 QUERY_BLOCK = 1024
+#: Distinct query vectors that meet a shard in one task, about; more of them go to further tasks.
+GROUP_QUERIES = 16_384
 
 
 class Forest:
@@ -133,9 +135,11 @@ def nearest(
         "asked",
     )
     shards = max(1, -(-classes.count() // SHARD_ROWS))
-    index = classes.withColumn("shard", F.pmod(F.xxhash64("class", F.lit(1)), F.lit(shards)).cast("int"))
-    every = F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))
-    asks = asked.select("question", "vector", "dims", every.alias("shard"))
+    blocks = max(1, -(-asked.count() // GROUP_QUERIES))
+    part = lambda seed, n: F.pmod(F.xxhash64("class", F.lit(seed)), F.lit(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    index = classes.withColumn("shard", part(1, shards)).withColumn("block", each(blocks))
+    asks = asked.select("question", "vector", "dims", part(2, blocks).alias("block"), each(shards).alias("shard"))
 
     def search(own: pd.DataFrame, questions: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -159,16 +163,17 @@ def nearest(
                     out.extend((number[q], i, -s) for s, i in near)
         return pd.DataFrame(out, columns=["question", "id", "score"])
 
-    found = index.groupBy("shard", "dims").cogroup(asks.groupBy("shard", "dims"))
+    task = ["shard", "block", "dims"]
+    found = index.groupBy(task).cogroup(asks.groupBy(task))
     found = found.applyInPandas(search, "question long, id long, score double")
     best = Window.partitionBy("question").orderBy(F.desc("score"), "id")
     top = found.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k + 1)
     near = top.groupBy("question").agg(F.sort_array(F.collect_list(F.struct("place", "id", "score"))).alias("near"))
-    each = (
+    own = (
         rows.filter("asks")
         .join(asked.join(stage(near, "near"), "question"), ["class", "vector"])
         .select("id", F.slice(F.filter("near", lambda x: x["id"] != F.col("id")), 1, k).alias("near"))
     )
-    return each.select(F.col("id").alias("query_id"), F.posexplode("near").alias("pos", "found")).select(
+    return own.select(F.col("id").alias("query_id"), F.posexplode("near").alias("pos", "found")).select(
         "query_id", (F.col("pos") + 1).cast("int").alias("rank"), F.col("found.id").alias("vec_id"), "found.score"
     )

@@ -36,9 +36,10 @@ def awkward():
     return rows + rows[:3] + [(300, same, None, None, None)]
 
 
-@pytest.mark.parametrize("shard_rows", [16_384, 20])
-def test_awkward_rows(spark, monkeypatch, shard_rows):
+@pytest.mark.parametrize("shard_rows, group_queries", [(16_384, 16_384), (20, 16_384), (20, 4)])
+def test_awkward_rows(spark, monkeypatch, shard_rows, group_queries):
     monkeypatch.setattr(forest, "SHARD_ROWS", shard_rows)
+    monkeypatch.setattr(forest, "GROUP_QUERIES", group_queries)
     rows = awkward()
     got = {}
     for r in forest.nearest(spark.createDataFrame(rows, KIND), "asks", k=5).collect():
