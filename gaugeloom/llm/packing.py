@@ -4,7 +4,8 @@ A document's hashed word vector is projected to three dimensions and cut into ce
 key of its cell says where on the curve it lies. Rows are dealt out by ranges of the key; each task
 sorts its range, encodes the texts and cuts the stream of ids into full sequences, so neighbours on
 the curve share sequences and only the last sequence of a range needs padding. Equal keys are parted
-by a hash of the row, so copies of one text fill as many ranges as they need.
+by a hash of the row and equal rows by their place in the staged table, so copies of one text, or one row
+repeated, fill as many ranges as they need.
 """
 
 from __future__ import annotations
@@ -109,7 +110,7 @@ def pack(
             n_bytes(text).alias("size"),
             curve_key(text).alias("key"),
             F.xxhash64(*[F.col(f"`{c}`") for c in {text: 0, **dict.fromkeys(carry)}]).alias("tie"),
-        ),
+        ).withColumn("uid", F.monotonically_increasing_id()),
         "curve",
     )
     ranges = max(1, -(-(rows.agg(F.sum("size")).first()[0] or 0) // RANGE_BYTES))
@@ -141,5 +142,6 @@ def pack(
                     pieces, held = [], 0
 
     kind = f"row {row}, start long, ids binary, doc_tokens long, sequence_id long, offset long"
-    ordered = rows.repartitionByRange(ranges, "key", "tie").sortWithinPartitions("key", "tie")
+    order = ["key", "tie", "uid"]
+    ordered = rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
     return ordered.select("row", "text").mapInArrow(cut, kind)

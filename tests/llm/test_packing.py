@@ -72,6 +72,18 @@ def test_awkward_rows(spark, whole):
     assert pack(empty(spark), PATH, carry=["doc_id"]).count() == 0
 
 
+def test_one_row_repeated_fills_many_ranges(spark, whole, monkeypatch):
+    import gaugeloom.llm.packing as module
+
+    monkeypatch.setattr(module, "RANGE_BYTES", 1000)
+    docs = spark.createDataFrame([(1, "same words over and over")] * 600, "doc_id long, text string")
+    ids = ids_of(whole, "same words over and over")
+    pieces = pack(docs, PATH, carry=["doc_id"], length=64).collect()
+    check(pieces, {1: ids, "all": [ids] * 600}, 64)
+    used = {r["sequence_id"] >> 33 for r in pieces}
+    assert len(used) > 5
+
+
 def test_query(spark, small, whole):
     text = dict(spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect())
     rows = op7(spark, small).collect()
