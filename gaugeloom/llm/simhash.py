@@ -26,6 +26,8 @@ from gaugeloom.session import stage
 
 SHARD_ROWS = 32_768
 SAMPLE_PER_SHARD = 64
+#: Fingerprints that the upper tree is fitted on at most; all of them are dealt out by it.
+SAMPLE_MOST = 1 << 20
 LEAF_ROWS = 48
 BLOCK_CELLS = 1 << 21
 PIECE = 1 << 16
@@ -195,7 +197,7 @@ def fingerprint_links(prints: DataFrame, max_bits: int = 3) -> DataFrame:
     fewer differing bits joins them. An empty table gives no links.
     """
     shards = -(-prints.count() // SHARD_ROWS)
-    size = SAMPLE_PER_SHARD * max(1, shards)
+    size = min(SAMPLE_PER_SHARD * max(1, shards), SAMPLE_MOST)
     sample = prints.orderBy(F.xxhash64("fp"), "fp").limit(size).toPandas()["fp"]
     tree = Tree(sample.to_numpy(np.int64).view(np.uint64), shards)
 
