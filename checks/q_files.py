@@ -10,6 +10,7 @@ from checks.standins import (
     customer_meta, model_nodes, model_series, observations, runs, sensors, sites, table,
     user_request,
 )
+from gaugeloom.operators.dedupe import dedupe_keep_first
 from gaugeloom.plans.series import harvest_series
 from gaugeloom.schema import META_KEYS, STATION_NODE_TYPES
 from gaugeloom.session import scratch
@@ -156,6 +157,18 @@ def read_gauge_obs(spark, sf):
     return gauge.read_gauge_obs(spark, land_gauge(spark, sf)).drop("seq")
 
 
+@check("gauge_first_of_repeats", P.with_(P.obs(unit="hour"), P.dedupe(), select="SELECT station, time, value FROM ded"))
+def gauge_first_of_repeats(spark, sf):
+    """Gauge answers that repeat times: the provider's first row stays."""
+    path = scratch(spark, "gauge")
+    observations(spark, sf, unit="hour").select(
+        F.date_format("time", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("data_time"), F.col("value").alias("data_value"), "seq",
+        F.lit(20).alias("class"), "station",
+    ).write.format("xml").option("rootTag", "general").option("rowTag", "row").partitionBy("class", "station").save(path)
+    rows = gauge.read_gauge_obs(spark, path, "river_water_level").drop("class")
+    return dedupe_keep_first(rows).drop("seq")
+
+
 @check("read_gauge_sensor_meta", P.with_(P.SENSORS, select="SELECT * FROM sensors"))
 def read_gauge_sensor_meta(spark, sf):
     return gauge.read_gauge_sensor_meta(spark, land_xml(spark, sensors(spark, sf), "sensors"))
@@ -260,6 +273,19 @@ def stream_resample_(spark, sf):
     return spark.read.schema("station string, time timestamp_ntz, value double").parquet(out)
 
 
+@check("stream_resample_repeats", P.with_(P.obs(unit="minute"), P.dedupe(), P.resample("ded"), select="""
+SELECT * FROM bins
+WHERE time + INTERVAL 15 MINUTE <= (SELECT max(time) - INTERVAL 2 DAY FROM obs)"""))
+def stream_resample_repeats(spark, sf):
+    """Times cut to the minute repeat; the landed files hold later rows before earlier ones."""
+    landing, out = scratch(spark, "landing"), scratch(spark, "bins")
+    rows = observations(spark, sf, unit="minute")
+    rows.repartitionByRange(F.desc("seq")).sortWithinPartitions(F.desc("seq")).write.parquet(landing)
+    stream = spark.readStream.schema(rows.schema).parquet(landing)
+    append_to(stream_resample(stream), out, scratch(spark, "bins-state")).awaitTermination()
+    return spark.read.schema("station string, time timestamp_ntz, value double").parquet(out)
+
+
 @check("stream_merge", P.with_(P.obs("old", unit="hour"), P.obs("new", unit="minute"),
     P.dedupe("old", "a"), P.dedupe("new", "b"), select="""
 SELECT station, time, value FROM a UNION ALL

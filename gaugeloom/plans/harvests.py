@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta
 from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame
@@ -83,6 +83,13 @@ def iso_text(time: str | datetime) -> str:
     return parsed.strftime("%Y-%m-%dT%H:%M:%S")
 
 
+def back_from(stop: str | datetime, ndays: int) -> tuple[datetime, datetime]:
+    """Start and end of a run given its stop time and a number of days, negative to look back."""
+    end = stop if isinstance(stop, datetime) else datetime.fromisoformat(stop)
+    other = end + timedelta(days=ndays)
+    return min(end, other), max(end, other)
+
+
 def _of_stations(obs: DataFrame, requested: DataFrame) -> DataFrame:
     wanted = requested.select(STATION).distinct()
     return obs.join(wanted, [STATION], "left_semi")

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeloom.functions.values import nan_to_null, stable_order
+from gaugeloom.functions.values import convert_units, nan_to_null, stable_order
+from gaugeloom.operators.metadata import resolve_site, standard_meta
 from gaugeloom.operators.products import select_sensor_class
 from gaugeloom.schema import (
-    GAUGE_OBS_SCHEMA, GAUGE_SENSOR_SCHEMA, GAUGE_SITE_SCHEMA, SEQ, STATION, TIME, VALUE,
+    GAUGE_OBS_SCHEMA, GAUGE_SENSOR_SCHEMA, GAUGE_SITE_SCHEMA, OWNERS, SEQ, STATION, TIME, VALUE, harvest_product,
 )
 
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
@@ -29,7 +30,9 @@ def _xml(spark: SparkSession, path: str, schema) -> DataFrame:
 def read_gauge_obs(spark: SparkSession, path: str, product: str | None = None) -> DataFrame:
     """`(station, class, time, value, seq)` in the provider's unit (feet).
 
-    Files lie under `class=<code>/station=<id>/`, so naming a product prunes the folders read.
+    Files lie under `class=<code>/station=<id>/`, so naming a product prunes the folders read. `seq` is
+    the row's place in the provider's answer where the landed rows carry it; else a repeated time keeps
+    one of its values, always the same one.
     """
     folders = [T.StructField("class", T.IntegerType()), T.StructField(STATION, T.StringType())]
     raw = _xml(spark, path, T.StructType([*GAUGE_OBS_SCHEMA.fields, *folders]))
@@ -40,10 +43,21 @@ def read_gauge_obs(spark: SparkSession, path: str, product: str | None = None) -
         "class",
         F.col("data_time").alias(TIME),
         nan_to_null("data_value").alias(VALUE),
-        stable_order("data_value").alias(SEQ),
+        F.coalesce(SEQ, stable_order("data_value")).alias(SEQ),
     )
 
 
+def read_product(spark: SparkSession, path: str, product: str = "river_water_level") -> DataFrame:
+    """`(station, time, value, seq)` of one product in metres."""
+    return read_gauge_obs(spark, path, product).select(STATION, TIME, convert_units(VALUE).alias(VALUE), SEQ)
+
+
+def read_meta(spark: SparkSession, path: str, product: str = "river_water_level") -> DataFrame:
+    """Standard metadata of one product's gauges, from the folders `sensors` and `sites` of `path`."""
+    sensors, sites = read_gauge_sensor_meta(spark, f"{path}/sensors"), read_gauge_site_meta(spark, f"{path}/sites")
+    return standard_meta(resolve_site(sensors, sites, harvest_product("CONTRAILS", product)), OWNERS["CONTRAILS"])
+
+
 def read_gauge_sensor_meta(spark: SparkSession, path: str) -> DataFrame:
     return _xml(spark, path, GAUGE_SENSOR_SCHEMA)
 

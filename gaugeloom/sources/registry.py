@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gaugeloom.plans.series import harvest_series
 from gaugeloom.schema import DEFAULT_MINUTES
+from gaugeloom.sources import gauge, tide
 
 Reader = Callable[..., DataFrame]
 
@@ -41,3 +42,11 @@ class SourceRegistry:
     ) -> DataFrame:
         """Repaired, resampled, aligned and filled series of a source."""
         return self.observations(spark, name, path, **options).transform(harvest_series, minutes)
+
+
+def standard_sources() -> SourceRegistry:
+    """The tide and gauge sources; more can be registered."""
+    found = SourceRegistry()
+    found.register("NOAA", tide.read_tide_obs, tide.read_tide_meta)
+    found.register("CONTRAILS", gauge.read_product, gauge.read_meta)
+    return found

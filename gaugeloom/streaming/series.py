@@ -19,13 +19,16 @@ def stream_resample(
 ) -> DataFrame:
     """First valid value per station and bin; rows may come up to `late` behind.
 
-    Repeated times are dropped (the first to arrive stays), and a bin is given out once it is
-    `late` behind the newest row.
+    Of repeated times the first by `seq` stays, even if NULL, whatever order they arrive in; without
+    that column one of the values, always the same one. A bin is given out once it is `late` behind
+    the newest row.
     """
+    ranked = stream if SEQ in stream.columns else stream.withColumn(SEQ, stable_order(VALUE))
     return (
-        stream.select(STATION, F.col(TIME).cast("timestamp").alias(TIME), VALUE)
+        ranked.select(STATION, F.col(TIME).cast("timestamp").alias(TIME), VALUE, SEQ)
         .withWatermark(TIME, late)
-        .dropDuplicatesWithinWatermark([STATION, TIME])
+        .groupBy(STATION, TIME)
+        .agg(F.min_by(VALUE, SEQ).alias(VALUE))
         .where(F.col(VALUE).isNotNull())
         .groupBy(F.window(TIME, f"{minutes} minutes").alias("_bin"), STATION)
         .agg(F.min_by(VALUE, TIME).alias(VALUE))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from gaugeloom.plans import harvests as H
 from gaugeloom.session import scratch
 from gaugeloom.sources import gauge, lists, model, tide
-from gaugeloom.sources.registry import SourceRegistry
+from gaugeloom.sources.registry import SourceRegistry, standard_sources
 from gaugeloom.streaming.series import append_to, merge_stream, merged, stream_resample
 from helpers import at, by_key, obs_frame
 from test_runs import NODES, SERIES, START, URL, asked
@@ -76,6 +76,28 @@ def test_registry_of_sources(spark, tides):
         registry.observations(spark, "moon", tides[0])
 
 
+def test_standard_sources(spark, tides):
+    found = standard_sources()
+    assert found.names() == ["NOAA", "CONTRAILS"]
+    assert by_key(found.series(spark, "noaa", tides[0], product="water_level", minutes=0))["A", at(6)] == 2.0
+    root = scratch(spark, "gauge")
+    land_text(f"{root}/obs/class=20/station=S", "a.xml", gauge_xml([("2022-01-15 22:45:00", "10")]))
+    land_text(f"{root}/obs/class=94/station=S", "a.xml", gauge_xml([("2022-01-15 22:45:00", "9")]))
+    land_text(f"{root}/sensors", "s.xml", "<general><row><site_id>S</site_id><or_site_id>7</or_site_id>"
+              "<sensor_class>20</sensor_class><or_sensor_id>1</or_sensor_id><location>Creek</location></row></general>")
+    land_text(f"{root}/sites", "s.xml", "<general><row><or_site_id>7</or_site_id><latitude_dec>35.1</latitude_dec>"
+              "<longitude_dec>-78</longitude_dec><location>x</location></row></general>")
+    rows = found.observations(spark, "Contrails", f"{root}/obs").collect()
+    assert [r["value"] for r in rows] == [pytest.approx(3.048)]
+    meta = found.metadata(spark, "Contrails", root).collect()
+    assert [(r["STATION"], r["LAT"], r["NAME"]) for r in meta] == [("S", 35.1, "Creek")]
+
+
+def test_back_from():
+    assert H.back_from("2022-01-16 00:00:00", -2) == (datetime(2022, 1, 14), datetime(2022, 1, 16))
+    assert H.back_from(datetime(2022, 1, 14), 2) == (datetime(2022, 1, 14), datetime(2022, 1, 16))
+
+
 def gauge_xml(rows):
     body = "".join(f"<row><data_time>{t}</data_time><data_value>{v}</data_value></row>" for t, v in rows)
     return f"<onerain><response><general>{body}</general></response></onerain>"
