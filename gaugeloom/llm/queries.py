@@ -14,6 +14,7 @@ from gaugeloom.llm.hmm import hmm_scores
 from gaugeloom.llm.kd_shards import kd_shards
 from gaugeloom.llm.mixing import mix
 from gaugeloom.llm.packing import pack
+from gaugeloom.llm.period_runs import period_runs
 from gaugeloom.llm.quality_classifier import KEEP_FROM, quality_score
 from gaugeloom.llm.quality_rules import quality_rules
 from gaugeloom.llm.simhash import hex_digits, near_duplicates
@@ -97,3 +98,31 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         "kept", "distance2",
     )
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """doc_id and text; of every tenth document by the hash of its id, words from a place on repeat with a period."""
+    words = F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    hashed = docs.select(
+        "doc_id", "text", F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("h")
+    ).withColumn("words", F.when(F.col("h") % 10 == 0, words))
+    placed = hashed.withColumn("n", F.size("words")).withColumn("g", F.floor(F.col("h") / 10))
+    placed = placed.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    placed = placed.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    word = lambda w, i: F.when(i >= F.col("a"), F.get("words", F.col("a") + (i - F.col("a")) % F.col("p"))).otherwise(w)
+    changed = F.when(F.col("n") > 0, F.array_join(F.transform("words", word), " ")).otherwise(F.col("text"))
+    return placed.select("doc_id", changed.alias("text"))
+
+
+@query("op11_period_runs")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = period_runs(with_periods(table(spark, sf_dir, "documents")), carry=["doc_id"])
+    longer = lambda a, r: F.when(r["length"] * a["period"] > a["length"] * r["period"], r).otherwise(a)
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    best = found.withColumn("best", F.reduce("runs", F.get("runs", F.lit(0)), longer))
+    return best.select(
+        "row.doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
