@@ -88,3 +88,46 @@ SELECT doc_id, text, lang, source, n_chars, copies, copy::INTEGER AS copy,
   md5('order|{seed}|' || key || '|' || copy) AS mix_key
 FROM (SELECT *, unnest(range(1, copies + 1)) AS copy FROM n WHERE copies > 0)
 """
+
+
+COLLOCATIONS = """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents
+), w AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[ \\t]+'), lambda x: x <> '') AS ws FROM pieces
+), spot AS (
+  SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w
+), grams AS (
+  SELECT lang, 1 AS size, ws[i] AS phrase FROM spot
+  UNION ALL SELECT lang, 2, ws[i] || ' ' || ws[i + 1] FROM spot WHERE i + 1 <= len(ws)
+  UNION ALL SELECT lang, 3, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] FROM spot WHERE i + 2 <= len(ws)
+), f AS (
+  SELECT lang, size, phrase, count(*) AS a FROM grams GROUP BY ALL
+), total AS (
+  SELECT lang, sum(a)::BIGINT AS n FROM f WHERE size = 1 GROUP BY 1
+), c AS (
+  SELECT lang, size, phrase, a, string_split(phrase, ' ') AS ws FROM f WHERE size > 1 AND a >= 10
+), cuts AS (
+  SELECT lang, size, phrase, a, k, array_to_string(ws[1:k], ' ') AS one, array_to_string(ws[k + 1:], ' ') AS two
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM c)
+), scored AS (
+  SELECT cuts.lang, cuts.size, cuts.phrase, cuts.a, k, x.a AS l, y.a AS r,
+    ((1000000::HUGEINT * cuts.a * cuts.a) // (x.a::HUGEINT * y.a))::BIGINT AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = cuts.one JOIN f y ON y.lang = cuts.lang AND y.phrase = cuts.two
+), least AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS nth FROM scored
+), inner_of AS (
+  SELECT lang, phrase, max(a) AS most FROM (
+    SELECT lang, ws[1] || ' ' || ws[2] AS phrase, a FROM c WHERE size = 3
+    UNION ALL SELECT lang, ws[2] || ' ' || ws[3], a FROM c WHERE size = 3
+  ) GROUP BY ALL
+), kept AS (
+  SELECT least.* FROM least LEFT JOIN inner_of USING (lang, phrase)
+  WHERE nth = 1 AND (size = 3 OR most IS NULL OR 100 * most < 50 * a)
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from gaugeloom.llm import oracles
 from gaugeloom.llm.chat import render
+from gaugeloom.llm.collocations import collocations
 from gaugeloom.llm.common import ORACLES, QUERIES, held_out, query, table  # noqa: F401
 from gaugeloom.llm.forest import nearest
 from gaugeloom.llm.hmm import hmm_scores
@@ -126,3 +127,8 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("1000 * best.length div best.period").alias("exponent_milli"),
         F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query("op13_phrase_collocations", oracles.COLLOCATIONS)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
