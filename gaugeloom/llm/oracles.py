@@ -131,3 +131,68 @@ WITH pieces AS (
 )
 SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
 """
+
+
+IMATCH = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, len(coalesce(text, '')) AS n,
+    coalesce(lead(coalesce(text, '')) OVER o, first_value(coalesce(text, '')) OVER o) AS next_text,
+    coalesce(lead(doc_id) OVER o, first_value(doc_id) OVER o) AS next_id
+  FROM documents WINDOW o AS (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
+), e AS (
+  SELECT doc_id, next_id, n, text, substr(text, 1, n - n // 4) || substr(next_text, 1, n // 4) AS edited FROM d
+), two AS (
+  SELECT doc_id, 0 AS kind, text AS body FROM e UNION ALL SELECT doc_id, 1, edited FROM e
+), t AS (
+  SELECT doc_id, kind, list_distinct(list_filter(regexp_split_to_array(
+    translate(body, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-/:-`{-\\x7f]+'), lambda x: x <> '')) AS ts
+  FROM two
+), lexicon AS (
+  SELECT term FROM (SELECT unnest(ts) AS term FROM t WHERE kind = 0) GROUP BY term
+  HAVING count(*) >= 2 AND count(*) <= greatest(2, 0.05 * (SELECT count(*) FROM documents))
+), leveled AS (
+  SELECT doc_id, kind, CASE WHEN len(ts) >= 32 THEN length(bin(len(ts) // 16)) - 1 ELSE 0 END AS level, ts FROM t
+), terms AS (
+  SELECT doc_id, kind, level, term, ('0x' || substr(md5(term), 1, 8))::BIGINT AS h
+  FROM (SELECT doc_id, kind, level, unnest(ts) AS term FROM leveled)
+), sampled AS (
+  SELECT *, term IN (SELECT term FROM lexicon) AS inside FROM terms WHERE h < (1::BIGINT << (32 - level))
+), chosen AS (
+  SELECT * FROM (SELECT *, max(inside) OVER (PARTITION BY doc_id, kind) AS any_inside FROM sampled) WHERE inside OR NOT any_inside
+), parts AS (
+  SELECT doc_id, kind, term, up * 16 + (h >> (28 - level - up)) AS k
+  FROM chosen, (VALUES (0), (1), (2), (3)) AS u(up) WHERE (h >> (28 - level - up)) < 16
+), signs AS (
+  SELECT doc_id, kind, k, substr(md5(string_agg(term, ' ' ORDER BY term)), 1, 4) AS sign FROM parts GROUP BY doc_id, kind, k
+), frame AS (
+  SELECT doc_id, kind, level, k FROM leveled, range(64) AS r(k)
+), prints AS (
+  SELECT doc_id, kind, level, lpad(level::VARCHAR, 2, '0') || ':' || string_agg(coalesce(sign, '----'), '' ORDER BY k) AS fp,
+    list(coalesce(sign, '----') ORDER BY k) AS signs
+  FROM frame LEFT JOIN signs USING (doc_id, kind, k) GROUP BY doc_id, kind, level
+), pairs AS (
+  SELECT e.doc_id, 'edited' AS kind, a.fp AS one, b.fp AS two, a.level AS l1, b.level AS l2, a.signs AS s1, b.signs AS s2
+  FROM e JOIN prints a ON a.doc_id = e.doc_id AND a.kind = 0 JOIN prints b ON b.doc_id = e.doc_id AND b.kind = 1
+  UNION ALL
+  SELECT e.doc_id, 'next', a.fp, b.fp, a.level, b.level, a.signs, b.signs
+  FROM e JOIN prints a ON a.doc_id = e.doc_id AND a.kind = 0 JOIN prints b ON b.doc_id = e.next_id AND b.kind = 0
+), met AS (
+  SELECT doc_id, kind, one, two, l1, l2,
+    s1[16 * greatest(l2 - l1, 0) + 1 : 16 * (4 + least(l2 - l1, 0))] AS x,
+    s2[16 * greatest(l1 - l2, 0) + 1 : 16 * (4 + least(l1 - l2, 0))] AS y
+  FROM pairs
+), counted AS (
+  SELECT doc_id, kind, one, two, l1, l2,
+    len(list_filter(list_zip(x, y), lambda z: z[1] = z[2] AND z[1] <> '----')) AS same,
+    len(list_filter(list_zip(x, y), lambda z: z[1] <> '----' OR z[2] <> '----')) AS present
+  FROM met
+), near AS (
+  SELECT doc_id, kind, CASE WHEN one = two THEN 1.0 WHEN abs(l2 - l1) > 3 OR present = 0 THEN 0.0
+    ELSE same::DOUBLE / present END::DOUBLE AS value
+  FROM counted
+)
+SELECT e.doc_id, e.n::BIGINT AS n_chars, sha256(e.edited) AS edited_sha256, a.fp AS fingerprint, b.fp AS edited_fingerprint,
+  x.value AS near_edited, y.value AS near_next
+FROM e JOIN prints a ON a.doc_id = e.doc_id AND a.kind = 0 JOIN prints b ON b.doc_id = e.doc_id AND b.kind = 1
+JOIN near x ON x.doc_id = e.doc_id AND x.kind = 'edited' JOIN near y ON y.doc_id = e.doc_id AND y.kind = 'next'
+"""

@@ -12,6 +12,7 @@ from gaugeloom.llm.collocations import collocations
 from gaugeloom.llm.common import ORACLES, QUERIES, held_out, query, table  # noqa: F401
 from gaugeloom.llm.forest import nearest
 from gaugeloom.llm.hmm import hmm_scores
+from gaugeloom.llm.imatch import fingerprints, likeness, with_next
 from gaugeloom.llm.kd_shards import kd_shards
 from gaugeloom.llm.mixing import mix
 from gaugeloom.llm.packing import pack
@@ -20,6 +21,7 @@ from gaugeloom.llm.quality_classifier import KEEP_FROM, quality_score
 from gaugeloom.llm.quality_rules import quality_rules
 from gaugeloom.llm.simhash import hex_digits, near_duplicates
 from gaugeloom.llm.url_filter import judge, rules_table
+from gaugeloom.session import stage
 
 
 #: Sources whose weight in the mix differs from 1.
@@ -132,3 +134,27 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_phrase_collocations", oracles.COLLOCATIONS)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op12_imatch_fingerprints", oracles.IMATCH)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    n = F.length("text")
+    edited = F.concat(
+        F.substring("text", 1, n - F.floor(n / 4).cast("int")), F.substring("next_text", 1, F.floor(n / 4).cast("int"))
+    )
+    both = with_next(docs, "doc_id", "text").select(
+        F.col("key").alias("doc_id"), "text", n.cast("long").alias("n_chars"), edited.alias("edited"),
+        F.xxhash64("text").alias("hash"), "next_key", F.xxhash64("next_text").alias("next_hash"),
+    ).withColumn("edited_sha256", F.sha2("edited", 256))
+    found = stage(
+        fingerprints(both, ["text", "edited"], ["doc_id", "n_chars", "edited_sha256", "hash", "next_key", "next_hash"], lexicon_of=docs)
+        .select("row.*", F.col("fp0").alias("fingerprint"), F.col("fp1").alias("edited_fingerprint")),
+        "fingerprints",
+    )
+    after = found.groupBy(F.col("doc_id").alias("key"), F.col("hash").alias("next_hash")).agg(F.min("fingerprint").alias("next"))
+    met = found.join(after, found["next_key"].eqNullSafe(after["key"]) & (found["next_hash"] == after["next_hash"]))
+    return met.select(
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+        likeness("fingerprint", "edited_fingerprint").alias("near_edited"), likeness("fingerprint", "next").alias("near_next"),
+    )
