@@ -24,9 +24,9 @@ from gaugeloom.llm.common import n_bytes, utf8
 from gaugeloom.session import stage
 
 #: Tokens whose stripes are built at once.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 #: Different words a task counts before it gives its counts out.
-DISTINCT = 400_000
+DISTINCT = 300_000
 #: A word is heavy from this share of all words on, so there are at most 1 / HEAVY of them.
 HEAVY = 1 / 2048
 #: Buckets that a heavy prefix's next words are dealt over, and bytes of text for each bucket.
@@ -79,25 +79,27 @@ def word_counts(rows: DataFrame) -> DataFrame:
     """(lang, word, f): the merged stripe of the empty prefix. `rows` has columns lang and text (bytes)."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, counts = _Vocabulary(), np.zeros(1, np.int64)
+        words, counts, parts, size = _Vocabulary(), np.zeros(0, np.int64), [], 0
+
+        def summed() -> np.ndarray:
+            own = np.bincount(np.concatenate([*parts, np.zeros(1, np.int64)]), minlength=len(words.names))
+            own[: len(counts)] += counts
+            return own
 
         def out() -> pa.RecordBatch:
             columns = [pa.array(words.langs[1:], pa.string()), pa.array(words.names[1:], pa.binary()).cast(pa.string())]
-            return pa.RecordBatch.from_arrays([*columns, pa.array(counts[1 : len(words.names)])], ["lang", "word", "f"])
+            return pa.RecordBatch.from_arrays([*columns, pa.array(counts[1:])], ["lang", "word", "f"])
 
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
-                own = np.bincount(words.numbers(lang, text.as_py()))
-                if len(own) > len(counts):
-                    counts = np.concatenate([counts, np.zeros(max(len(own), 2 * len(counts)) - len(counts), np.int64)])
-                if len(own) < 4096:
-                    counts[: len(own)] += own
-                else:  # a short text among many words touches few of them
-                    some = np.flatnonzero(own)
-                    counts[some] += own[some]
-                if len(words.names) > DISTINCT:
-                    yield out()
-                    words, counts = _Vocabulary(), np.zeros(1, np.int64)
+                parts.append(words.numbers(lang, text.as_py()))
+                size += len(parts[-1])
+                if size >= CHUNK:
+                    counts, parts, size = summed(), [], 0
+                    if len(words.names) > DISTINCT:
+                        yield out()
+                        words, counts = _Vocabulary(), np.zeros(0, np.int64)
+        counts = summed()
         if len(words.names) > 1:
             yield out()
 
@@ -107,10 +109,11 @@ def word_counts(rows: DataFrame) -> DataFrame:
 
 def _stripes(
     parts: list[np.ndarray], words: _Vocabulary, heavy: set[tuple[str, bytes]], buckets: int
-) -> Iterator[pa.RecordBatch]:
+) -> pa.RecordBatch | None:
     """The stripes of all two-word prefixes of a chunk, as rows of a bucket and a language.
 
-    Of each part the last two tokens only follow others.
+    A row holds its stripes' entries as three arrays' bytes: the lengths of `prefix next`, these texts end to end,
+    and their counts. Of each part the last two tokens only follow others.
     """
     token = np.concatenate(parts)
     ends = np.cumsum([len(p) for p in parts])
@@ -119,7 +122,7 @@ def _stripes(
     at = np.flatnonzero(starts)
     at = at[(token[at] > 0) & (token[at + 1] > 0)]
     if not len(at):
-        return
+        return None
     pair, rank = np.unique(token[at] << 32 | token[at + 1], return_inverse=True)
     entry, count = np.unique(rank.ravel() << 32 | token[at + 2], return_counts=True)
     prefix, after = entry >> 32, entry & 0xFFFFFFFF
@@ -135,19 +138,59 @@ def _stripes(
     bucket = (bucket % np.uint64(buckets)).astype(np.int64)
     row = (bucket * len(kinds) + lang[first][prefix]) * 2 + far
     order = np.argsort(row, kind="stable")
-    row = row[order]
-    cuts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
-    names = pa.array(words.names, pa.binary()).cast(pa.string())
-    told = pc.binary_join_element_wise(names.take(pa.array(first)), names.take(pa.array(second)), " ")
+    row, prefix, after, count = row[order], prefix[order], after[order], count[order].astype(np.int32)
+    cuts = np.r_[np.flatnonzero(np.r_[True, row[1:] != row[:-1]]), len(row)]
+    names = pa.array(words.names, pa.binary())
+    told = pc.binary_join_element_wise(names.take(pa.array(first)), names.take(pa.array(second)), b" ")
+    told = pc.binary_join_element_wise(told.take(pa.array(prefix)), names.take(pa.array(after)), b" ")
+    offsets = np.frombuffer(told.buffers()[1], np.int32)[: len(told) + 1]
+    data, length = told.buffers()[2].to_pybytes(), np.diff(offsets)
+    spans = [(int(a), int(b)) for a, b in zip(cuts[:-1], cuts[1:])]
+    key = row[cuts[:-1]]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array((key // 2 // len(kinds)).astype(np.int32)),
+            pa.array(key % 2 == 1),
+            pa.array(kinds, pa.string()).take(pa.array(key // 2 % len(kinds))),
+            pa.array([length[a:b].tobytes() for a, b in spans], pa.binary()),
+            pa.array([data[offsets[a] : offsets[b]] for a, b in spans], pa.binary()),
+            pa.array([count[a:b].tobytes() for a, b in spans], pa.binary()),
+        ],
+        ["bucket", "far", "lang", "lengths", "entries", "counts"],
+    )
+
+
+def _merged(held: list[tuple[bytes, bytes, bytes]], far: bool, lang: str, least: int) -> pa.RecordBatch | None:
+    """The stripes of one bucket and language, merged elementwise."""
+    offsets = np.r_[0, np.cumsum(np.frombuffer(b"".join(x[0] for x in held), np.int32), dtype=np.int64)]
+    told = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(b"".join(x[1] for x in held))]
+    ).dictionary_encode()
+    count = np.zeros(len(told.dictionary), np.int64)
+    np.add.at(count, told.indices.to_numpy(), np.frombuffer(b"".join(x[2] for x in held), np.int32))
+    parts = pc.extract_regex(told.dictionary.cast(pa.large_string()), r"^(?P<prefix>[^ ]+ [^ ]+) (?P<next>.+)$")
+    prefix, after = parts.field("prefix").dictionary_encode(), parts.field("next")
+    of = prefix.indices.to_numpy()
+    total = np.zeros(len(prefix.dictionary), np.int64)
+    np.add.at(total, of, count)
+    kept = np.flatnonzero((total >= least) | far)
+    if not len(kept):
+        return None
+    number = np.full(len(total), -1, np.int64)
+    number[kept] = np.arange(len(kept))
+    large = np.flatnonzero((count >= least) & (number[of] >= 0) & pc.not_equal(after, STOP.decode()).to_numpy(zero_copy_only=False))
+    large = large[np.argsort(number[of[large]], kind="stable")]
+    cuts = np.searchsorted(number[of[large]], np.arange(len(kept) + 1))
     flat = pa.StructArray.from_arrays(
-        [told.take(pa.array(prefix[order])), names.take(pa.array(after[order])), pa.array(count[order])], ["prefix", "next", "c"]
+        [after.take(pa.array(large)).cast(pa.string()), pa.array(count[large])], ["next", "c"]
     )
-    stripes = pa.ListArray.from_arrays(pa.array(np.r_[cuts, len(row)], pa.int32()), flat)
-    key = row[cuts]
-    own = pa.array(kinds, pa.string()).take(pa.array(key // 2 % len(kinds)))
-    yield pa.RecordBatch.from_arrays(
-        [pa.array((key // 2 // len(kinds)).astype(np.int32)), pa.array(key % 2 == 1), own, stripes],
-        ["bucket", "far", "lang", "stripes"],
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.full(len(kept), far)), pa.array([lang] * len(kept), pa.string()),
+            prefix.dictionary.take(pa.array(kept)).cast(pa.string()), pa.array(total[kept]),
+            pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), flat),
+        ],
+        ["far", "lang", "prefix", "total", "next"],
     )
 
 
@@ -155,10 +198,11 @@ def prefix_stripes(rows: DataFrame, heavy: set[tuple[str, bytes]], buckets: int,
     """(far, lang, prefix, total, next): merged stripes of two-word prefixes with their total.
 
     `next` holds the entries (next, c) of at least `least`. Stripes with a smaller total are left out but for
-    those of heavy prefixes (`far`), which have a row for each bucket they were dealt over.
+    those of heavy prefixes (`far`), which have a row for each bucket they were dealt over. A task merges one
+    bucket's stripes of a language at a time, those of about `BUCKET_BYTES` of text.
     """
 
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, parts, size = _Vocabulary(), [], 0
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
@@ -167,21 +211,36 @@ def prefix_stripes(rows: DataFrame, heavy: set[tuple[str, bytes]], buckets: int,
                     parts.append(body[at : at + CHUNK + 2])
                     size += len(parts[-1])
                     if size >= CHUNK:
-                        yield from _stripes(parts, words, heavy, buckets)
+                        found = _stripes(parts, words, heavy, buckets)
+                        if found is not None:
+                            yield found
                         parts, size = [], 0
                 if not size:
                     words = _Vocabulary()
-        if parts:
-            yield from _stripes(parts, words, heavy, buckets)
-
-    kind = "bucket int, far boolean, lang string, stripes array<struct<prefix: string, next: string, c: long>>"
-    dealt = rows.mapInArrow(each, kind).repartition("bucket")
-    # the bucket stays in both keys, so one shuffle serves both
-    key = ["bucket", "far", "lang", "prefix"]
-    merged = dealt.select("bucket", "far", "lang", F.inline("stripes")).groupBy(*key, "next").agg(F.sum("c").alias("c"))
-    large = F.when((F.col("c") >= least) & (F.col("next") != STOP.decode()), F.struct("next", "c"))
-    stripes = merged.groupBy(*key).agg(F.sum("c").alias("total"), F.collect_list(large).alias("next"))
-    return stripes.filter((F.col("total") >= least) | F.col("far")).drop("bucket")
+        found = _stripes(parts, words, heavy, buckets) if parts else None
+        if found is not None:
+            yield found
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("bucket", "far", "lang")]
+            for k, now in enumerate(zip(*columns)):
+                if now != key and held:
+                    found = _merged(held, key[1], key[2], least)
+                    if found is not None:
+                        yield found
+                    held = []
+                key = now
+                held.append(tuple(batch.column(c)[k].as_py() for c in ("lengths", "entries", "counts")))
+        found = _merged(held, key[1], key[2], least) if held else None
+        if found is not None:
+            yield found
+
+    kind = "bucket int, far boolean, lang string, lengths binary, entries binary, counts binary"
+    dealt = rows.mapInArrow(build, kind).repartition("bucket").sortWithinPartitions("bucket", "far", "lang")
+    kind = "far boolean, lang string, prefix string, total long, next array<struct<next: string, c: long>>"
+    return dealt.mapInArrow(merge, kind)
 
 
 def _with_count(rows: DataFrame, word: str, out: str, words: DataFrame, heavy: DataFrame) -> DataFrame:
