@@ -13,7 +13,7 @@ own subsets, some 16 to 32, travel to the lexicon and back.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,7 +28,7 @@ LEAST_DOCS = 2
 MOST_SHARE = 0.05
 #: Hex digits of a signature, and what stands for a subset without terms.
 DIGITS = 4
-NONE = "-" * DIGITS
+NONE = "-"
 #: Ascending keys of one block of `with_next`.
 BLOCK = 1024
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -37,7 +37,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 def terms(text: str) -> Column:
     """Distinct stretches of letters and digits, A-Z lower-cased; all signs beyond ASCII are letters here."""
     plain = F.translate(F.coalesce(F.col(text).cast("string"), F.lit("")), UPPER, LOWER)
-    return F.array_distinct(F.filter(F.split(plain, "[\\x00-/:-`{-\\x7f]+"), lambda t: t != ""))
+    return F.array_distinct(F.array_remove(F.split(plain, "[\\x00-/:-`{-\\x7f]+"), ""))
 
 
 def level_of(count: Column) -> Column:
@@ -49,21 +49,34 @@ def _marked(term: Column) -> Column:
     return F.md5(term.cast("binary"))
 
 
+def _once(value: Column, then: Callable[[Column], Column]) -> Column:
+    """`then` of a value that is computed once for a row, though inner functions use it often."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def _sampled(found: str, level: str) -> Column:
     """The terms that any subset of this level holds: those whose hash begins with so many zero bits."""
-    limit = F.when(F.col(level) > 0, F.lpad(F.hex(F.expr(f"shiftleft(1L, 32 - {level})")), 8, "0")).otherwise("g")
-    return F.filter(found, lambda t: _marked(t) < F.lower(limit))
+    limit = F.when(F.col(level) > 0, F.lower(F.lpad(F.hex(F.expr(f"shiftleft(1L, 32 - {level})")), 8, "0"))).otherwise("g")
+    return _once(limit, lambda top: F.filter(found, lambda t: _marked(t) < top))
 
 
 def _signatures(own: str, level: str) -> Column:
-    """`level` and the signatures of the subsets of this level and the next ones, as one text."""
-    part = lambda x, k: F.floor(x["h"] / F.pow(F.lit(2.0), 28 - F.col(level) - F.floor(k / SUBSETS)))
-    inside = lambda k: F.filter(own, lambda x: part(x, k) == k % SUBSETS)
-    told = lambda some: F.when(
-        F.size(some) > 0, F.substring(F.md5(F.array_join(F.transform(some, lambda x: x["term"]), " ").cast("binary")), 1, DIGITS)
-    ).otherwise(NONE)
-    every = F.transform(F.sequence(F.lit(0), F.lit(LEVELS * SUBSETS - 1)), lambda k: told(inside(k)))
-    return F.concat(F.lpad(F.col(level).cast("string"), 2, "0"), F.lit(":"), F.array_join(every, ""))
+    """`level` and the signatures of the subsets of this level and the next ones, parted by spaces.
+
+    `own` has the terms and their part at the last level; a part of a level is two of the next.
+    """
+    sign = lambda told: F.when(told == "", NONE).otherwise(F.substring(F.md5(told.cast("binary")), 1, DIGITS))
+
+    def of_level(up: int) -> Column:
+        wide = 1 << (LEVELS - 1 - up)
+        told = lambda some, k: F.array_join(
+            F.transform(F.filter(some, lambda x: F.floor(x["part"] / wide) == k), lambda x: x["term"]), " "
+        )
+        inside = F.filter(own, lambda x: x["part"] < SUBSETS * wide)
+        every = _once(inside, lambda some: F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), lambda k: told(some, k)))
+        return F.transform(every, sign)
+
+    return F.array_join(F.concat(F.array(F.lpad(F.col(level).cast("string"), 2, "0")), *map(of_level, range(LEVELS))), " ")
 
 
 def likeness(one: str, two: str) -> Column:
@@ -71,14 +84,15 @@ def likeness(one: str, two: str) -> Column:
     both have: 1.0 for equal fingerprints, 0.0 for texts that share no level."""
     level = lambda c: F.substring(c, 1, 2).cast("int")
     shift = level(two) - level(one)
-    sign = lambda c, k: F.substring(F.col(c), 4 + DIGITS * k, F.lit(DIGITS))
-    low, high = F.greatest(shift, F.lit(0)) * SUBSETS, (LEVELS + F.least(shift, F.lit(0))) * SUBSETS - 1
-    both = F.transform(
-        F.sequence(low, high), lambda k: F.struct(sign(one, k).alias("a"), sign(two, k - shift * SUBSETS).alias("b"))
+    n = (LEVELS - F.abs(shift)) * SUBSETS
+    after = lambda c, by: F.slice(F.split(c, " "), 2 + F.greatest(by, F.lit(0)) * SUBSETS, n)
+    step = 1 << 16  # counts subsets with terms, and in the higher bits those with equal signatures
+    met = F.zip_with(
+        after(one, shift), after(two, -shift),
+        lambda x, y: F.when(x != y, 1).when(x == NONE, 0).otherwise(1 + step),
     )
-    some = F.filter(both, lambda x: (x["a"] != NONE) | (x["b"] != NONE))
-    same = F.size(F.filter(some, lambda x: x["a"] == x["b"]))
-    share = F.when(F.size(some) > 0, same / F.size(some)).otherwise(0.0)
+    total = F.aggregate(met, F.lit(0), lambda a, b: a + b)
+    share = _once(total, lambda t: F.when(t > 0, F.floor(t / step) / (t % step)).otherwise(0.0))
     return F.when(F.col(one) == F.col(two), 1.0).when(F.abs(shift) >= LEVELS, 0.0).otherwise(share)
 
 
@@ -125,7 +139,8 @@ def fingerprints(
         inside = F.array_intersect(f"t{k}", "known")
         own = F.sort_array(F.when(F.size(inside) > 0, inside).otherwise(F.col(f"t{k}")))
         h = lambda t: F.conv(F.substring(_marked(t), 1, 8), 16, 10).cast("long")
-        return F.transform(own, lambda t: F.struct(t.alias("term"), h(t).alias("h")))
+        wide = F.expr(f"shiftleft(1L, {29 - LEVELS} - l{k})")
+        return _once(wide, lambda w: F.transform(own, lambda t: F.struct(t.alias("term"), F.floor(h(t) / w).alias("part"))))
 
     own = placed.select("row", *[f"l{k}" for k in numbers], *[numbered(k).alias(f"t{k}") for k in numbers])
     return own.select("row", *[_signatures(f"t{k}", f"l{k}").alias(f"fp{k}") for k in numbers])

@@ -167,8 +167,8 @@ WITH d AS (
 ), frame AS (
   SELECT doc_id, kind, level, k FROM leveled, range(64) AS r(k)
 ), prints AS (
-  SELECT doc_id, kind, level, lpad(level::VARCHAR, 2, '0') || ':' || string_agg(coalesce(sign, '----'), '' ORDER BY k) AS fp,
-    list(coalesce(sign, '----') ORDER BY k) AS signs
+  SELECT doc_id, kind, level, lpad(level::VARCHAR, 2, '0') || ' ' || string_agg(coalesce(sign, '-'), ' ' ORDER BY k) AS fp,
+    list(coalesce(sign, '-') ORDER BY k) AS signs
   FROM frame LEFT JOIN signs USING (doc_id, kind, k) GROUP BY doc_id, kind, level
 ), pairs AS (
   SELECT e.doc_id, 'edited' AS kind, a.fp AS one, b.fp AS two, a.level AS l1, b.level AS l2, a.signs AS s1, b.signs AS s2
@@ -183,8 +183,8 @@ WITH d AS (
   FROM pairs
 ), counted AS (
   SELECT doc_id, kind, one, two, l1, l2,
-    len(list_filter(list_zip(x, y), lambda z: z[1] = z[2] AND z[1] <> '----')) AS same,
-    len(list_filter(list_zip(x, y), lambda z: z[1] <> '----' OR z[2] <> '----')) AS present
+    len(list_filter(list_zip(x, y), lambda z: z[1] = z[2] AND z[1] <> '-')) AS same,
+    len(list_filter(list_zip(x, y), lambda z: z[1] <> '-' OR z[2] <> '-')) AS present
   FROM met
 ), near AS (
   SELECT doc_id, kind, CASE WHEN one = two THEN 1.0 WHEN abs(l2 - l1) > 3 OR present = 0 THEN 0.0
