@@ -1,11 +1,12 @@
 """Quality classifier: random-indexing word vectors, pooled, under a small calibrated network.
 
-Every word bucket and every word shape has a fixed sparse vector of plus and minus ones; a word's
-vector is the sum of those of its neighbours over the whole corpus (one pass, exact integer sums, a
-table of bounded size). A document is the mean vector of its words beside the mean of its shapes, and
-a two-layer network with a temperature fitted on rows it did not learn from turns that into a
-probability. The network is fitted on the driver on at most `SAMPLE` labelled documents; everything
-else covers all rows.
+Every word has a sparse index vector of plus and minus ones, drawn by the hash of the word and of its shape;
+a word's vector is the sum of the index vectors around it over the whole corpus (exact integer sums). The
+`WORDS` most frequent words have their vectors in a table of bounded size, which tasks look up. A rarer
+word's surroundings are nearly all in the text at hand, so there its vector is summed up on the spot. A
+document is the mean vector of its frequent words beside that of its rare ones, and a two-layer network with
+a temperature fitted on rows it did not learn from turns that into a probability. The network is fitted on
+the driver on at most `SAMPLE` labelled documents; everything else covers all rows.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -21,15 +23,19 @@ from pyspark.sql import functions as F
 
 from gaugeloom.llm.common import utf8
 
-WORDS = 1 << 14
+#: Words with a vector in the table, and rows of the pools that index vectors are drawn from.
+WORDS = 1 << 15
+POOL = 1 << 16
 SHAPES = 1 << 9
-ROWS = WORDS + 2 * SHAPES + 1  # shapes, shapes of repeated words, and the gap between texts
-GAP = ROWS - 1
 DIMS = 64
 NONZERO = 4
 WINDOW = 2
-CHUNK = 200_000
-REMEMBERED = 400_000
+#: Words worked on at once, bytes of a text that are split at once.
+CHUNK = 50_000
+SLICE = 1 << 18
+#: Words whose codes a task keeps, and different words it counts before it gives its counts out.
+REMEMBERED = 150_000
+DISTINCT = 300_000
 #: Labelled documents the network learns from at most, those with the lowest hash of their id.
 SAMPLE = 20_000
 HIDDEN = 32
@@ -41,80 +47,149 @@ _KIND = bytes(
     97 if 97 <= b <= 122 or b >= 128 else 65 if 65 <= b <= 90 else 48 if 48 <= b <= 57 else b for b in range(256)
 )
 _RUNS = re.compile(rb"(.)\1+", re.DOTALL)
+_SPACE = re.compile(rb"[ \t-\r]")
 
 
-def word_shape(word: bytes) -> bytes:
-    """Letters, capitals and digits as a, A and 0, runs of one sign collapsed, eight signs at most."""
-    return _RUNS.sub(rb"\1", word.translate(_KIND))[:8]
+def word_shape(kinds: bytes) -> bytes:
+    """The kinds of a word's signs, runs of one collapsed, eight at most."""
+    return _RUNS.sub(rb"\1", kinds)[:8]
+
+
+class _Shapes(dict):
+    """Numbers of shapes by the kinds of a word's signs: letters, capitals and digits as a, A and 0."""
+
+    def __missing__(self, kinds: bytes) -> int:
+        got = zlib.crc32(word_shape(kinds)) % SHAPES
+        if len(self) < REMEMBERED and len(kinds) < 64:
+            self[kinds] = got
+        return got
+
+
+def slices(text: bytes) -> Iterator[list[bytes]]:
+    """The words of a text, those of some `SLICE` bytes at a time."""
+    at = 0
+    while at < len(text):
+        cut = _SPACE.search(text, at + SLICE)
+        to = cut.start() if cut else len(text)
+        yield text[at:to].split()
+        at = to
 
 
 class _Codes(dict):
-    """Word bucket times the number of shapes plus shape bucket."""
+    """Numbers that hold a word's row in the table (`WORDS` if rare), its pool row and its shape."""
+
+    def __init__(self, known: dict[bytes, int]) -> None:
+        super().__init__()
+        self.known, self.shapes = known, _Shapes()
 
     def __missing__(self, word: bytes) -> int:
-        got = (zlib.crc32(word) % WORDS) * SHAPES + zlib.crc32(word_shape(word)) % SHAPES
+        row = self.known.get(word, WORDS)
+        got = (row * POOL + zlib.crc32(word) % POOL) * SHAPES + self.shapes[word.translate(_KIND)]
         if len(self) < REMEMBERED:
             self[word] = got
         return got
 
 
-def index_vectors(seed: int = 23) -> np.ndarray:
-    """A sparse vector of plus and minus ones for each row of the table; none for the gap."""
-    rng = np.random.default_rng(seed)
-    out = np.zeros((ROWS, DIMS), np.int8)
-    places = np.argsort(rng.random((ROWS, DIMS)), axis=1)[:, :NONZERO]
-    out[np.arange(ROWS)[:, None], places] = rng.choice(np.array([-1, 1], np.int8), (ROWS, NONZERO))
-    out[GAP] = 0
-    return out
-
-
-def _rows_of(text: bytes, codes: _Codes) -> tuple[np.ndarray, np.ndarray]:
-    """Table rows of each word and of its shape; a word like the one before has a shape of its own."""
-    words = text.split()
-    code = np.fromiter(map(codes.__getitem__, words), np.int64, len(words))
-    again = np.zeros(len(code), bool)
-    again[1:] = code[1:] == code[:-1]
-    return code // SHAPES, WORDS + code % SHAPES + SHAPES * again
-
-
-def _chunks(texts: Iterator[bytes], codes: _Codes) -> Iterator[list[tuple[np.ndarray, np.ndarray]]]:
-    held, size = [], 0
-    for text in texts:
-        held.append(_rows_of(text, codes))
-        size += len(held[-1][0])
-        if size >= CHUNK:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
-
-
-def add_contexts(table: np.ndarray, chunk: list[tuple[np.ndarray, np.ndarray]], index: np.ndarray) -> None:
-    """Add to each word's and shape's row the index vectors within `WINDOW` words of the same text."""
-    gap = np.full(WINDOW, GAP)
-    word = np.concatenate([x for w, _ in chunk for x in (w, gap)]).astype(np.int16)
-    shape = np.concatenate([x for _, s in chunk for x in (s, gap)]).astype(np.int16)
-    own = index[word].astype(np.int16) + index[shape]
-    near = np.zeros_like(own)
-    for k in range(1, WINDOW + 1):
-        near[k:] += own[:-k]
-        near[:-k] += own[k:]
-    for rows in (word, shape):
-        order = np.argsort(rows, kind="stable")
-        first = np.flatnonzero(np.r_[True, np.diff(rows[order]) != 0])
-        table[rows[order[first]]] += np.add.reduceat(near[order].astype(np.int32), first, axis=0)
-
-
-def context_table(docs: DataFrame, text: str) -> np.ndarray:
-    """Context sums of all texts: one long for each row and dimension, of a size no corpus changes."""
-    names = [f"v{k}" for k in range(DIMS)]
+@cache
+def index_vectors(seed: int = 23) -> tuple[np.ndarray, np.ndarray]:
+    """Sparse vectors of plus and minus ones: the pool of words, and of shapes and shapes of repeated words.
+    The last row of each is zero; it stands for the gap between texts."""
+    rng, out = np.random.default_rng(seed), []
+    for rows in (POOL, 2 * SHAPES):
+        pool = np.zeros((rows + 1, DIMS), np.int8)
+        places = np.argsort(rng.random((rows, DIMS), np.float32), axis=1)[:, :NONZERO]
+        pool[np.arange(rows)[:, None], places] = rng.choice(np.array([-1, 1], np.int8), (rows, NONZERO))
+        out.append(pool)
+    return out[0], out[1]
+
+
+def _parts(texts: Iterator[bytes], codes: _Codes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Words of texts laid end to end, some `CHUNK` at a time: text number, row, and the sum of the index
+    vectors within `WINDOW` words of the same text. A word like the one before it counts as a rare one, since
+    what lies around it there says more than its usual surroundings. A text of any length takes as many parts
+    as it needs."""
+    pool, forms = index_vectors()
+    gap = np.full(WINDOW, -1, np.int64)
+    before = WINDOW + 1  # one word more than the window, so that its first word knows the one before it
+    code, text = [gap[:1], gap], [gap[:1], gap]
+    size = before
+
+    def sums(done: bool) -> tuple[np.ndarray, ...]:
+        """The inner words of what is held; the outer ones only lie around them."""
+        flat, own = np.concatenate([*code, *([gap] if done else [])]), np.concatenate([*text, *([gap] if done else [])])
+        again = np.zeros(len(flat), np.int64)
+        again[1:] = (flat[1:] == flat[:-1]) & (own[1:] == own[:-1])
+        away = flat < 0
+        index = pool[np.where(away, POOL, flat // SHAPES % POOL)]
+        index += forms[np.where(away, 2 * SHAPES, flat % SHAPES + SHAPES * again)]
+        near = np.zeros_like(index)
+        for k in range(1, WINDOW + 1):
+            near[k:] += index[:-k]
+            near[:-k] += index[k:]
+        inner = np.arange(before, len(flat) - WINDOW)
+        inner = inner[~away[inner]]
+        row = np.where(again[inner], WORDS, flat[inner] // (POOL * SHAPES))
+        return flat, own, (own[inner], row, near[inner])
+
+    for number, body in enumerate(texts):
+        for words in slices(body):
+            for at in range(0, len(words), CHUNK):
+                some = words[at : at + CHUNK]
+                code.append(np.fromiter(map(codes.__getitem__, some), np.int64, len(some)))
+                text.append(np.full(len(some), number))
+                size += len(some)
+                if size >= CHUNK:
+                    flat, own, found = sums(False)
+                    yield found
+                    code, text = [flat[-before - WINDOW :]], [own[-before - WINDOW :]]
+                    size = before + WINDOW
+        code.append(gap)
+        text.append(gap)
+        size += WINDOW
+    yield sums(True)[2]
+
+
+def add_contexts(table: np.ndarray, part: tuple[np.ndarray, np.ndarray, np.ndarray]) -> None:
+    """Add to each frequent word's row what lies around its places."""
+    _, row, near = part
+    some = np.flatnonzero(row < WORDS)
+    order = some[np.argsort(row[some].astype(np.uint16), kind="stable")]
+    own = row[order]
+    if len(own):
+        first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+        table[own[first]] += np.add.reduceat(near[order], first, axis=0, dtype=np.int32)
+
+
+def frequent_words(docs: DataFrame, text: str, most: int = WORDS) -> dict[bytes, int]:
+    """Row of each of the `most` most frequent words, ties to the smaller word; counted over all texts."""
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        codes, index, table = _Codes(), index_vectors(), np.zeros((ROWS, DIMS), np.int64)
+        count: dict[bytes, int] = {}
+        out = lambda: pd.DataFrame({"word": list(count), "n": list(count.values())})
         for batch in batches:
-            for chunk in _chunks(batch["text"], codes):
-                add_contexts(table, chunk, index)
-        table[GAP] = 0
+            for body in batch["text"]:
+                for words in slices(body):
+                    for word in words:
+                        count[word] = count.get(word, 0) + 1
+                if len(count) > DISTINCT:
+                    yield out()
+                    count.clear()
+        yield out()
+
+    counts = docs.select(utf8(text).alias("text")).mapInPandas(each, "word binary, n long")
+    top = counts.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most)
+    return {bytes(r["word"]): k for k, r in enumerate(top.select("word").collect())}
+
+
+def context_table(docs: DataFrame, text: str, known: dict[bytes, int]) -> np.ndarray:
+    """Context sums of the words `known`: one long for each row and dimension, of a size no corpus changes."""
+    names = [f"v{k}" for k in range(DIMS)]
+    shared = docs.sparkSession.sparkContext.broadcast(known)
+
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        codes, table = _Codes(shared.value), np.zeros((WORDS, DIMS), np.int64)
+        for part in _parts((body for batch in batches for body in batch["text"]), codes):
+            add_contexts(table, part)
         some = np.flatnonzero(table.any(axis=1))
         rows = pd.DataFrame(table[some], columns=names)
         rows.insert(0, "key", some)
@@ -122,33 +197,37 @@ def context_table(docs: DataFrame, text: str) -> np.ndarray:
 
     found = docs.select(utf8(text).alias("text")).mapInPandas(each, "key long, " + ", ".join(f"{n} long" for n in names))
     sums = found.groupBy("key").agg(*[F.sum(n).alias(n) for n in names]).toPandas()
-    table = np.zeros((ROWS, DIMS))
+    table = np.zeros((WORDS, DIMS))
     table[sums["key"].to_numpy(np.int64)] = sums[names].to_numpy()
     return table
 
 
-def word_vectors(table: np.ndarray) -> np.ndarray:
-    """Unit rows, after the corpus's mean direction is taken out; rare rows stay short."""
+def word_vectors(table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Unit rows, after the corpus's mean direction is taken out, and that direction; rare rows stay short."""
     mean = table.sum(axis=0)
     mean /= max(np.linalg.norm(mean), 1e-9)
     rest = table - np.outer(table @ mean, mean)
-    return (rest / (np.linalg.norm(rest, axis=1, keepdims=True) + 20)).astype(np.float32)
+    return (rest / (np.linalg.norm(rest, axis=1, keepdims=True) + 20)).astype(np.float32), mean
 
 
-def pooled(texts: list[bytes], vectors: np.ndarray, codes: _Codes) -> np.ndarray:
-    """Mean word vector beside mean shape vector of each text; zeros for a text without words."""
-    out, at = np.zeros((len(texts), 2 * DIMS), np.float32), 0
-    for chunk in _chunks(iter(texts), codes):
-        sizes = np.array([len(w) for w, _ in chunk])
-        full = np.flatnonzero(sizes)
-        if len(full):
-            first = (np.cumsum(sizes) - sizes)[full]
-            for half in range(2):
-                rows = np.concatenate([x[half] for x in chunk])
-                sums = np.add.reduceat(vectors[rows], first, axis=0)
-                out[at + full, half * DIMS : (half + 1) * DIMS] = sums / sizes[full, None]
-        at += len(chunk)
-    return out
+def pooled(texts: list[bytes], vectors: np.ndarray, mean: np.ndarray, codes: _Codes) -> np.ndarray:
+    """Mean vector of a text's frequent words beside that of its rare ones; zeros where there are none.
+
+    A rare word's vector is what lies around it in the text, without the mean direction.
+    """
+    sums, count = np.zeros((len(texts), 2, DIMS)), np.zeros((len(texts), 2))
+    for text, row, near in _parts(iter(texts), codes):
+        for half, some in enumerate((np.flatnonzero(row < WORDS), np.flatnonzero(row >= WORDS))):
+            if not len(some):
+                continue
+            own = text[some]
+            first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+            what = near[some] if half else vectors[row[some]]
+            sums[own[first], half] += np.add.reduceat(what, first, axis=0, dtype=np.float64)
+            count[own[first], half] += np.diff(np.r_[first, len(own)])
+    sums /= np.maximum(count, 1)[:, :, None]
+    sums[:, 1] -= np.outer(sums[:, 1] @ mean, mean)
+    return sums.reshape(len(texts), 2 * DIMS).astype(np.float32)
 
 
 class Network:
@@ -202,6 +281,57 @@ class Network:
         return 1 / (1 + np.exp(-np.clip(self._logit(self._scaled(inputs)) / self.temperature, -40, 40)))
 
 
+class QualityModel:
+    """Word vectors and network, fitted once, to score any rows with."""
+
+    def __init__(
+        self, docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "quality",
+        sample: int = SAMPLE,
+    ) -> None:
+        """Word vectors are of all texts of `docs`; the network learns from those of them that have labels."""
+        marked = labels.filter(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("id"))
+        marked = marked.agg(F.min(label).alias("y"), F.max(label).alias("most")).filter("y = most")
+        chosen = marked.select("id", "y", F.xxhash64("id").alias("h")).orderBy("h", "id").limit(sample)
+        known = frequent_words(docs, text)
+        vectors, mean = word_vectors(context_table(docs, text, known))
+        self.shared = docs.sparkSession.sparkContext.broadcast((known, vectors, mean))
+        own = docs.select(F.col(doc_id).alias("id"), utf8(text).alias("text"))
+        own = own.join(F.broadcast(chosen), "id").groupBy("id", "y", "h").agg(F.min("text").alias("text"))
+        rows = own.select("id", "y", "h", self.vector("text").alias("x")).toPandas().sort_values(["h", "id"])
+        self.network = None
+        if len(rows):
+            check = np.arange(len(rows)) % 5 == 4
+            self.network = Network(np.stack(rows["x"].to_list()).astype(np.float64), rows["y"].to_numpy(), check)
+
+    def vector(self, text: str) -> Column:
+        """The pooled vector of a text column."""
+        shared = self.shared
+
+        @F.pandas_udf("array<float>")
+        def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            known, vectors, mean = shared.value
+            codes = _Codes(known)
+            for texts in batches:
+                yield pd.Series(list(pooled(list(texts), vectors, mean, codes)))
+
+        return of(utf8(text))
+
+    def score(self, text: str = "text") -> Column:
+        """The calibrated probability of label 1 of a text column; 0.5 where nothing was learned from."""
+        shared, network = self.shared, self.network
+        if network is None:
+            return F.lit(0.5)
+
+        @F.pandas_udf("double")
+        def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            known, vectors, mean = shared.value
+            codes = _Codes(known)
+            for texts in batches:
+                yield pd.Series(network.probability(pooled(list(texts), vectors, mean, codes).astype(np.float64)))
+
+        return of(utf8(text))
+
+
 def quality_score(
     docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "quality",
     sample: int = SAMPLE,
@@ -211,32 +341,7 @@ def quality_score(
     The network learns from at most `sample` documents with a label of 0 or 1, those of lowest id hash;
     ids labelled both ways or NULL are left out, and of rows that share an id one text is used. NULL text
     counts as empty; texts without words get the network's answer to a zero vector. Without labels
-    every score is 0.5. Repeated rows get equal scores.
+    every score is 0.5. Repeated rows get equal scores. Very long texts are worked through `SLICE` bytes and
+    `CHUNK` words at a time, so beside the text itself a task's memory does not grow with them.
     """
-    marked = labels.filter(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("id"))
-    marked = marked.agg(F.min(label).alias("y"), F.max(label).alias("most")).filter("y = most")
-    chosen = marked.select("id", "y", F.xxhash64("id").alias("h")).orderBy("h", "id").limit(sample)
-    vectors = word_vectors(context_table(docs, text))
-    shared = docs.sparkSession.sparkContext.broadcast(vectors)
-
-    @F.pandas_udf("array<float>")
-    def vector(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        codes = _Codes()
-        for texts in batches:
-            yield pd.Series(list(pooled(list(texts), shared.value, codes)))
-
-    own = docs.select(F.col(doc_id).alias("id"), utf8(text).alias("text"))
-    own = own.join(F.broadcast(chosen), "id").groupBy("id", "y", "h").agg(F.min("text").alias("text"))
-    rows = own.select("id", "y", "h", vector("text").alias("x")).toPandas().sort_values(["h", "id"])
-    if not len(rows):
-        return F.lit(0.5)
-    check = np.arange(len(rows)) % 5 == 4
-    network = Network(np.stack(rows["x"].to_list()).astype(np.float64), rows["y"].to_numpy(), check)
-
-    @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        codes = _Codes()
-        for texts in batches:
-            yield pd.Series(network.probability(pooled(list(texts), shared.value, codes).astype(np.float64)))
-
-    return score(utf8(text))
+    return QualityModel(docs, labels, text, doc_id, label, sample).score(text)
