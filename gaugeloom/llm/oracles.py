@@ -70,7 +70,7 @@ WITH d AS (
 ), r AS (
   SELECT name, weight / sum(weight) OVER () * sum(bytes) OVER () / bytes AS rate FROM s
 ), q AS (
-  SELECT name, rate, greatest(1, ceil(rate / 16.0))::INTEGER AS draws FROM r
+  SELECT name, rate, greatest(1, ceil(rate / 16.0))::BIGINT AS draws FROM r
 ), c AS (
   SELECT name, draws, k, sum(exp(k * ln(rate / draws) - rate / draws - lgamma(k + 1)))
     OVER (PARTITION BY name ORDER BY k) AS cdf
@@ -81,10 +81,10 @@ WITH d AS (
   SELECT d.*, (
     SELECT sum(len(list_filter(cdf, lambda c: c <= {number(f"'draw|{seed}|' || key || '|' || i")})))
     FROM range(1, draws + 1) v(i)
-  )::INTEGER AS copies
+  )::BIGINT AS copies
   FROM d JOIN tables USING (name)
 )
-SELECT doc_id, text, lang, source, n_chars, copies, copy::INTEGER AS copy,
+SELECT doc_id, text, lang, source, n_chars, copies, copy::BIGINT AS copy,
   md5('order|{seed}|' || key || '|' || copy) AS mix_key
 FROM (SELECT *, unnest(range(1, copies + 1)) AS copy FROM n WHERE copies > 0)
 """

@@ -8,6 +8,7 @@ from checks.compare import connect, differ
 from llm_cases import documents, empty, prose
 from pyspark.sql import functions as F
 
+from gaugeloom.llm import mixing
 from gaugeloom.llm.mixing import mix, poisson_cdf, unit
 from gaugeloom.llm.queries import ORACLES, QUERIES
 
@@ -59,3 +60,30 @@ def test_awkward_rows(spark):
 def test_query_equals_sql(spark, small):
     got = QUERIES["op3_poisson_mixing"](spark, small)
     assert differ(got.toPandas(), connect(small).sql(ORACLES["op3_poisson_mixing"]).df()) is None
+
+
+def test_one_empty_row_as_a_source_spreads_over_many_tasks(spark):
+    """Its copies come from many blocks in many tasks, are numbered through, and make up its share."""
+    rows = [(k, prose(k % 7, 400), "big") for k in range(200)] + [(999, "", "tiny"), (999, None, "tiny")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mix(docs, {}, seed=5).select("row.*", "copies", "copy", "mix_key").withColumn("task", F.spark_partition_id())
+    tiny = got.filter("source = 'tiny'")
+    total = sum(len((t or "").encode()) + 1 for _, t, _ in rows)
+    assert abs(tiny.count() / (total / 2) - 1) < 0.03  # a byte each, and half the mix
+    for kind in ("text IS NULL", "text = ''"):
+        one = tiny.filter(kind).agg(F.count("*").alias("n"), F.min("copy"), F.max("copy"), F.count_distinct("copy"), F.max("copies"), F.min("copies")).first()
+        assert one["n"] > 10_000 and tuple(one)[1:] == (1, one["n"], one["n"], one["n"], one["n"])
+    rates = mixing.source_rates(docs, {}, 1.0, "text", "source").filter("name = 'tiny'")
+    blocks = mixing._blocks(rates.withColumn("key", F.lit("999"))).withColumn("task", F.spark_partition_id())
+    draws = rates.first()["draws"]
+    assert blocks.count() == blocks.select("block").distinct().count() == -(-draws // mixing.DRAWS)
+    assert blocks.select("task").distinct().count() > 1
+
+
+def test_blocks_give_what_one_block_gives(spark, monkeypatch):
+    docs = spark.createDataFrame([(k, prose(k, 30), f"s{k % 2}" if k else "one") for k in range(60)], "doc_id long, text string, source string")
+    light = lambda df: sorted((r["row"]["doc_id"], r["copies"], r["copy"], r["mix_key"]) for r in df.collect())
+    want = light(mix(docs, {"one": 9.0}, seed=2))
+    monkeypatch.setattr(mixing, "DRAWS", 1)
+    monkeypatch.setattr(mixing, "SPAN", 2)
+    assert light(mix(docs, {"one": 9.0}, seed=2)) == want
