@@ -38,6 +38,8 @@ MIN_ROWS = 200
 SALTS = 64
 TAIL = 1e-9
 REMEMBERED = 400_000
+#: Key of the estimate over all good rows.
+WHOLE = "whole"
 
 
 class _Ids(dict):
@@ -145,7 +147,8 @@ def chi2_quantile(p: float, k: int) -> float:
 
 def _group_keys(stats: DataFrame, min_rows: int) -> DataFrame:
     """`key` of the estimate: the language and source; small ones share their language's rest, small
-    rests share one for all. NULL counts as the empty text."""
+    rests share one for all, and where even that is small it is made from all good rows of the corpus.
+    NULL counts as the empty text."""
     each = stats.filter("NOT base_failed").groupBy("g_lang", "g_source").agg(F.count(F.lit(1)).alias("n"))
     rest = F.when(F.col("n") < min_rows, F.col("n"))
     by_lang = each.groupBy("g_lang").agg(F.sum(rest).alias("rest"))
@@ -154,7 +157,9 @@ def _group_keys(stats: DataFrame, min_rows: int) -> DataFrame:
         .when(F.col("rest") >= min_rows, F.concat_ws("\x1f", F.lit("lang"), "g_lang"))
         .otherwise("all")
     )
-    return each.join(by_lang, "g_lang").select("g_lang", "g_source", key.alias("key"))
+    keys = stage(each.join(by_lang, "g_lang").select("g_lang", "g_source", "n", key.alias("key")), "groups")
+    few = (keys.filter("key = 'all'").agg(F.sum("n")).first()[0] or 0) < min_rows
+    return keys.withColumn("key", F.when(F.lit(few) & (F.col("key") == "all"), WHOLE).otherwise(F.col("key"))).drop("n")
 
 
 def _salted(groups: DataFrame) -> DataFrame:
@@ -245,8 +250,10 @@ def quality_rules(
     A row is kept unless it fails the plain limits or its squared robust distance passes the
     chi-square quantile of `tail`. NULL text counts as empty (it fails), NULL language or source as
     the empty one. Sources with under `min_rows` good rows are judged with the rest of their
-    language, small rests with all other rests; where even those are fewer, nothing is an outlier and
-    `distance2` is NULL. Copies and repeated rows get the same verdict. An empty table stays empty.
+    language, small rests with all other rests, and those, if fewer than that, by all good rows of the corpus,
+    however few: the floors of the spreads keep that estimate from being narrow. Only rows that fail the
+    limits in a group without a good row have no `distance2`. Copies and repeated rows get the same verdict. An
+    empty table stays empty.
     """
     stats = stage(
         docs.select(
@@ -261,11 +268,14 @@ def quality_rules(
         .select("*", *[x.alias(f) for f, x in zip(FEATURES, _features())]),
         "stats",
     )
-    keys = stage(_group_keys(stats, min_rows), "groups")
+    keys = _group_keys(stats, min_rows)
     good = stats.filter("NOT base_failed").join(_salted(keys), ["g_lang", "g_source", "salt"])
-    params = robust_estimates(good.select("key", "salt", *FEATURES))
+    good = good.select("key", "salt", *FEATURES)
+    if not keys.filter(F.col("key") == WHOLE).isEmpty():
+        good = good.filter(F.col("key") != WHOLE).unionByName(good.withColumn("key", F.lit(WHOLE)))
+    params = robust_estimates(good)
     limit = chi2_quantile(1 - tail, len(FEATURES))
-    by_group = keys.join(params, "key").filter(F.col("p.n") >= min_rows)
+    by_group = keys.join(params, "key")
     judged = stats.join(_salted(by_group), ["g_lang", "g_source", "salt"], "left").withColumn("distance2", _distance())
     kept = ~F.col("base_failed") & (F.coalesce("distance2", F.lit(0.0)) <= limit)
     return judged.select("row", *COUNTS, "base_failed", "distance2", kept.alias("kept"))
