@@ -1,11 +1,11 @@
 """Packing along a space-filling curve.
 
 A document's hashed word vector is projected to three dimensions and cut into cells, and the Hilbert
-key of its cell says where on the curve it lies. Rows are dealt out by ranges of the key; each task
-sorts its range, encodes the texts and cuts the stream of ids into full sequences, so neighbours on
-the curve share sequences and only the last sequence of a range needs padding. Equal keys are parted
-by a hash of the row and equal rows by their place in the staged table, so copies of one text, or one row
-repeated, fill as many ranges as they need.
+key of its cell says where on the curve it lies. Rows are dealt out by ranges of the key that hold about
+equal bytes of text; each task sorts its range, encodes the texts and cuts the stream of ids into full
+sequences, so neighbours on the curve share sequences and only the last sequence of a range needs padding.
+A bin of the curve that holds more than a range, such as copies of one text or one row repeated, is dealt
+row by row over as many ranges as its bytes fill.
 """
 
 from __future__ import annotations
@@ -30,6 +30,8 @@ DIMS = 3
 CELL_BITS = 10
 HASHED = 256
 RANGE_BYTES = 32 << 20
+#: Bins of the curve whose bytes are counted to cut it into ranges: 2 ** BIN_BITS rows come to the driver.
+BIN_BITS = 16
 REMEMBERED = 500_000
 BATCH_BYTES = 8 << 20
 
@@ -91,11 +93,36 @@ def curve_key(text: str, seed: int = 3) -> Column:
     return of(utf8(text))
 
 
+def _ranges(rows: DataFrame) -> tuple[DataFrame, int]:
+    """`rows` with the number of their range, and how many ranges there are.
+
+    The curve is cut where the bytes of its bins pass multiples of `RANGE_BYTES`. A bin of half a range or
+    more has ranges of its own, over which its rows are dealt by a hash of their number.
+    """
+    bins = F.shiftright("key", DIMS * CELL_BITS - BIN_BITS).alias("bin")
+    found = sorted(tuple(r) for r in rows.groupBy(bins).agg(F.sum(F.col("size") + 1).alias("bytes")).collect())
+    cuts, number, filled = [], 0, 0
+    for place, size in found:
+        if size >= RANGE_BYTES // 2:
+            number, own = number + (filled > 0), -(-size // RANGE_BYTES)
+            cuts.append((place, number, own))
+            number, filled = number + own, 0
+        else:
+            if filled and filled + size > RANGE_BYTES:
+                number, filled = number + 1, 0
+            cuts.append((place, number, 1))
+            filled += size
+    table = rows.sparkSession.createDataFrame(cuts, "bin int, first int, own int")
+    dealt = F.floor(F.pmod(F.xxhash64("uid"), F.lit(1 << 20)) * F.col("own") / (1 << 20)).cast("int")
+    placed = rows.withColumn("bin", bins.cast("int")).join(F.broadcast(table), "bin")
+    return placed.withColumn("range", F.col("first") + dealt).drop("bin", "first", "own"), number + (filled > 0)
+
+
 def pack(
     docs: DataFrame, tokenizer: str, carry: list[str], text: str = "text", length: int = SEQUENCE
 ) -> DataFrame:
     """Pieces of all documents: columns `carry` as struct `row`, `start`, `ids`, `doc_tokens`,
-    `sequence_id`, `offset`.
+    `sequence_id`, `offset`, and `uid`, a number of the row that tells repeated rows apart.
 
     A document is its ids and then id 2; `ids` are little-endian unsigned 32-bit integers. Each id
     lies in exactly one piece, `start` ids of the document come before the piece, and `offset` ids of
@@ -113,7 +140,7 @@ def pack(
         ).withColumn("uid", F.monotonically_increasing_id()),
         "curve",
     )
-    ranges = max(1, -(-(rows.agg(F.sum("size")).first()[0] or 0) // RANGE_BYTES))
+    placed, ranges = _ranges(rows)
     row = rows.schema["row"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,12 +163,11 @@ def pack(
                     kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
                     columns = [pa.array(v, t) for v, t in zip(values, kinds)]
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column("row").take(pa.array(own)), *columns],
-                        ["row", "start", "ids", "doc_tokens", "sequence_id", "offset"],
+                        [batch.column("row").take(pa.array(own)), *columns, batch.column("uid").take(pa.array(own))],
+                        ["row", "start", "ids", "doc_tokens", "sequence_id", "offset", "uid"],
                     )
                     pieces, held = [], 0
 
-    kind = f"row {row}, start long, ids binary, doc_tokens long, sequence_id long, offset long"
-    order = ["key", "tie", "uid"]
-    ordered = rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
-    return ordered.select("row", "text").mapInArrow(cut, kind)
+    kind = f"row {row}, start long, ids binary, doc_tokens long, sequence_id long, offset long, uid long"
+    ordered = placed.repartitionById(max(1, ranges), "range").sortWithinPartitions("key", "tie", "uid")
+    return ordered.select("row", "text", "uid").mapInArrow(cut, kind)

@@ -6,7 +6,8 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
-from llm_cases import documents, empty, texts
+from llm_cases import documents, empty, prose, texts
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from gaugeloom.llm.packing import hilbert_keys, pack
@@ -82,6 +83,23 @@ def test_one_row_repeated_fills_many_ranges(spark, whole, monkeypatch):
     check(pieces, {1: ids, "all": [ids] * 600}, 64)
     used = {r["sequence_id"] >> 33 for r in pieces}
     assert len(used) > 5
+    assert len({(r["uid"], r["start"]) for r in pieces}) == len(pieces) and len({r["uid"] for r in pieces}) == 600
+
+
+def test_ranges_hold_about_equal_bytes(spark, monkeypatch):
+    """Few long texts, many short ones and a hot text: ranges are cut by bytes, and the hot one is split."""
+    import gaugeloom.llm.packing as module
+
+    monkeypatch.setattr(module, "RANGE_BYTES", 20_000)
+    texts = [prose(k, 20) for k in range(900)] + [prose(1000 + k, 900) for k in range(60)] + ["one hot text " * 20] * 500
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "uid long, text string")
+    rows = rows.withColumn("key", module.curve_key("text")).withColumn("size", F.octet_length("text").cast("long"))
+    placed, ranges = module._ranges(rows.cache())
+    sizes = {r["range"]: r["bytes"] for r in placed.groupBy("range").agg(F.sum("size").alias("bytes")).collect()}
+    assert set(sizes) <= set(range(ranges)) and ranges < 2.5 * sum(sizes.values()) / 20_000
+    assert max(sizes.values()) < 1.6 * 20_000
+    hot = placed.filter(F.col("text").startswith("one hot")).select("range").distinct().count()
+    assert hot >= 5
 
 
 def test_query(spark, small, whole):
