@@ -2,7 +2,7 @@
 
 Every word has a sparse index vector of plus and minus ones, drawn by the hash of the word and of its shape;
 a word's vector is the sum of the index vectors around it over the whole corpus (exact integer sums). The
-`WORDS` most frequent words have their vectors in a table of bounded size, which tasks look up. A rarer
+most frequent words, at most `WORDS`, have their vectors in a table of bounded size, which tasks look up. A rarer
 word's surroundings are nearly all in the text at hand, so there its vector is summed up on the spot. A
 document is the mean vector of its frequent words beside that of its rare ones, and a two-layer network with
 a temperature fitted on rows it did not learn from turns that into a probability. The network is fitted on
@@ -13,15 +13,18 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeloom.llm.common import utf8
+from gaugeloom.session import stage
 
 #: Words with a vector in the table, and rows of the pools that index vectors are drawn from.
 WORDS = 1 << 15
@@ -34,7 +37,7 @@ WINDOW = 2
 CHUNK = 50_000
 SLICE = 1 << 18
 #: Words whose codes a task keeps, and different words it counts before it gives its counts out.
-REMEMBERED = 150_000
+REMEMBERED = 250_000
 DISTINCT = 300_000
 #: Labelled documents the network learns from at most, those with the lowest hash of their id.
 SAMPLE = 20_000
@@ -79,12 +82,14 @@ class _Codes(dict):
     """Numbers that hold a word's row in the table (`WORDS` if rare), its pool row and its shape."""
 
     def __init__(self, known: dict[bytes, int]) -> None:
-        super().__init__()
-        self.known, self.shapes = known, _Shapes()
+        self.shapes = _Shapes()
+        super().__init__((word, row * POOL * SHAPES + self._index(word)) for word, row in known.items())
+
+    def _index(self, word: bytes) -> int:
+        return zlib.crc32(word) % POOL * SHAPES + self.shapes[word.translate(_KIND)]
 
     def __missing__(self, word: bytes) -> int:
-        row = self.known.get(word, WORDS)
-        got = (row * POOL + zlib.crc32(word) % POOL) * SHAPES + self.shapes[word.translate(_KIND)]
+        got = WORDS * POOL * SHAPES + self._index(word)
         if len(self) < REMEMBERED:
             self[word] = got
         return got
@@ -161,24 +166,34 @@ def add_contexts(table: np.ndarray, part: tuple[np.ndarray, np.ndarray, np.ndarr
 
 
 def frequent_words(docs: DataFrame, text: str, most: int = WORDS) -> dict[bytes, int]:
-    """Row of each of the `most` most frequent words, ties to the smaller word; counted over all texts."""
-
-    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        count: dict[bytes, int] = {}
-        out = lambda: pd.DataFrame({"word": list(count), "n": list(count.values())})
+    """Row of each of the most frequent words, counted over all texts: those above the lowest limit, in steps of
+    an eighth of a power of two, that leaves at most `most`."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count: Counter[bytes] = Counter()
+        out = lambda: pa.RecordBatch.from_arrays(
+            [pa.array(count.keys(), pa.binary()), pa.array(count.values(), pa.int64())], ["word", "n"]
+        )
         for batch in batches:
-            for body in batch["text"]:
-                for words in slices(body):
-                    for word in words:
-                        count[word] = count.get(word, 0) + 1
+            for body in batch.column("text"):
+                for words in slices(body.as_py()):
+                    count.update(words)
                 if len(count) > DISTINCT:
                     yield out()
                     count.clear()
         yield out()
 
-    counts = docs.select(utf8(text).alias("text")).mapInPandas(each, "word binary, n long")
-    top = counts.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most)
-    return {bytes(r["word"]): k for k, r in enumerate(top.select("word").collect())}
+    counts = docs.select(utf8(text).alias("text")).mapInArrow(each, "word binary, n long")
+    step = F.floor(8 * F.log2(F.col("n").cast("double"))).alias("step")
+    words = stage(counts.groupBy("word").agg(F.sum("n").alias("n")).select("word", step), "words")
+    left, limit = most, 1 << 10
+    for r in words.groupBy("step").count().orderBy(F.desc("step")).collect():  # at most 512 rows
+        left -= r["count"]
+        if left < 0:
+            break
+        limit = r["step"]
+    known = words.filter(F.col("step") >= limit).select("word").collect()
+    return {word: k for k, word in enumerate(sorted(bytes(r["word"]) for r in known))}
 
 
 def context_table(docs: DataFrame, text: str, known: dict[bytes, int]) -> np.ndarray:
@@ -186,16 +201,15 @@ def context_table(docs: DataFrame, text: str, known: dict[bytes, int]) -> np.nda
     names = [f"v{k}" for k in range(DIMS)]
     shared = docs.sparkSession.sparkContext.broadcast(known)
 
-    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, table = _Codes(shared.value), np.zeros((WORDS, DIMS), np.int64)
-        for part in _parts((body for batch in batches for body in batch["text"]), codes):
+        for part in _parts((body.as_py() for batch in batches for body in batch.column("text")), codes):
             add_contexts(table, part)
         some = np.flatnonzero(table.any(axis=1))
-        rows = pd.DataFrame(table[some], columns=names)
-        rows.insert(0, "key", some)
-        yield rows
+        columns = [pa.array(some), *(pa.array(table[some, k]) for k in range(DIMS))]
+        yield pa.RecordBatch.from_arrays(columns, ["key", *names])
 
-    found = docs.select(utf8(text).alias("text")).mapInPandas(each, "key long, " + ", ".join(f"{n} long" for n in names))
+    found = docs.select(utf8(text).alias("text")).mapInArrow(each, "key long, " + ", ".join(f"{n} long" for n in names))
     sums = found.groupBy("key").agg(*[F.sum(n).alias(n) for n in names]).toPandas()
     table = np.zeros((WORDS, DIMS))
     table[sums["key"].to_numpy(np.int64)] = sums[names].to_numpy()
@@ -222,8 +236,8 @@ def pooled(texts: list[bytes], vectors: np.ndarray, mean: np.ndarray, codes: _Co
                 continue
             own = text[some]
             first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-            what = near[some] if half else vectors[row[some]]
-            sums[own[first], half] += np.add.reduceat(what, first, axis=0, dtype=np.float64)
+            what, kind = (near[some], np.int32) if half else (vectors[row[some]], np.float32)
+            sums[own[first], half] += np.add.reduceat(what, first, axis=0, dtype=kind)
             count[own[first], half] += np.diff(np.r_[first, len(own)])
     sums /= np.maximum(count, 1)[:, :, None]
     sums[:, 1] -= np.outer(sums[:, 1] @ mean, mean)

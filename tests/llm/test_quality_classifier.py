@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import tracemalloc
 import zlib
 from collections import Counter
@@ -57,8 +58,14 @@ def test_places_against_loops(monkeypatch, chunk):
 def test_frequent_words(spark):
     docs = documents(spark)
     count = Counter(w for r in docs.select("text").collect() for w in (r[0] or "").encode().split())
-    order = sorted(count, key=lambda w: (-count[w], w))
-    assert quality.frequent_words(docs, "text", 30) == {w: k for k, w in enumerate(order[:30])}
+    step = lambda w: int(8 * math.log2(count[w]))
+    for most in (30, 200, 10**6):
+        known = quality.frequent_words(docs, "text", most)
+        assert 0 < len(known) <= most and sorted(known.values()) == list(range(len(known)))
+        limit = min(map(step, known))
+        assert set(known) == {w for w in count if step(w) >= limit}
+        assert len(known) == len(count) or sum(step(w) >= limit - 1 for w in count) > most or limit > 0
+    assert len(quality.frequent_words(docs, "text", 10**6)) == len(count)
 
 
 def test_table_of_all_texts(spark):
