@@ -12,7 +12,11 @@ from checks.standins import (
     model_nodes, model_series, observations, requested, runs, table, user_request,
 )
 from gaugeloom.plans import harvests as H
+from gaugeloom.plans import windows as W
+from gaugeloom.plans.series import ordered_series
+from gaugeloom.session import scratch
 from gaugeloom.sources import gauge, tide
+from gaugeloom.streaming.series import merge_batch, merged
 
 START, END = "2024-01-05 03:00:00", "2024-01-12 21:00:00"
 SLICE = f"time BETWEEN TIMESTAMP '{START}' AND TIMESTAMP '{END}'"
@@ -34,6 +38,21 @@ def tide_harvest(spark, sf):
     return tide_run(spark, sf).data
 
 
+@check("tide_harvest_files", P.with_(sliced(), P.series(), select="""
+SELECT strftime(time, '%Y-%m-%dT%H:%M:%S') AS "TIME", station AS "STATION", value AS "WATER_LEVEL" FROM grid"""))
+def tide_harvest_files(spark, sf):
+    """A whole run written and read back."""
+    path, _ = tide_run(spark, sf).write(scratch(spark, "run"))
+    return spark.read.csv(path, header=True, schema="TIME string, STATION string, WATER_LEVEL double")
+
+
+@check("ordered_native_series", P.with_(P.obs(), P.dedupe(), P.interpolate(), "axis AS (SELECT DISTINCT time FROM ded)",
+    P.aligned("filled", stations="ded"), select="SELECT * FROM grid"))
+def ordered_native_series(spark, sf):
+    """Native times, unfolded in order."""
+    return ordered_series(observations(spark, sf), minutes=0)
+
+
 @check("tide_harvest_meta", P.with_(P.META, select="SELECT * FROM meta"))
 def tide_harvest_meta(spark, sf):
     return tide_run(spark, sf).meta
@@ -226,14 +245,74 @@ def window_sql(i, start, end):
     ])
 
 
-@check("backfill", P.with_(
-    P.obs("every", "user_id", "minute"), *[window_sql(i, *w) for i, w in enumerate(WINDOWS)], select="""
+MERGED_WINDOWS = """
 SELECT station, time, arg_min(value, (value = -99999.0, k)) AS value FROM (""" + " UNION ALL ".join(
-        f"SELECT *, {i} AS k FROM g{i}" for i in range(len(WINDOWS))) + ") GROUP BY 1, 2"))
+    f"SELECT *, {i} AS k FROM g{i}" for i in range(len(WINDOWS))) + ") GROUP BY 1, 2"
+
+
+@check("backfill", P.with_(
+    P.obs("every", "user_id", "minute"), *[window_sql(i, *w) for i, w in enumerate(WINDOWS)], select=MERGED_WINDOWS))
 def backfill(spark, sf):
     obs = tide.read_tide_obs(spark, land_tide(spark, sf))
     meta = tide.read_tide_meta(spark, land_tide_meta(spark, sf))
     asked = user_request(spark, sf)
-    return H.backfill(
+    return W.backfill(
         WINDOWS, lambda start, end: H.tide_harvest(obs, meta, asked, start, end, minutes=60)
     )
+
+
+@check("backfill_gauges", P.with_("""every AS (
+  SELECT event_type AS station, ts AS time, CASE WHEN value >= 20 THEN value END * 0.3048::DOUBLE AS value, 0 AS seq
+  FROM events WHERE value >= 50)""", *[window_sql(i, *w) for i, w in enumerate(WINDOWS)], select=MERGED_WINDOWS))
+def backfill_gauges(spark, sf):
+    """River gauges in overlapping windows, by the hour."""
+    obs = gauge.read_gauge_obs(spark, land_gauge(spark, sf), "river_water_level")
+    sensors = gauge.read_gauge_sensor_meta(spark, land_xml(spark, gauge_sensors(spark, sf), "sensors"))
+    sites = gauge.read_gauge_site_meta(spark, land_xml(spark, gauge_sites(spark, sf), "sites"))
+    kinds = table(spark, sf, "events").select(F.lit(0).alias("position"), F.col("event_type").alias("station")).distinct()
+    return W.backfill(WINDOWS, lambda start, end: H.gauge_harvest(obs, sensors, sites, kinds, start, end, minutes=60))
+
+
+RUN_WINDOWS = [(f"{1983 + 2 * i}-01-01 00:00:00", f"{1985 + 2 * i}-12-31 00:00:00") for i in range(2)]
+
+
+def run_window_sql(i, start, end):
+    """The recipe over the runs that start in one window, at their own times."""
+    return f"""o{i} AS (
+  SELECT p.station, s.time, CASE WHEN s.zeta >= -1000 THEN s.zeta END AS value, (r.position, s.node_idx) AS seq
+  FROM series s JOIN parts r USING (url) JOIN pairs p ON p.node_idx = s.node_idx
+  WHERE r.start BETWEEN TIMESTAMP '{start}' AND TIMESTAMP '{end}'),
+""" + ",\n".join([
+        P.dedupe(f"o{i}", f"d{i}"), P.interpolate(f"d{i}", f"f{i}"), f"x{i} AS (SELECT DISTINCT time FROM d{i})",
+        P.aligned(f"f{i}", f"x{i}", f"d{i}", f"g{i}"),
+    ])
+
+
+@check("backfill_runs", P.with_(
+    *RUN_SET, P.PARTS, f"pairs AS ({PAIRS})", *[run_window_sql(i, *w) for i, w in enumerate(RUN_WINDOWS)], select="""
+SELECT station, time, arg_min(value, (value = -99999.0, k)) AS value FROM (
+  SELECT *, 0 AS k FROM g0 UNION ALL SELECT *, 1 AS k FROM g1) GROUP BY 1, 2"""))
+def backfill_runs(spark, sf):
+    """Model runs of two windows that share a year, merged."""
+    return W.backfill_runs(RUN_WINDOWS, *model_inputs(spark, sf), requested(spark, sf))
+
+
+def merged_part(name, numbers):
+    return f"{name} AS (SELECT station, time, arg_min(value, (value = -99999.0, k)) AS value FROM (" + " UNION ALL ".join(
+        f"SELECT *, {i} AS k FROM g{i}" for i in numbers) + ") GROUP BY 1, 2)"
+
+
+@check("backfill_into_table", P.with_(
+    P.obs("every", "user_id", "minute"), *[window_sql(i, *w) for i, w in enumerate(WINDOWS)],
+    merged_part("old", range(3)), merged_part("new", range(3, 5)), select="""
+SELECT * FROM old UNION ALL SELECT * FROM new ANTI JOIN old USING (station, time)"""))
+def backfill_into_table(spark, sf):
+    """Two backfills merged into one table: rows that it has stay, new ones are added."""
+    table_path = scratch(spark, "backfilled")
+    obs = tide.read_tide_obs(spark, land_tide(spark, sf))
+    meta = tide.read_tide_meta(spark, land_tide_meta(spark, sf))
+    asked = user_request(spark, sf)
+    for n, part in enumerate((WINDOWS[:3], WINDOWS[3:])):
+        found = W.backfill(part, lambda start, end: H.tide_harvest(obs, meta, asked, start, end, minutes=60))
+        merge_batch(found, n, table_path)
+    return merged(spark, table_path)

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeloom.functions.times import iso_time
+from gaugeloom.functions.times import epoch_us, iso_time
 from gaugeloom.functions.values import fill_missing
 from gaugeloom.operators.spread import bucket_count
-from gaugeloom.schema import FILL_VALUE, STATION, TIME, VALUE
+from gaugeloom.schema import DEFAULT_MINUTES, FILL_VALUE, STATION, TIME, VALUE
 
 ROSTER_SIZE = 64
+#: Bins of one cell of the ordered output.
+CELL_BINS = 128
 
 
 def align_stations(
@@ -54,6 +56,67 @@ def align_stations(
     return cells.select(TIME, F.inline(F.concat(here, absent))).select(STATION, TIME, VALUE)
 
 
+def align_in_groups(
+    df: DataFrame, axis: DataFrame, stations: DataFrame, group: str, roster_size: int = ROSTER_SIZE
+) -> DataFrame:
+    """As `align_stations`, where each time belongs to a group and a group has stations of its own.
+
+    `axis` has each time once with its group, `stations` the stations of each group. Rosters are of a
+    group; the rest is one plan for all groups, so its exchanges do not grow with their number.
+    """
+    rosters_n = bucket_count(stations.select(STATION).distinct(), roster_size)
+    roster_of = F.coalesce(F.pmod(F.xxhash64(STATION), rosters_n), F.lit(0))
+    rosters = stations.groupBy(group, roster_of.alias("_roster")).agg(F.collect_list(STATION).alias("_members"))
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    skeleton = axis.select(
+        TIME, group, F.explode(F.sequence(F.lit(0).cast("bigint"), rosters_n - F.lit(1))).alias("_roster")
+    ).repartition(tasks, TIME, "_roster")
+    present = df.groupBy(TIME, roster_of.alias("_roster")).agg(F.collect_list(F.struct(STATION, VALUE)).alias("_present"))
+    cells = skeleton.join(present, [TIME, "_roster"], "left").join(rosters, [group, "_roster"])
+    here = F.coalesce("_present", F.array().cast("array<struct<station:string,value:double>>"))
+    absent = F.transform(
+        F.array_except("_members", here[STATION]),
+        lambda s: F.struct(s.alias(STATION), F.lit(None).cast("double").alias(VALUE)),
+    )
+    return cells.select(TIME, F.inline(F.concat(here, absent))).select(STATION, TIME, VALUE)
+
+
+def unfold_in_order(
+    found: DataFrame, axis: DataFrame, stations: DataFrame, requested: DataFrame | None = None,
+    minutes: int = DEFAULT_MINUTES, fill: float = FILL_VALUE,
+) -> DataFrame:
+    """`align_stations`, filled and in the order of `order_output`, without a sort of the dense grid.
+
+    A cell is a station's stretch of `CELL_BINS` bins of the clock: the times of the axis in it, and the values
+    found there. Cells are sorted by range over (position, station, stretch), and the sorted task unfolds
+    them, so what is shuffled for the order is one row for a hundred or so of the output. `found` must have
+    unique (station, time).
+    """
+    width = F.lit(minutes * 60_000_000 * CELL_BINS)
+    cell = F.floor(epoch_us(TIME) / width).alias("_cell")
+    times = axis.select(TIME).distinct().groupBy(cell).agg(F.sort_array(F.collect_list(TIME)).alias("_times"))
+    members = stations.select(STATION).distinct()
+    if requested is None:
+        members = members.withColumn("position", F.lit(None).cast("int"))
+    else:
+        members = with_position(members, requested)
+    rosters_n = bucket_count(stations.select(STATION).distinct(), ROSTER_SIZE)
+    roster_of = F.coalesce(F.pmod(F.xxhash64(STATION), rosters_n), F.lit(0))
+    rosters = members.groupBy(roster_of.alias("_roster")).agg(F.collect_list(F.struct("position", STATION)).alias("_members"))
+    tasks = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    each = times.withColumn("_roster", F.explode(F.sequence(F.lit(0).cast("bigint"), rosters_n - F.lit(1))))
+    cells = each.repartition(tasks, "_cell", "_roster").join(rosters, "_roster")
+    cells = cells.select("_cell", "_times", F.inline("_members"))
+    values = found.where(F.col(VALUE).isNotNull()).groupBy(STATION, cell).agg(
+        F.map_from_entries(F.collect_list(F.struct(TIME, VALUE))).alias("_values")
+    )
+    ordered = cells.join(values, [STATION, "_cell"], "left").orderBy(
+        F.col("position").asc_nulls_last(), STATION, "_cell"
+    )
+    told = F.transform("_times", lambda t: F.struct(t.alias(TIME), F.try_element_at("_values", t).alias(VALUE)))
+    return ordered.select(STATION, F.inline(told)).select(STATION, TIME, fill_missing(VALUE, fill).alias(VALUE))
+
+
 def to_long(wide: DataFrame, id_column: str = "TIME", product: str = "WATER_LEVEL") -> DataFrame:
     """Un-pivot station columns to `TIME, STATION, <PRODUCT>`."""
     stations = [c for c in wide.columns if c != id_column]

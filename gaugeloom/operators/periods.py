@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeloom.functions.runs import request_query
@@ -85,6 +85,28 @@ def sliding_windows(
     ).drop("_w")
 
 
+def windows_table(spark: SparkSession, windows: list[tuple]) -> DataFrame:
+    """`(window_no, window_start, window_end)` of a list of ranges, numbered in its order."""
+    rows = [(n, str(start), str(end)) for n, (start, end) in enumerate(windows)]
+    table = spark.createDataFrame(rows, "window_no int, a string, b string")
+    lo, hi = ordered(ntz("a"), ntz("b"))
+    return table.select("window_no", lo.alias("window_start"), hi.alias("window_end"))
+
+
+def rows_in_windows(df: DataFrame, windows: DataFrame, time: str = TIME) -> DataFrame:
+    """Each row once for every window it falls in, both ends included, as `window_no`.
+
+    Windows may overlap and leave gaps. A window is listed under the days it touches, so rows find theirs by
+    day, and a row only meets windows of its own day.
+    """
+    days = F.sequence(F.to_date("window_start"), F.to_date("window_end"), F.make_dt_interval(days=F.lit(1)))
+    listed = windows.select("window_no", "window_start", "window_end", F.explode(days).alias("_day"))
+    met = df.withColumn("_day", F.to_date(time)).join(listed, "_day")
+    return met.where(F.col(time).between(F.col("window_start"), F.col("window_end"))).drop(
+        "_day", "window_start", "window_end"
+    )
+
+
 def in_period(time: str = TIME) -> Column:
     """Whether a row lies in its period. A period that ends at 23:59:59 runs up to midnight: that end is
     how a request is written, and the next period begins a second later."""

@@ -151,8 +151,8 @@ def station_spans(counts: DataFrame) -> DataFrame:
     )
 
 
-def bin_axis(spans: DataFrame, minutes: int) -> DataFrame:
-    """Every bin between the ends of any station: the common axis after `dense_bins`.
+def bin_axis(spans: DataFrame, minutes: int, by: tuple[str, ...] = ()) -> DataFrame:
+    """Every bin between the ends of any station: the common axis after `dense_bins`, for each value of `by`.
 
     Spans are cut into runs of `AXIS_RUN` bins first. Stations share nearly all of their runs, so
     these collapse to few before any bin is unfolded. The fixed number of partitions keeps the
@@ -161,16 +161,17 @@ def bin_axis(spans: DataFrame, minutes: int) -> DataFrame:
     width = minutes * 60_000_000
     tasks = int(spans.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     phase = F.pmod(epoch_us("lo"), F.lit(width))
-    numbered = spans.select("lo", "hi").distinct().repartition(tasks, "lo", "hi").select(
+    numbered = spans.select(*by, "lo", "hi").distinct().repartition(tasks, *by, "lo", "hi").select(
+        *by,
         phase.alias("_phase"),
         F.floor(epoch_us("lo") / F.lit(width)).alias("_first"),
         F.floor(epoch_us("hi") / F.lit(width)).alias("_last"),
     )
     first_run, last_run = (F.floor(F.col(c) / F.lit(AXIS_RUN)) for c in ("_first", "_last"))
     runs = numbered.withColumn("_run", F.explode(F.sequence(first_run, last_run))).select(
-        "_phase",
+        *by, "_phase",
         F.greatest("_first", F.col("_run") * AXIS_RUN).alias("_a"),
         F.least("_last", F.col("_run") * AXIS_RUN + (AXIS_RUN - 1)).alias("_b"),
     ).distinct()
-    bins = runs.select("_phase", F.explode(F.sequence("_a", "_b")).alias("_k")).distinct()
-    return bins.select(from_epoch_us(F.col("_k") * F.lit(width) + F.col("_phase")).alias(TIME))
+    bins = runs.select(*by, "_phase", F.explode(F.sequence("_a", "_b")).alias("_k")).distinct()
+    return bins.select(*by, from_epoch_us(F.col("_k") * F.lit(width) + F.col("_phase")).alias(TIME))

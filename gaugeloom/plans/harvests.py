@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timedelta
-from functools import cached_property, reduce
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +12,6 @@ from pyspark.sql import functions as F
 from gaugeloom.functions.runs import grid_cast_name, to_nowcast_url
 from gaugeloom.functions.times import time_slice
 from gaugeloom.functions.values import convert_units, mask_below
-from gaugeloom.operators.dedupe import dedupe_keep_first
 from gaugeloom.operators.matching import (
     distinct_pairs, match_stations, node_pairs, unmatched_stations,
 )
@@ -29,7 +27,7 @@ from gaugeloom.schema import (
     DEFAULT_MINUTES, FILL_VALUE, GAUGE_GROUPS, OWNERS, REQUEST_ROW_CAP, SEQ, STATION, TIME, VALUE, harvest_product,
 )
 from gaugeloom.session import stage
-from gaugeloom.sinks.files import write_long, write_meta
+from gaugeloom.sinks.files import write_meta, write_series
 
 
 @dataclass
@@ -73,7 +71,7 @@ class Harvest:
     def write(self, root: str, tag: str | None = None) -> tuple[str, str]:
         """Write data and metadata; the names follow from the run unless a tag is given."""
         tag = tag or self.tag()
-        data = write_long(self.data, root, self.source, tag, self.product, self.requested)
+        data = write_series(self.staged, root, self.source, tag, self.product, self.requested, self.minutes)
         return data, write_meta(self.meta, root, self.source, tag)
 
 
@@ -175,13 +173,14 @@ def model_harvest(
     series: DataFrame,
     requested: DataFrame | None = None,
     station_nodes: DataFrame | None = None,
+    single_cast: bool = True,
 ) -> ModelHarvest:
     """Ocean model: all runs of a batch in one scan, native time steps.
 
     Stations are found by name in the runs (`requested`), or by the curated node table
     (`station_nodes`). Runs without landed data add nothing. Repeated times of overlapping runs
     keep the earlier run's value. A batch that mixes forecasts and nowcasts fails when the result
-    is read.
+    is read, unless `single_cast` is off.
 
     The `(station, node)` pairs are staged first: they are few, and with their true size known
     Spark cuts the model output down to them in the scan's own tasks.
@@ -202,12 +201,12 @@ def model_harvest(
 
     casts = run_cast(series, listed)
     whole = casts.withColumn("batch", F.lit("of this request"))
-    cast = assert_single_cast(whole).select("cast").scalar()
+    cast = assert_single_cast(whole).select("cast").scalar() if single_cast else F.lit("")
 
     wanted = series.join(pairs, ["node_idx"], "inner")
     placed = wanted.join(listed.select("url", F.col("position").alias("_run")), ["url"], "inner")
     rows = placed.where(cast.isNotNull()).select(
-        STATION, TIME, mask_below("zeta").alias(VALUE),
+        "url", STATION, TIME, mask_below("zeta").alias(VALUE),
         (F.col("_run").cast("bigint") * F.lit(1 << 32) + F.col("node_idx")).alias(SEQ),
     )
 
@@ -253,21 +252,3 @@ def forecast_nowcast_pair(
         model_harvest(twins, nodes, series, requested),
         status,
     )
-
-
-def backfill(windows: list[tuple], harvest: Callable[..., Harvest]) -> DataFrame:
-    """Collect each `(start, end)` window and merge; the earlier window's value stays.
-
-    A sentinel is not a value: where the earlier window had none, the later one's counts. The
-    windows are a short list the caller chose, so they become branches of one plan; each branch
-    carries its own range filter to the scan.
-    """
-    missing = F.col(VALUE) == F.lit(FILL_VALUE)
-    parts = [
-        harvest(start, end).data.withColumn(
-            SEQ, F.when(missing, F.lit(place + len(windows))).otherwise(F.lit(place))
-        )
-        for place, (start, end) in enumerate(windows)
-    ]
-    stacked = reduce(lambda a, b: a.unionByName(b), parts)
-    return dedupe_keep_first(stacked).select(STATION, TIME, VALUE)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeloom.functions.values import fill_missing
-from gaugeloom.operators.align import align_stations
+from gaugeloom.operators.align import align_stations, unfold_in_order
 from gaugeloom.operators.dedupe import dedupe_keep_first
 from gaugeloom.operators.gaps import interpolate_linear
 from gaugeloom.operators.resample import (
@@ -29,6 +29,20 @@ def regular_series(obs: DataFrame, minutes: int, unique: bool = False) -> DataFr
     return repair_bins(first_heads(obs, minutes))
 
 
+def series_parts(
+    obs: DataFrame, minutes: int | None = DEFAULT_MINUTES, unique: bool = False
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What the aligned series is unfolded from: values found, times of the common axis, stations."""
+    obs = obs.where(F.col(STATION).isNotNull() & F.col(TIME).isNotNull())
+    if minutes == 0:
+        return native_series(obs, unique), obs, obs
+    width = minutes or DEFAULT_MINUTES
+    spans = station_spans(bin_counts(obs, width))
+    # The comparison keeps both bounds in the plan, so axis and roster share one exchange.
+    roster = spans.where(F.col("lo") <= F.col("hi"))
+    return regular_series(obs, width, unique), bin_axis(spans, width), roster
+
+
 def harvest_series(
     obs: DataFrame,
     minutes: int | None = DEFAULT_MINUTES,
@@ -42,18 +56,12 @@ def harvest_series(
     station repeats a time, which saves the shuffle of raw rows. The axis comes from one count per
     bin, over two columns of the scan.
     """
-    obs = obs.where(F.col(STATION).isNotNull() & F.col(TIME).isNotNull())
-    if minutes == 0:
-        aligned = align_stations(native_series(obs, unique), axis=obs, stations=obs)
-    else:
-        width = minutes or DEFAULT_MINUTES
-        counts = bin_counts(obs, width)
-        spans = station_spans(counts)
-        # The comparison keeps both bounds in the plan, so axis and roster share one exchange.
-        roster = spans.where(F.col("lo") <= F.col("hi"))
-        aligned = align_stations(
-            regular_series(obs, width, unique),
-            axis=bin_axis(spans, width),
-            stations=roster,
-        )
-    return aligned.withColumn(VALUE, fill_missing(VALUE, fill))
+    found, axis, stations = series_parts(obs, minutes, unique)
+    return align_stations(found, axis=axis, stations=stations).withColumn(VALUE, fill_missing(VALUE, fill))
+
+
+def ordered_series(
+    obs: DataFrame, requested: DataFrame | None = None, minutes: int | None = DEFAULT_MINUTES
+) -> DataFrame:
+    """The rows of `harvest_series` in output order, sorted as cells of many times before they are unfolded."""
+    return unfold_in_order(*series_parts(obs, minutes), requested, minutes or DEFAULT_MINUTES)

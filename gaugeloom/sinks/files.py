@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 
 from gaugeloom.operators.align import order_output, output_form
 from gaugeloom.operators.metadata import filled_meta
-from gaugeloom.schema import FILE_ROOTS
+from gaugeloom.plans.series import ordered_series
+from gaugeloom.schema import DEFAULT_MINUTES, FILE_ROOTS
 
 
 def artifact_path(root: str, source: str, *parts: str | None, meta: bool = False) -> str:
@@ -26,14 +27,34 @@ def write_long(
     """Write `TIME,STATION,<PRODUCT>` in request order and return the folder.
 
     The global sort is a range partitioning, so the part files, read in order, are the file; a
-    long station spans several of them.
+    long station spans several of them. For observations that are yet to be aligned, `write_series`
+    sorts far less.
     """
+    return _write_ordered(order_output(df, requested), root, source, tag, product)
+
+
+def _write_ordered(df: DataFrame, root: str, source: str, tag: str, product: str) -> str:
     path = artifact_path(root, source, tag)
-    rows = output_form(order_output(df, requested), product)
-    rows.write.mode("overwrite").csv(path, header=True)
+    output_form(df, product).write.mode("overwrite").csv(path, header=True)
     return path
 
 
+def write_series(
+    obs: DataFrame,
+    root: str,
+    source: str,
+    tag: str,
+    product: str = "water_level",
+    requested: DataFrame | None = None,
+    minutes: int | None = DEFAULT_MINUTES,
+) -> str:
+    """Write the aligned series of raw observations as `write_long` does, with the same lines in the same order.
+
+    What is sorted are cells of many times; the sorted tasks unfold them into the files.
+    """
+    return _write_ordered(ordered_series(obs, requested, minutes), root, source, tag, product)
+
+
 def write_meta(meta: DataFrame, root: str, source: str, tag: str) -> str:
     """Write one line per station, STATION first."""
     path = artifact_path(root, source, tag, meta=True)

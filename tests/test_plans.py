@@ -8,8 +8,12 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from gaugeloom.operators import periods
 from gaugeloom.plans import harvests as H
+from gaugeloom.plans import windows as W
+from gaugeloom.plans.series import harvest_series, ordered_series
 from gaugeloom.session import scratch
+from gaugeloom.sinks.files import write_series
 from gaugeloom.sources import gauge, lists, model, tide
 from gaugeloom.sources.registry import SourceRegistry, standard_sources
 from gaugeloom.streaming.series import append_to, merge_stream, merged, stream_resample
@@ -190,10 +194,58 @@ def test_unknown_stations_give_an_empty_run(spark):
 def test_backfill_keeps_the_earlier_window(spark, tides):
     obs, meta = tide.read_tide_obs(spark, tides[0]), tide.read_tide_meta(spark, tides[1])
     windows = [("2021-09-01 00:00:00", "2021-09-01 00:20:00"), ("2021-09-01 00:10:00", "2021-09-01 01:00:00")]
-    got = by_key(H.backfill(windows, lambda a, b: H.tide_harvest(obs, meta, asked(spark, "A", "B"), a, b)))
+    got = by_key(W.backfill(windows, lambda a, b: H.tide_harvest(obs, meta, asked(spark, "A", "B"), a, b)))
     assert got == {("A", at(0)): 1.0, ("A", at(15)): 5.0, ("B", at(0)): -99999.0, ("B", at(15)): 7.0}
 
 
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange")
+
+
+def test_backfill_of_many_windows_has_the_plan_of_few(spark, tides):
+    obs, meta = tide.read_tide_obs(spark, tides[0]), tide.read_tide_meta(spark, tides[1])
+    day = "2021-09-01 %02d:%02d:00"
+    few, many = ([(day % (k // 4, 15 * (k % 4)), day % (k // 4 + 1, 0)) for k in range(n)] for n in (2, 40))
+    found = [W.backfill(w, lambda a, b: H.tide_harvest(obs, meta, asked(spark, "A", "B"), a, b)) for w in (few, many)]
+    assert exchanges(found[0]) == exchanges(found[1])
+    scans = found[1]._jdf.queryExecution().optimizedPlan().toString()
+    assert "json" not in scans.lower()  # the landed text is read once, when it is staged
+    whole = by_key(found[1])
+    for (station, time), value in by_key(found[0]).items():
+        assert whole[station, time] == value
+
+
+def test_rows_and_windows(spark):
+    rows = obs_frame(spark, [("A", 0, 1.0), ("A", 30, 2.0), ("A", 24 * 60, 3.0), ("A", 60 * 24 * 9, 4.0)])
+    windows = periods.windows_table(spark, [
+        ("2021-09-01 00:00:00", "2021-09-01 00:30:00"), ("2021-09-03 00:00:00", "2021-09-01 00:30:00"), ("2020-01-01", "2020-01-02"),
+    ])
+    got = {(r["window_no"], r["value"]) for r in periods.rows_in_windows(rows, windows).collect()}
+    assert got == {(0, 1.0), (0, 2.0), (1, 2.0), (1, 3.0)}
+
+
+def test_files_are_sorted_as_cells(spark):
+    """Part files read in order are the output in order, and nothing is exchanged above the unfolding."""
+    rows = [(s, m, float(m) if m % 7 else None) for s in ("B", "A", "C", "D") for m in range(0, 60 * 24 * 6, 20) if (m // 20 + ord(s)) % 5]
+    requested = asked(spark, "D", "B", "A")
+    obs = obs_frame(spark, rows)
+    ordered = ordered_series(obs, requested)
+    got = [(r["station"], r["time"], r["value"]) for r in ordered.collect()]
+    want = {(r["station"], r["time"]): r["value"] for r in harvest_series(obs).collect()}
+    place = {"D": 0, "B": 1, "A": 2, "C": 3}
+    assert [g[:2] for g in got] == sorted(want, key=lambda k: (place[k[0]], k[1])) and all(want[g[:2]] == g[2] for g in got)
+    plan = ordered._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    unfolds = [k for k, line in enumerate(plan) if "Generate inline" in line]
+    assert not any("Sort" in line or "Repartition" in line for line in plan[: unfolds[0]])
+    assert any("Sort [" in line for line in plan[unfolds[0] :])
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", 300)
+    path = write_series(obs, scratch(spark, "out"), "NOAA", "x", requested=requested)
+    spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    files = sorted(Path(path).glob("part-*.csv"))
+    lines = [line.split(",") for f in files for line in f.read_text().splitlines() if not line.startswith("TIME")]
+    assert len(files) > 3 and [(x[1], x[0]) for x in lines] == [(g[0], g[1].strftime("%Y-%m-%dT%H:%M:%S")) for g in got]
+
+
 def test_lists_and_node_table(spark):
     path = scratch(spark, "lists")
     land_text(path, "stations.txt", "# from somewhere\n8410140  \nWNRN7\n35370047744601\n")
