@@ -12,7 +12,7 @@ from checks.standins import (
 )
 from gaugeloom.operators.dedupe import dedupe_keep_first
 from gaugeloom.plans.series import harvest_series
-from gaugeloom.schema import META_KEYS, STATION_NODE_TYPES
+from gaugeloom.schema import META_KEYS, STATION_NODE_TYPES, TIDE_OBS_SCHEMA
 from gaugeloom.session import scratch
 from gaugeloom.sinks import files as W
 from gaugeloom.sources import gauge, lists, model, tide
@@ -103,6 +103,12 @@ def land_tide(spark, sf) -> str:
     return path
 
 
+def land_tide_days(spark, sf) -> str:
+    """The same answers in folders by day."""
+    rows = spark.read.schema(TIDE_OBS_SCHEMA).json(land_tide(spark, sf))
+    return W.write_landed(rows, scratch(spark, "tide-days"))
+
+
 def land_tide_meta(spark, sf) -> str:
     path = scratch(spark, "tide-meta")
     customer_meta(spark, sf).write.json(path)
@@ -144,6 +150,18 @@ def land_gauge(spark, sf) -> str:
     return path
 
 
+def land_gauge_days(spark, sf) -> str:
+    """Gauge answers with a folder for each class, station and day."""
+    code = F.when(F.col("value") >= 50, 20).otherwise(94)
+    rows = table(spark, sf, "events").select(
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("data_time"),
+        F.when(F.col("value") >= 20, F.col("value")).alias("data_value"), code.alias("class"), F.col("event_type").alias("station"),
+    )
+    return W.write_landed(
+        rows, scratch(spark, "gauge-days"), "xml", "data_time", ("class", "station"), rootTag="general", rowTag="row"
+    )
+
+
 def land_xml(spark, rows, name) -> str:
     path = scratch(spark, name)
     rows.write.format("xml").option("rootTag", "general").option("rowTag", "row").save(path)

@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks import pieces as P
-from checks.q_files import land_gauge, land_tide, land_tide_meta, land_xml
+from checks.q_files import (
+    land_gauge, land_gauge_days, land_tide, land_tide_days, land_tide_meta, land_xml,
+)
 from checks.q_runs import MATCHED, part_nodes
 from checks.registry import check
 from checks.standins import (
     model_nodes, model_series, observations, requested, runs, table, user_request,
 )
+from gaugeloom.operators import periods
 from gaugeloom.plans import harvests as H
 from gaugeloom.plans import windows as W
 from gaugeloom.plans.series import ordered_series
@@ -38,6 +41,14 @@ def tide_harvest(spark, sf):
     return tide_run(spark, sf).data
 
 
+@check("tide_harvest_by_day", P.with_(sliced(), P.series(), select="SELECT * FROM grid"))
+def tide_harvest_by_day(spark, sf):
+    """Landed in folders by day, of which the run opens those of its range."""
+    obs = tide.read_tide_obs(spark, land_tide_days(spark, sf))
+    meta = tide.read_tide_meta(spark, land_tide_meta(spark, sf))
+    return H.tide_harvest(obs, meta, user_request(spark, sf), START, END).data
+
+
 @check("tide_harvest_files", P.with_(sliced(), P.series(), select="""
 SELECT strftime(time, '%Y-%m-%dT%H:%M:%S') AS "TIME", station AS "STATION", value AS "WATER_LEVEL" FROM grid"""))
 def tide_harvest_files(spark, sf):
@@ -96,16 +107,16 @@ def gauge_sites(spark, sf):
     )
 
 
-def gauge_run(spark, sf, product):
+def gauge_run(spark, sf, product, land=land_gauge, **how):
     """All landed classes are read; the plan takes the product's own."""
     kinds = table(spark, sf, "events").select(
         F.lit(0).alias("position"), F.col("event_type").alias("station")
     ).distinct()
     return H.gauge_harvest(
-        gauge.read_gauge_obs(spark, land_gauge(spark, sf)),
+        gauge.read_gauge_obs(spark, land(spark, sf)),
         gauge.read_gauge_sensor_meta(spark, land_xml(spark, gauge_sensors(spark, sf), "sensors")),
         gauge.read_gauge_site_meta(spark, land_xml(spark, gauge_sites(spark, sf), "sites")),
-        kinds, START, END, product,
+        kinds, START, END, product, **how,
     )
 
 
@@ -157,6 +168,59 @@ def capped_requests(spark, sf):
     return H.capped_requests(observations(spark, sf, "user_id"), plan, cap=4)
 
 
+@check("gauge_harvest_by_day", P.with_(gauge_obs(">="), P.series(), select="SELECT * FROM grid"))
+def gauge_harvest_by_day(spark, sf):
+    return gauge_run(spark, sf, "river_water_level", land_gauge_days).data
+
+
+CAP = 5
+
+
+def gauge_round(spark, sf):
+    """A round of requests for all kinds of events and one more station, with a low cap."""
+    kinds = table(spark, sf, "events").select(F.lit(0).alias("position"), F.col("event_type").alias("station")).distinct()
+    asked = kinds.unionByName(spark.createDataFrame([(1, "nowhere")], kinds.schema))
+    plan = H.gauge_plan(asked, START, END)
+    return plan, gauge_run(spark, sf, "river_water_level", plan=plan, cap=CAP)
+
+
+LEDGER = (f"""days AS (SELECT unnest(generate_series(TIMESTAMP '2024-01-05', TIMESTAMP '2024-01-12', INTERVAL 1 DAY)) AS day),
+periods AS (SELECT greatest(day, TIMESTAMP '{START}') AS period_start,
+  least(day + INTERVAL 86399 SECOND, TIMESTAMP '{END}') AS period_end, day FROM days),
+kinds AS (SELECT DISTINCT event_type AS station FROM events UNION ALL SELECT 'nowhere'),
+ledger AS (SELECT k.station, period_start, period_end, count(e.ts) AS rows,
+  CASE WHEN count(e.ts) = 0 THEN 'missing' WHEN count(e.ts) >= {CAP} THEN 'full' ELSE 'done' END AS status
+  FROM kinds k CROSS JOIN periods p LEFT JOIN events e ON e.event_type = k.station AND e.value >= 50
+    AND e.ts BETWEEN TIMESTAMP '{START}' AND TIMESTAMP '{END}' AND date_trunc('day', e.ts) = p.day
+  GROUP BY ALL)""",)
+
+
+@check("request_ledger", P.with_(*LEDGER, select="SELECT * FROM ledger"))
+def request_ledger(spark, sf):
+    """Missing, full and done requests of a round."""
+    ledger = gauge_round(spark, sf)[1].ledger
+    return ledger.select("station", "period_start", "period_end", "rows", "status")
+
+
+@check("next_requests", P.with_(*LEDGER, """half AS (
+  SELECT *, make_timestamp(CAST(floor((epoch(period_start) + epoch(period_end)) / 2) AS BIGINT) * 1000000) AS middle
+  FROM ledger)""", select="""
+SELECT station, period_start, period_end FROM half WHERE status = 'missing'
+UNION ALL SELECT station, period_start, middle FROM half WHERE status = 'full'
+UNION ALL SELECT station, middle, period_end FROM half WHERE status = 'full'"""))
+def next_requests(spark, sf):
+    return periods.next_requests(gauge_round(spark, sf)[1].ledger).select("station", "period_start", "period_end")
+
+
+@check("gauge_harvest_planned", P.with_(gauge_obs(">="), P.series(), select="SELECT * FROM grid"))
+def gauge_harvest_planned(spark, sf):
+    """Read by the second round's plan beside the first one's: halves overlap in a second, and nothing is lost."""
+    plan, first = gauge_round(spark, sf)
+    again = H.gauge_requests(periods.next_requests(first.ledger), "Stage")
+    both = plan.where(F.col("station") != "nowhere").unionByName(again.select(*plan.columns))
+    return gauge_run(spark, sf, "river_water_level", plan=both).data
+
+
 # --- ocean model ------------------------------------------------------------------------------
 
 SHIFT = 10  # years by which the run starts precede the series, so that the batch is all forecast

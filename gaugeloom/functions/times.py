@@ -39,6 +39,11 @@ def time_slice(c: Column | str, start, end) -> Column:
     return _col(c).between(F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz"))
 
 
+def day_slice(c: Column | str, start, end) -> Column:
+    """The days that `time_slice` of the same range touches: a test on constants, so it prunes folders by day."""
+    return _col(c).between(*[F.lit(x).cast("timestamp_ntz").cast("date") for x in (start, end)])
+
+
 def ordered(start: Column | str, end: Column | str) -> tuple[Column, Column]:
     """The two ends of a range, swapped where they were given in reverse."""
     a, b = _col(start), _col(end)

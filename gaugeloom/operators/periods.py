@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gaugeloom.functions.runs import request_query
 from gaugeloom.functions.times import _col, clamp_end, cycle_times, ntz, ordered, truncate
-from gaugeloom.schema import SENSOR_CLASSES, STATION, TIME, TIME_ZONE
+from gaugeloom.schema import REQUEST_ROW_CAP, SENSOR_CLASSES, STATION, TIME, TIME_ZONE
 
 DAY_END = 86_399  # seconds into a day at 23:59:59
 
@@ -128,3 +128,39 @@ def range_bucket_join(
     days = periods.withColumn("_day", F.to_date("period_start"))
     rows = obs.withColumn("_day", F.to_date(time))
     return rows.join(days, [*on, "_day"], "inner").where(in_period(time)).drop("_day")
+
+
+def request_ledger(manifest: DataFrame, obs: DataFrame, cap: int = REQUEST_ROW_CAP) -> DataFrame:
+    """The manifest with what each request brought: `rows` landed in its period, and `status`.
+
+    `missing`: nothing landed. `full`: `cap` rows or more, so the provider may have cut them. `stuck`: full, and
+    the period is too short to be cut. `done`: all others. Rows are counted where they landed, one day's
+    periods against that day's rows.
+    """
+    periods = manifest.select(STATION, "period_start", "period_end").distinct()
+    found = range_bucket_join(obs, periods, on=[STATION]).groupBy(*periods.columns).agg(F.count("*").alias("rows"))
+    counted = manifest.join(found, periods.columns, "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
+    short = F.col("period_end") < F.col("period_start") + F.make_dt_interval(secs=F.lit(2))
+    status = (
+        F.when(F.col("rows") == 0, "missing").when((F.col("rows") >= cap) & short, "stuck")
+        .when(F.col("rows") >= cap, "full").otherwise("done")
+    )
+    return counted.withColumn("status", status).select(*manifest.columns, "rows", "status")
+
+
+def next_requests(ledger: DataFrame, missing: bool = True) -> DataFrame:
+    """What the next round has to ask for: missing periods again (unless told otherwise), and full ones as two
+    halves.
+
+    Halves meet in one second, which both hold: requests are told in whole seconds, so nothing between them is
+    lost, and repeated times go with the recipe's first step.
+    """
+    open_ = ledger.where(F.col("status").isin("full", *(["missing"] if missing else [])))
+    half = F.floor(F.unix_seconds(F.col("period_end").cast("timestamp")) / 2 + F.unix_seconds(F.col("period_start").cast("timestamp")) / 2)
+    middle = F.timestamp_seconds(half).cast("timestamp_ntz")
+    whole = F.array(F.struct(F.col("period_start").alias("a"), F.col("period_end").alias("b")))
+    halves = F.array(
+        F.struct(F.col("period_start").alias("a"), middle.alias("b")), F.struct(middle.alias("a"), F.col("period_end").alias("b"))
+    )
+    cut = open_.withColumn("_p", F.explode(F.when(F.col("status") == "full", halves).otherwise(whole)))
+    return cut.withColumns({"period_start": F.col("_p.a"), "period_end": F.col("_p.b")}).drop("_p", "rows", "status", "query")

@@ -10,13 +10,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeloom.functions.runs import grid_cast_name, to_nowcast_url
-from gaugeloom.functions.times import time_slice
+from gaugeloom.functions.times import day_slice, time_slice
 from gaugeloom.functions.values import convert_units, mask_below
 from gaugeloom.operators.matching import (
     distinct_pairs, match_stations, node_pairs, unmatched_stations,
 )
 from gaugeloom.operators.metadata import resolve_site, standard_meta
-from gaugeloom.operators.periods import gauge_requests, harvest_manifest, range_bucket_join
+from gaugeloom.operators.periods import (
+    gauge_requests, harvest_manifest, range_bucket_join, request_ledger,
+)
 from gaugeloom.operators.products import select_sensor_class
 from gaugeloom.operators.quality import excluded_stations, harvest_counts, row_cap_check
 from gaugeloom.operators.runs import (
@@ -24,7 +26,7 @@ from gaugeloom.operators.runs import (
 )
 from gaugeloom.plans.series import harvest_series
 from gaugeloom.schema import (
-    DEFAULT_MINUTES, FILL_VALUE, GAUGE_GROUPS, OWNERS, REQUEST_ROW_CAP, SEQ, STATION, TIME, VALUE, harvest_product,
+    DAY, DEFAULT_MINUTES, FILL_VALUE, GAUGE_GROUPS, OWNERS, REQUEST_ROW_CAP, SEQ, STATION, TIME, VALUE, harvest_product,
 )
 from gaugeloom.session import stage
 from gaugeloom.sinks.files import write_meta, write_series
@@ -41,6 +43,7 @@ class Harvest:
     meta: DataFrame
     minutes: int | None = DEFAULT_MINUTES
     stop: str | datetime | None = None
+    ledger: DataFrame | None = None
 
     @cached_property
     def staged(self) -> DataFrame:
@@ -88,6 +91,12 @@ def back_from(stop: str | datetime, ndays: int) -> tuple[datetime, datetime]:
     return min(end, other), max(end, other)
 
 
+def _of_range(obs: DataFrame, start, end) -> DataFrame:
+    """Rows of a range; landed in folders by day, only the range's folders are read."""
+    days = obs.where(day_slice(DAY, start, end)) if DAY in obs.columns else obs
+    return days.where(time_slice(TIME, start, end))
+
+
 def _of_stations(obs: DataFrame, requested: DataFrame) -> DataFrame:
     wanted = requested.select(STATION).distinct()
     return obs.join(wanted, [STATION], "left_semi")
@@ -108,7 +117,7 @@ def tide_harvest(
     leaves three of four bins at the sentinel; give `minutes=60` for it.
     """
     harvest_product("NOAA", product)
-    sliced = _of_stations(obs.where(time_slice(TIME, start, end)), requested)
+    sliced = _of_stations(_of_range(obs, start, end), requested)
     known = meta.join(
         requested.select(F.col(STATION).alias("STATION")).distinct(), "STATION", "left_semi"
     )
@@ -124,20 +133,28 @@ def gauge_harvest(
     end,
     product: str = "river_water_level",
     minutes: int | None = DEFAULT_MINUTES,
+    plan: DataFrame | None = None,
+    cap: int = REQUEST_ROW_CAP,
 ) -> Harvest:
     """River or coastal gauges: values in feet, metadata from the sensor and site tables.
 
-    Of the observations only those of the product's sensor class count.
+    Of the observations only those of the product's sensor class count. With a `plan` (`gauge_plan`, or what
+    `next_requests` left of it) only rows in its stations' periods are read, and the run's `ledger` says
+    what each request brought, so that the next round is `next_requests(run.ledger)`.
     """
     sensor = harvest_product("CONTRAILS", product)
     own = select_sensor_class(obs, product)
-    sliced = _of_stations(own.where(time_slice(TIME, start, end)), requested)
+    sliced, ledger = _of_stations(_of_range(own, start, end), requested), None
+    if plan is not None:
+        ledger = request_ledger(plan, sliced, cap)
+        periods = plan.select(STATION, "period_start", "period_end").distinct()
+        sliced = range_bucket_join(sliced, periods, on=[STATION]).drop("period_start", "period_end")
     metric = sliced.withColumn(VALUE, convert_units(VALUE))
     located = resolve_site(sensors, sites, sensor).join(
         requested.select(STATION).distinct(), STATION, "left_semi"
     )
     meta = standard_meta(located, OWNERS["CONTRAILS"])
-    return Harvest("CONTRAILS", product, requested, metric, meta, minutes, end)
+    return Harvest("CONTRAILS", product, requested, metric, meta, minutes, end, ledger)
 
 
 def gauge_plan(
@@ -218,7 +235,7 @@ def model_harvest(
         ),
         F.col("source"),
     )
-    return ModelHarvest("ASGS", "water_level", requested, rows, meta, 0, None, casts, unmatched, runs)
+    return ModelHarvest("ASGS", "water_level", requested, rows, meta, 0, casts=casts, unmatched=unmatched, runs=runs)
 
 
 def unmatched_nodes(pairs: DataFrame, series: DataFrame) -> DataFrame:

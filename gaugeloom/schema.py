@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 STATION, TIME, VALUE, SEQ = "station", "time", "value", "seq"
+#: Folder level of landed observations: the day of their time.
+DAY = "day"
 
 OBS_SCHEMA = T.StructType([
     T.StructField(STATION, T.StringType()),

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from gaugeloom.operators.align import order_output, output_form
 from gaugeloom.operators.metadata import filled_meta
 from gaugeloom.plans.series import ordered_series
-from gaugeloom.schema import DEFAULT_MINUTES, FILE_ROOTS
+from gaugeloom.schema import DAY, DEFAULT_MINUTES, FILE_ROOTS
 
 
 def artifact_path(root: str, source: str, *parts: str | None, meta: bool = False) -> str:
@@ -71,3 +72,17 @@ def write_partitioned(df: DataFrame, path: str, by: tuple[str, ...] = ("source",
     rest = [c for c in ("station", "time") if c in df.columns]
     df.repartitionByRange(*by, *rest).write.mode("overwrite").partitionBy(*by).parquet(path)
     return path
+
+
+def write_landed(
+    df: DataFrame, path: str, fmt: str = "json", time: str = "date_time", folders: tuple[str, ...] = (), **options
+) -> str:
+    """Add landed rows under `<folders>/day=<date of time>/`, the layout whose days readers can prune.
+
+    Rows without a time lie under the default folder of the writer, which no range reads.
+    """
+    by = [*folders, DAY]
+    dated = df.withColumn(DAY, F.to_date(F.col(time).cast("timestamp_ntz")))
+    rows = dated.repartitionByRange(*by, time)
+    rows.write.mode("append").format(fmt).options(**options).partitionBy(*by).save(path)
+    return path

@@ -10,7 +10,7 @@ from gaugeloom.functions.values import convert_units, nan_to_null, stable_order
 from gaugeloom.operators.metadata import resolve_site, standard_meta
 from gaugeloom.operators.products import select_sensor_class
 from gaugeloom.schema import (
-    GAUGE_OBS_SCHEMA, GAUGE_SENSOR_SCHEMA, GAUGE_SITE_SCHEMA, OWNERS, SEQ, STATION, TIME, VALUE, harvest_product,
+    DAY, GAUGE_OBS_SCHEMA, GAUGE_SENSOR_SCHEMA, GAUGE_SITE_SCHEMA, OWNERS, SEQ, STATION, TIME, VALUE, harvest_product,
 )
 
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
@@ -30,8 +30,8 @@ def _xml(spark: SparkSession, path: str, schema) -> DataFrame:
 def read_gauge_obs(spark: SparkSession, path: str, product: str | None = None) -> DataFrame:
     """`(station, class, time, value, seq)` in the provider's unit (feet).
 
-    Files lie under `class=<code>/station=<id>/`, so naming a product prunes the folders read. `seq` is
-    the row's place in the provider's answer where the landed rows carry it; else a repeated time keeps
+    Files lie under `class=<code>/station=<id>/`, so naming a product prunes the folders read; with a
+    further level `day=<date>` the day is given too, and a run's range prunes by it. `seq` is the row's place in the provider's answer where the landed rows carry it; else a repeated time keeps
     one of its values, always the same one.
     """
     folders = [T.StructField("class", T.IntegerType()), T.StructField(STATION, T.StringType())]
@@ -44,6 +44,7 @@ def read_gauge_obs(spark: SparkSession, path: str, product: str | None = None) -
         F.col("data_time").alias(TIME),
         nan_to_null("data_value").alias(VALUE),
         F.coalesce(SEQ, stable_order("data_value")).alias(SEQ),
+        *([DAY] if DAY in raw.columns else []),
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gaugeloom.functions.values import empty_to_null, stable_order
 from gaugeloom.operators.metadata import standard_meta
 from gaugeloom.operators.products import product_value
-from gaugeloom.schema import OWNERS, SEQ, STATION, TIDE_META_SCHEMA, TIDE_OBS_SCHEMA, TIME, VALUE
+from gaugeloom.schema import DAY, OWNERS, SEQ, STATION, TIDE_META_SCHEMA, TIDE_OBS_SCHEMA, TIME, VALUE
 
 
 def read_tide_obs(
@@ -16,7 +16,8 @@ def read_tide_obs(
 ) -> DataFrame:
     """One product as `(station, time, value, seq)`; only its column is read.
 
-    `seq` is the row's place in the provider's answer where the landed files carry it. Else a
+    Where files lie in folders `day=<date>` (`write_landed`), the day is given too, and a run's range then
+    keeps other days' files from being opened. `seq` is the row's place in the provider's answer where the landed files carry it. Else a
     repeated time keeps one of its values, always the same one.
     """
     reader = spark.read.schema(TIDE_OBS_SCHEMA)
@@ -24,7 +25,8 @@ def read_tide_obs(
         reader = reader.option("header", True)
     rows = reader.format(fmt).load(path)
     value = product_value("NOAA", product)
-    return rows.select(STATION, F.col("date_time").alias(TIME), value, SEQ).withColumn(
+    days = [DAY] if DAY in rows.columns else []
+    return rows.select(STATION, F.col("date_time").alias(TIME), value, SEQ, *days).withColumn(
         SEQ, F.coalesce(SEQ, stable_order(VALUE))
     )
 

@@ -12,8 +12,8 @@ from gaugeloom.operators import periods
 from gaugeloom.plans import harvests as H
 from gaugeloom.plans import windows as W
 from gaugeloom.plans.series import harvest_series, ordered_series
-from gaugeloom.session import scratch
-from gaugeloom.sinks.files import write_series
+from gaugeloom.session import scratch, stage
+from gaugeloom.sinks.files import write_landed, write_series
 from gaugeloom.sources import gauge, lists, model, tide
 from gaugeloom.sources.registry import SourceRegistry, standard_sources
 from gaugeloom.streaming.series import append_to, merge_stream, merged, stream_resample
@@ -198,6 +198,66 @@ def test_backfill_keeps_the_earlier_window(spark, tides):
     assert got == {("A", at(0)): 1.0, ("A", at(15)): 5.0, ("B", at(0)): -99999.0, ("B", at(15)): 7.0}
 
 
+def landed_days(spark):
+    rows = [(s, 60 * h, float(h)) for s in "AB" for h in range(0, 24 * 6)]
+    frame = obs_frame(spark, rows)
+    tides = frame.select("station", F.col("time").alias("date_time"), F.col("value").alias("water_level"), "seq")
+    gauges = frame.select(
+        F.date_format("time", "yyyy-MM-dd HH:mm:ss").alias("data_time"), F.col("value").alias("data_value"), "seq", "station", F.lit(20).alias("class"))
+    return (
+        write_landed(tides, scratch(spark, "tide")),
+        write_landed(gauges, scratch(spark, "gauge"), "xml", "data_time", ("class", "station"), rootTag="general", rowTag="row"),
+    )
+
+
+def test_only_the_days_of_the_range_are_opened(spark):
+    tide_path, gauge_path = landed_days(spark)
+    start, end = "2021-09-02 06:00:00", "2021-09-03 05:00:00"
+    none = spark.createDataFrame([], "site_id string, or_site_id string, sensor_class string, or_sensor_id string, location string")
+    sites = spark.createDataFrame([], "or_site_id string, latitude_dec string, longitude_dec string, location string")
+    runs = (
+        H.tide_harvest(tide.read_tide_obs(spark, tide_path), spark.createDataFrame([], "STATION string"), asked(spark, "A", "B"), start, end),
+        H.gauge_harvest(gauge.read_gauge_obs(spark, gauge_path), none, sites, asked(spark, "A", "B"), start, end),
+    )
+    for run in runs:
+        assert run.rows.count() == 48
+        files = {r[0] for r in run.rows.select(F.input_file_name()).distinct().collect() if r[0]}
+        plan = run.rows._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: []" not in plan and "day#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+        days = [scan.split("day=")[1][:10] for scan in files if "day=" in scan]
+        assert set(days) <= {"2021-09-02", "2021-09-03"}
+    # folders outside the range may hold what no reader understands
+    bad = Path(tide_path) / "day=2021-09-05"
+    for file in bad.glob("*.json"):
+        file.unlink()
+    (bad / "part-0.json").mkdir()
+    assert runs[0].rows.count() == 48
+
+
+def test_ledger_rounds_end(spark):
+    """A capped provider is asked again in halves until every period is below the cap; every row lands once in the series."""
+    rows = [("A", m / 60, float(m)) for m in range(0, 3000)] + [("B", 1, 1.0)] + [("D", 5, float(k)) for k in range(9)]
+    truth = spark.createDataFrame(
+        [(s, at(0) + timedelta(seconds=60 * m), v, k) for k, (s, m, v) in enumerate(rows)], "station string, time timestamp_ntz, value double, seq long")
+    plan = periods.harvest_manifest(asked(spark, "A", "B", "C", "D"), "2021-09-01 00:00:00", "2021-09-01 02:00:00")
+    cap, done = 8, {}
+    for _ in range(20):
+        ledger = periods.request_ledger(plan, truth, cap).collect()
+        for r in ledger:
+            if r["status"] in ("done", "stuck"):
+                done[r["station"], r["period_start"], r["period_end"]] = r["status"]
+        rows = spark.createDataFrame(ledger, periods.request_ledger(plan, truth, cap).schema)
+        assert periods.next_requests(rows).where("station = 'C'").count() == (len(done) > 0 and plan.where("station = 'C'").count())
+        plan = stage(periods.next_requests(rows, missing=False), "plan")
+        if plan.isEmpty():
+            break
+    assert plan.isEmpty()
+    assert {s for (s, _, _), v in done.items() if v == "stuck"} == {"D"}
+    spans = spark.createDataFrame([k for k in done], "station string, period_start timestamp_ntz, period_end timestamp_ntz")
+    got = periods.range_bucket_join(truth, spans, on=["station"]).select("station", "time", "seq").distinct()
+    assert got.count() == truth.where("time <= timestamp_ntz'2021-09-01 02:00:00'").count()
+
+
 def exchanges(df):
     return df._jdf.queryExecution().executedPlan().toString().count("Exchange")
 
