@@ -13,12 +13,15 @@ from checks.registry import check
 from checks.standins import (
     model_nodes, model_series, observations, requested, runs, table, user_request,
 )
+from gaugeloom.functions.runs import parse_run_url, run_start
+from gaugeloom.functions.times import time_slice
 from gaugeloom.operators import periods
 from gaugeloom.plans import harvests as H
 from gaugeloom.plans import windows as W
 from gaugeloom.plans.series import ordered_series
 from gaugeloom.session import scratch
-from gaugeloom.sources import gauge, tide
+from gaugeloom.sinks.files import write_model_runs
+from gaugeloom.sources import gauge, model, tide
 from gaugeloom.streaming.series import merge_batch, merged
 
 START, END = "2024-01-05 03:00:00", "2024-01-12 21:00:00"
@@ -250,6 +253,27 @@ def model_harvest(spark, sf):
     return H.model_harvest(*model_inputs(spark, sf), requested(spark, sf)).data
 
 
+@check("model_harvest_by_run", P.with_(*RUN_SET, model_rows(PAIRS, "r.start BETWEEN TIMESTAMP '1985-01-01' AND TIMESTAMP '1985-12-31'")
+       .replace("JOIN runs r", "JOIN parts r"), NATIVE, select="SELECT * FROM grid").replace("pairs AS (", P.PARTS + ",\npairs AS (", 1).replace(
+           "FROM matched)", "FROM matched WHERE url IN (SELECT url FROM parts WHERE start BETWEEN TIMESTAMP '1985-01-01' AND TIMESTAMP '1985-12-31'))", 1))
+def model_harvest_by_run(spark, sf):
+    """Runs landed in folders by day; a list of one year's runs opens its days only."""
+    batch, nodes, series = model_inputs(spark, sf)
+    landed = model.read_model_runs(spark, write_model_runs(series, scratch(spark, "model")))
+    start = run_start(parse_run_url("url")["start_token"])
+    year = batch.where(time_slice(start, "1985-01-01 00:00:00", "1985-12-31 00:00:00"))
+    return H.model_harvest(year, nodes, landed, requested(spark, sf)).data
+
+
+@check("model_meta_with_cast", P.with_(*RUN_SET, P.PARTS, P.CASTS, select="""
+SELECT p.station AS "STATION", (SELECT arg_min(grid || '_' || upper(ensemble), position) FROM parts) AS "NAME",
+  (SELECT min("cast") FROM casts) AS "CAST"
+FROM (SELECT DISTINCT station, node_idx FROM matched) p"""))
+def model_meta_with_cast(spark, sf):
+    """The cast that the series show, beside the ensemble that the URL names."""
+    return H.model_harvest(*model_inputs(spark, sf), requested(spark, sf)).meta_with_cast.select("STATION", "NAME", "CAST")
+
+
 @check("model_harvest_meta", P.with_(*RUN_SET, P.PARTS, select="""
 SELECT p.station AS "STATION", f.y AS "LAT", f.x AS "LON",
   (SELECT arg_min(grid || '_' || upper(ensemble), position) FROM parts) AS "NAME",
@@ -271,11 +295,11 @@ def model_harvest_mesh(spark, sf):
 
 @check("unmatched_nodes", P.with_(P.runs(shift_years=SHIFT), P.model_series(), select="""
 SELECT 'P' || p_partkey AS station FROM part WHERE p_partkey NOT IN (
-  SELECT node_idx FROM series JOIN (SELECT url FROM runs ORDER BY position LIMIT 40) USING (url))"""))
+  SELECT node_idx FROM series JOIN (SELECT url FROM runs WHERE o_orderstatus = 'O') USING (url))"""))
 def unmatched_nodes(spark, sf):
     """Nodes that only runs outside the list have count as missing."""
     batch, nodes, series = model_inputs(spark, sf)
-    listed = batch.orderBy("position").limit(40)
+    listed = batch.where(F.col("url").contains("/nowcast/"))
     return H.model_harvest(listed, nodes, series, station_nodes=part_nodes(spark, sf)).unmatched
 
 

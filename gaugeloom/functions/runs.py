@@ -46,6 +46,14 @@ def run_label(token: Column | str) -> Column:
     return F.coalesce(iso_time(run_start(token)), _col(token))
 
 
+def run_day(url: Column | str) -> Column:
+    """The landed folder of a run: the day it starts, `advisory-<number>` for a storm, else `other`."""
+    token = url_token(url, -6)
+    day = F.date_format(run_start(token), "yyyy-MM-dd")
+    storm = F.when(is_advisory(token), F.concat(F.lit("advisory-"), token))
+    return F.coalesce(day, storm, F.lit("other"))
+
+
 def to_nowcast_url(url: Column | str) -> Column:
     return F.regexp_replace(_col(url), r"/[^/]*/([^/]*)$", "/nowcast/$1")
 

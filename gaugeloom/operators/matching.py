@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeloom.functions.runs import station_token
-from gaugeloom.schema import STATION
+from gaugeloom.functions.runs import run_day, station_token
+from gaugeloom.schema import RUN_DAY, STATION
 
 
 def named_nodes(nodes: DataFrame) -> DataFrame:
@@ -56,6 +56,19 @@ def node_lookup(station_nodes: DataFrame, series: DataFrame) -> DataFrame:
     return joined.select("url", STATION, "node_idx", *rest)
 
 
+def of_listed_runs(series: DataFrame, runs: DataFrame) -> DataFrame:
+    """Rows of the listed runs.
+
+    A table landed by run day (`write_model_runs`) is first cut to the days of the list: a broadcast of one short
+    row a day, by which the scan leaves other days' folders unopened.
+    """
+    listed = runs.where(F.col("url") != "").select("url")
+    if RUN_DAY in series.columns:
+        days = listed.select(run_day("url").alias(RUN_DAY)).distinct()
+        series = series.join(F.broadcast(days), RUN_DAY, "left_semi")
+    return series.join(listed.distinct(), "url", "left_semi")
+
+
 def present_runs(runs: DataFrame, landed: DataFrame) -> DataFrame:
     """Runs of the manifest that have landed data; the others are dropped."""
     return runs.join(landed.select("url").distinct(), "url", "left_semi").select(*runs.columns)

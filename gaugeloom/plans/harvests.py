@@ -13,7 +13,7 @@ from gaugeloom.functions.runs import grid_cast_name, to_nowcast_url
 from gaugeloom.functions.times import day_slice, time_slice
 from gaugeloom.functions.values import convert_units, mask_below
 from gaugeloom.operators.matching import (
-    distinct_pairs, match_stations, node_pairs, unmatched_stations,
+    distinct_pairs, match_stations, node_pairs, of_listed_runs, unmatched_stations,
 )
 from gaugeloom.operators.metadata import resolve_site, standard_meta
 from gaugeloom.operators.periods import (
@@ -174,9 +174,13 @@ def capped_requests(obs: DataFrame, plan: DataFrame, cap: int = REQUEST_ROW_CAP)
 
 @dataclass
 class ModelHarvest(Harvest):
+    """A model run. The ensemble of the first URL names its metadata; `meta_with_cast` tells the computed cast
+    of the batch beside it."""
+
     casts: DataFrame | None = None
     unmatched: DataFrame | None = None
     runs: DataFrame | None = None
+    meta_with_cast: DataFrame | None = None
 
     def tag(self) -> str:
         """Ensemble, grid and start (or advisory) of the first run: one row comes to the driver."""
@@ -203,8 +207,8 @@ def model_harvest(
     Spark cuts the model output down to them in the scan's own tasks.
     """
     listed = runs.where(F.col("url") != "")
-    # Landed runs outside the list go before anything is summed or joined.
-    series = series.join(listed.select("url").distinct(), "url", "left_semi")
+    # Landed runs outside the list go before anything is summed or joined, by folder where they have any.
+    series = of_listed_runs(series, listed)
     if station_nodes is not None:
         pairs = stage(node_pairs(station_nodes), "pairs")
         requested = station_nodes.select(
@@ -218,11 +222,11 @@ def model_harvest(
 
     casts = run_cast(series, listed)
     whole = casts.withColumn("batch", F.lit("of this request"))
-    cast = assert_single_cast(whole).select("cast").scalar() if single_cast else F.lit("")
+    cast = assert_single_cast(whole).select("cast").scalar() if single_cast else F.lit(None).cast("string")
 
     wanted = series.join(pairs, ["node_idx"], "inner")
     placed = wanted.join(listed.select("url", F.col("position").alias("_run")), ["url"], "inner")
-    rows = placed.where(cast.isNotNull()).select(
+    rows = (placed.where(cast.isNotNull()) if single_cast else placed).select(
         "url", STATION, TIME, mask_below("zeta").alias(VALUE),
         (F.col("_run").cast("bigint") * F.lit(1 << 32) + F.col("node_idx")).alias(SEQ),
     )
@@ -235,7 +239,10 @@ def model_harvest(
         ),
         F.col("source"),
     )
-    return ModelHarvest("ASGS", "water_level", requested, rows, meta, 0, casts=casts, unmatched=unmatched, runs=runs)
+    return ModelHarvest(
+        "ASGS", "water_level", requested, rows, meta, 0, casts=casts, unmatched=unmatched, runs=runs,
+        meta_with_cast=meta.withColumn("CAST", cast),
+    )
 
 
 def unmatched_nodes(pairs: DataFrame, series: DataFrame) -> DataFrame:
@@ -245,27 +252,39 @@ def unmatched_nodes(pairs: DataFrame, series: DataFrame) -> DataFrame:
 
 @dataclass
 class Pair:
-    forecast: ModelHarvest
-    nowcast: ModelHarvest
+    """A forecast and its nowcast. Each run is planned when it is asked for; `status` needs neither."""
+
+    runs: DataFrame
+    nodes: DataFrame
+    series: DataFrame
+    requested: DataFrame
     status: DataFrame
 
+    @cached_property
+    def forecast(self) -> ModelHarvest:
+        return model_harvest(self.runs, self.nodes, self.series, self.requested)
+
+    @cached_property
+    def nowcast(self) -> ModelHarvest:
+        return model_harvest(twins_of(self.runs), self.nodes, self.series, self.requested)
+
+
+def twins_of(runs: DataFrame) -> DataFrame:
+    """The nowcast run of each run."""
+    return runs.withColumn("url", to_nowcast_url("url"))
+
 
 def forecast_nowcast_pair(
     runs: DataFrame, nodes: DataFrame, series: DataFrame, requested: DataFrame
 ) -> Pair:
     """The given runs, then their nowcast twins; a missing nowcast is reported, not fatal."""
-    twins = runs.withColumn("url", to_nowcast_url("url"))
-    landed = series.select("url").distinct().withColumn("_has", F.lit(1))
     asked = runs.select("url", F.lit("forecast").alias("kind")).unionByName(
-        twins.select("url", F.lit("nowcast").alias("kind"))
+        twins_of(runs).select("url", F.lit("nowcast").alias("kind"))
     )
+    landed = of_listed_runs(series, asked).select("url").distinct().withColumn("_has", F.lit(1))
     status = asked.join(landed, "url", "left").groupBy("kind").agg(
         F.count("*").alias("runs_asked"),
         F.count("_has").alias("runs_present"),
         (F.count("_has") == 0).alias("failed"),
     )
-    return Pair(
-        model_harvest(runs, nodes, series, requested),
-        model_harvest(twins, nodes, series, requested),
-        status,
-    )
+    return Pair(runs, nodes, series, requested, status)

@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 STATION, TIME, VALUE, SEQ = "station", "time", "value", "seq"
 #: Folder level of landed observations: the day of their time.
 DAY = "day"
+#: Folder level of landed model runs (`run_day`).
+RUN_DAY = "run_day"
 
 OBS_SCHEMA = T.StructType([
     T.StructField(STATION, T.StringType()),

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gaugeloom.functions.runs import run_day
 from gaugeloom.operators.align import order_output, output_form
 from gaugeloom.operators.metadata import filled_meta
 from gaugeloom.plans.series import ordered_series
-from gaugeloom.schema import DAY, DEFAULT_MINUTES, FILE_ROOTS
+from gaugeloom.schema import DAY, DEFAULT_MINUTES, FILE_ROOTS, RUN_DAY
 
 
 def artifact_path(root: str, source: str, *parts: str | None, meta: bool = False) -> str:
@@ -86,3 +87,14 @@ def write_landed(
     rows = dated.repartitionByRange(*by, time)
     rows.write.mode("append").format(fmt).options(**options).partitionBy(*by).save(path)
     return path
+
+
+def write_model_runs(series: DataFrame, path: str) -> str:
+    """Add model output under `run_day=.../`, the rows of a file by node and time.
+
+    Rows are dealt by ranges of day, run and node, so a large run has several writers.
+    """
+    rows = series.withColumn(RUN_DAY, run_day("url")).repartitionByRange(RUN_DAY, "url", "node_idx")
+    ordered = rows.sortWithinPartitions(RUN_DAY, "node_idx", "url", "time")
+    ordered.write.mode("append").partitionBy(RUN_DAY).parquet(path)
+    return path

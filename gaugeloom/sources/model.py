@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from gaugeloom.operators.matching import present_runs
-from gaugeloom.schema import MODEL_NODE_SCHEMA, MODEL_SERIES_SCHEMA
+from gaugeloom.operators.matching import of_listed_runs, present_runs
+from gaugeloom.schema import MODEL_NODE_SCHEMA, MODEL_SERIES_SCHEMA, RUN_DAY
 
 
 def read_model_series(
@@ -22,6 +23,23 @@ def read_model_series(
     return series.where(F.col("node_idx").isin([int(n) for n in nodes]))
 
 
+def read_model_runs(
+    spark: SparkSession, path: str, runs: DataFrame | None = None, nodes: DataFrame | None = None
+) -> DataFrame:
+    """`(url, node_idx, time, zeta, run_day)` of a table landed by `write_model_runs`.
+
+    With a list of runs only the folders of their days are opened; rows of a file lie by node, so a few nodes
+    are a few of its row groups.
+    """
+    folders = T.StructType([*MODEL_SERIES_SCHEMA.fields, T.StructField(RUN_DAY, T.StringType())])
+    series = spark.read.schema(folders).parquet(path)
+    if runs is not None:
+        series = of_listed_runs(series, runs)
+    if nodes is not None:
+        series = series.join(nodes.select("node_idx").distinct(), "node_idx", "left_semi")
+    return series
+
+
 def read_model_nodes(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(MODEL_NODE_SCHEMA).parquet(path)
 

@@ -13,7 +13,7 @@ from gaugeloom.plans import harvests as H
 from gaugeloom.plans import windows as W
 from gaugeloom.plans.series import harvest_series, ordered_series
 from gaugeloom.session import scratch, stage
-from gaugeloom.sinks.files import write_landed, write_series
+from gaugeloom.sinks.files import write_landed, write_model_runs, write_series
 from gaugeloom.sources import gauge, lists, model, tide
 from gaugeloom.sources.registry import SourceRegistry, standard_sources
 from gaugeloom.streaming.series import append_to, merge_stream, merged, stream_resample
@@ -234,6 +234,45 @@ def test_only_the_days_of_the_range_are_opened(spark):
     assert runs[0].rows.count() == 48
 
 
+def model_days(spark):
+    """Three runs a day on five days and one of a storm, with two nodes each."""
+    base = "https://x/dodsC/2021/nam/{}/hsofs/machine/inst/{}/fort.63.nc"
+    urls = [base.format(f"202109{d:02d}{h:02d}", "namforecast") for d in range(1, 6) for h in (0, 6, 12)] + [base.format("4", "nhcOfcl")]
+    rows = [(u, n, at(30 * 24 * 60) + timedelta(hours=6 * k + t), float(n + t)) for k, u in enumerate(urls) for n in (1, 2) for t in range(4)]
+    series = spark.createDataFrame(rows, SERIES)
+    runs = spark.createDataFrame([(k, u) for k, u in enumerate(urls)], "position int, url string")
+    nodes = spark.createDataFrame([(u, n, 1.0, 2.0, f" S{n} name ", "src") for u in urls for n in (1, 2)], NODES)
+    return runs, nodes, series
+
+
+def test_only_folders_of_listed_runs_are_opened(spark):
+    runs, nodes, series = model_days(spark)
+    path = write_model_runs(series, scratch(spark, "model"))
+    folders = {p.name for p in Path(path).glob("run_day=*")}
+    assert folders == {f"run_day=2021-09-{d:02d}" for d in range(1, 6)} | {"run_day=advisory-4"}
+    listed = runs.where(F.col("url").contains("/2021090306/") | F.col("url").contains("/4/"))
+    landed = model.read_model_runs(spark, path)
+    want = by_key(H.model_harvest(listed, nodes, series, asked(spark, "S1", "S2", "S3")).data)
+    for folder in folders - {"run_day=2021-09-03", "run_day=advisory-4"}:
+        for file in (Path(path) / folder).glob("*.parquet"):
+            file.write_bytes(b"no parquet at all")
+    run = H.model_harvest(listed, nodes, landed, asked(spark, "S1", "S2", "S3"))
+    assert want and by_key(run.data) == want
+    assert "dynamicpruning" in run.rows._jdf.queryExecution().executedPlan().toString().lower()
+    assert model.read_model_runs(spark, path, listed, nodes.where("node_idx = 2")).count() == 8
+    assert {r["CAST"] for r in run.meta_with_cast.collect()} == {"FORECAST"}
+
+
+def test_a_pair_plans_its_runs_when_asked(spark):
+    runs, nodes, series = model_days(spark)
+    spark.sparkContext.setJobGroup("pair", "building a pair")
+    pair = H.forecast_nowcast_pair(runs, nodes, series, asked(spark, "S1"))
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("pair")
+    spark.sparkContext.setJobGroup("rest", "")
+    assert len(jobs) == 0
+    assert {r["kind"]: r["runs_present"] for r in pair.status.collect()} == {"forecast": 16, "nowcast": 0}
+
+
 def test_ledger_rounds_end(spark):
     """A capped provider is asked again in halves until every period is below the cap; every row lands once in the series."""
     rows = [("A", m / 60, float(m)) for m in range(0, 3000)] + [("B", 1, 1.0)] + [("D", 5, float(k)) for k in range(9)]
