@@ -94,9 +94,21 @@ def test_query_recall(spark, small):
     assert recall(rows, vectors) >= 0.9
 
 
-def test_recall_of_a_full_shard_without_structure(spark):
+@pytest.mark.parametrize("shard, n", [(16_384, 6000), (700, 4000)])
+def test_recall_without_structure(spark, monkeypatch, shard, n):
+    """One large shard, and several full ones with queries in several blocks."""
+    monkeypatch.setattr(forest, "SHARD_ROWS", shard)
+    monkeypatch.setattr(forest, "GROUP_QUERIES", 40)
     rng = np.random.default_rng(3)
-    vectors = [(k, rng.standard_normal(32).tolist()) for k in range(6000)]
+    vectors = [(k, rng.standard_normal(32).tolist()) for k in range(n)]
     frame = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").withColumn("asks", F.col("vec_id") % 50 == 0)
-    rows = forest.nearest(frame, "asks", candidates=forest.CANDIDATES * 6000 // forest.SHARD_ROWS).collect()
-    assert recall(rows, vectors) >= 0.9
+    rows = forest.nearest(frame, "asks").collect()
+    assert len(rows) == n // 50 * 5 and recall(rows, vectors) >= 0.9
+
+
+@pytest.mark.parametrize("n", [2, 5, 6, 30, 90])
+def test_small_tables_give_all_that_is_asked(spark, n):
+    rng = np.random.default_rng(n)
+    frame = spark.createDataFrame([(k, rng.standard_normal(8).tolist()) for k in range(n)], "vec_id long, embedding array<double>")
+    rows = forest.nearest(frame.withColumn("asks", F.col("vec_id") == 0), "asks").collect()
+    assert len(rows) == min(5, n - 1)
