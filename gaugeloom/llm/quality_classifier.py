@@ -192,8 +192,8 @@ def frequent_words(docs: DataFrame, text: str, most: int = WORDS) -> dict[bytes,
         if left < 0:
             break
         limit = r["step"]
-    known = words.filter(F.col("step") >= limit).select("word").collect()
-    return {word: k for k, word in enumerate(sorted(bytes(r["word"]) for r in known))}
+    known = words.filter(F.col("step") >= limit).select("word").toArrow()["word"].to_pylist()
+    return {word: k for k, word in enumerate(sorted(known))}
 
 
 def context_table(docs: DataFrame, text: str, known: dict[bytes, int]) -> np.ndarray:
@@ -210,9 +210,11 @@ def context_table(docs: DataFrame, text: str, known: dict[bytes, int]) -> np.nda
         yield pa.RecordBatch.from_arrays(columns, ["key", *names])
 
     found = docs.select(utf8(text).alias("text")).mapInArrow(each, "key long, " + ", ".join(f"{n} long" for n in names))
-    sums = found.groupBy("key").agg(*[F.sum(n).alias(n) for n in names]).toPandas()
-    table = np.zeros((WORDS, DIMS))
-    table[sums["key"].to_numpy(np.int64)] = sums[names].to_numpy()
+    sums = found.groupBy("key").agg(*[F.sum(n).alias(n) for n in names]).toArrow()
+    table, key = np.zeros((WORDS, DIMS)), sums["key"].to_numpy()
+    for k, name in enumerate(names):
+        table[key, k] = sums[name].to_numpy()
+    shared.destroy()
     return table
 
 
@@ -221,7 +223,8 @@ def word_vectors(table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     mean = table.sum(axis=0)
     mean /= max(np.linalg.norm(mean), 1e-9)
     rest = table - np.outer(table @ mean, mean)
-    return (rest / (np.linalg.norm(rest, axis=1, keepdims=True) + 20)).astype(np.float32), mean
+    rest /= np.linalg.norm(rest, axis=1, keepdims=True) + 20
+    return rest.astype(np.float32), mean
 
 
 def pooled(texts: list[bytes], vectors: np.ndarray, mean: np.ndarray, codes: _Codes) -> np.ndarray:
@@ -250,7 +253,8 @@ class Network:
     def __init__(self, inputs: np.ndarray, labels: np.ndarray, check: np.ndarray, seed: int = 29) -> None:
         """`check` marks the rows that only the temperature sees."""
         rng = np.random.default_rng(seed)
-        self.mean, self.spread = inputs.mean(axis=0), inputs.std(axis=0) + 1e-6
+        self.mean = inputs.mean(axis=0, dtype=np.float64)
+        self.spread = inputs.std(axis=0, dtype=np.float64) + 1e-6
         width = inputs.shape[1]
         self.parts = [
             rng.standard_normal((width, HIDDEN)) / np.sqrt(width), np.zeros(HIDDEN),
@@ -266,7 +270,9 @@ class Network:
             self.temperature = float(tried[int(np.argmin(loss))])
 
     def _scaled(self, inputs: np.ndarray) -> np.ndarray:
-        return np.clip((inputs - self.mean) / self.spread, -8, 8)
+        scaled = inputs - self.mean.astype(inputs.dtype)
+        scaled /= self.spread.astype(inputs.dtype)
+        return np.clip(scaled, -8, 8, out=scaled)
 
     def _logit(self, x: np.ndarray) -> np.ndarray:
         w, b, v, c = self.parts
@@ -311,11 +317,12 @@ class QualityModel:
         self.shared = docs.sparkSession.sparkContext.broadcast((known, vectors, mean))
         own = docs.select(F.col(doc_id).alias("id"), utf8(text).alias("text"))
         own = own.join(F.broadcast(chosen), "id").groupBy("id", "y", "h").agg(F.min("text").alias("text"))
-        rows = own.select("id", "y", "h", self.vector("text").alias("x")).toPandas().sort_values(["h", "id"])
+        rows = own.select("id", "y", "h", self.vector("text").alias("x")).toArrow().sort_by([("h", "ascending"), ("id", "ascending")])
         self.network = None
         if len(rows):
             check = np.arange(len(rows)) % 5 == 4
-            self.network = Network(np.stack(rows["x"].to_list()).astype(np.float64), rows["y"].to_numpy(), check)
+            inputs = rows["x"].combine_chunks().flatten().to_numpy().reshape(len(rows), 2 * DIMS)
+            self.network = Network(inputs, rows["y"].to_numpy(), check)
 
     def vector(self, text: str) -> Column:
         """The pooled vector of a text column."""
