@@ -17,6 +17,7 @@ from gaugeloom.session import scratch
 from gaugeloom.sinks import files as W
 from gaugeloom.sources import gauge, lists, model, tide
 from gaugeloom.sources.registry import SourceRegistry
+from gaugeloom.streaming import table as live_table
 from gaugeloom.streaming.series import append_to, merge_stream, merged, stream_resample
 
 LIST_SIZE = 100_000
@@ -331,3 +332,44 @@ def stream_merge_restart(spark, sf):
         rows.write.parquet(landing)
         merge_stream(spark.readStream.schema(rows.schema).parquet(landing), out, state).awaitTermination()
     return merged(spark, out)
+
+
+FIRST_SEEN = """
+SELECT station, time, value FROM a UNION ALL
+SELECT station, time, value FROM b WHERE (station, time) NOT IN (SELECT (station, time) FROM a)"""
+
+
+@check("merge_with_compaction", P.with_(P.obs("old", unit="hour"), P.obs("new", unit="minute"),
+    P.dedupe("old", "a"), P.dedupe("new", "b"), select=FIRST_SEEN))
+def merge_with_compaction(spark, sf):
+    """Three merges, every day rewritten as one folder between them; the last merge brings nothing new."""
+    out = scratch(spark, "merged")
+    for n, unit in enumerate(("hour", "minute", "hour")):
+        live_table.merge_into(observations(spark, sf, unit=unit), out, "run", n)
+        live_table.compact(spark, out, many=2)
+    return live_table.read_merged(spark, out)
+
+
+@check("merge_after_failure", P.with_(P.obs("old", unit="hour"), P.obs("new", unit="minute"),
+    P.dedupe("old", "a"), P.dedupe("new", "b"), select=FIRST_SEEN))
+def merge_after_failure(spark, sf):
+    """A writer that failed before its folder was named leaves nothing; the batch is repeated, then repeated again."""
+    out = scratch(spark, "merged")
+    live_table.merge_into(observations(spark, sf, unit="hour"), out, "run", 0)
+    late = observations(spark, sf, unit="minute")
+    live_table._write(late.limit(50), out)
+    for _ in range(2):
+        live_table.merge_into(late, out, "run", 1)
+    return live_table.read_merged(spark, out)
+
+
+@check("stream_merge_compacted", P.with_(P.obs("old", unit="hour"), P.obs("new", unit="minute"),
+    P.dedupe("old", "a"), P.dedupe("new", "b"), select=FIRST_SEEN))
+def stream_merge_compacted(spark, sf):
+    landing, out, state = (scratch(spark, n) for n in ("landing", "merged", "merged-state"))
+    for unit in ("hour", "minute"):
+        rows = observations(spark, sf, unit=unit)
+        rows.write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(rows.schema).parquet(landing)
+        live_table.merge_stream_into(stream, out, state, many=2).awaitTermination()
+    return live_table.read_merged(spark, out)
