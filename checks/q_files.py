@@ -20,23 +20,17 @@ from gaugeloom.sources.registry import SourceRegistry
 from gaugeloom.streaming import table as live_table
 from gaugeloom.streaming.series import append_to, merge_stream, merged, stream_resample
 
-LIST_SIZE = 100_000
-
 
 # --- lists ------------------------------------------------------------------------------------
 
-@check("read_station_list", f"""
-SELECT CAST(c_custkey % {LIST_SIZE} AS INTEGER) AS position, 'S' || c_custkey AS station FROM customer""")
+@check("read_station_list", """
+SELECT CAST(row_number() OVER (ORDER BY c_custkey) - 1 AS INTEGER) AS position, 'S' || c_custkey AS station FROM customer""")
 def read_station_list(spark, sf):
-    """Customers as text lists of at most 100,000 lines, one file each, blanks behind the ids."""
+    """Customers as a folder of lists in order, each file with its comment line, blanks behind the ids."""
     path = scratch(spark, "lists")
-    rows = table(spark, sf, "customer").select(
-        F.floor(F.col("c_custkey") / LIST_SIZE).alias("list_no"),
-        F.struct("c_custkey", F.concat(F.lit("S"), F.col("c_custkey"), F.lit("  ")).alias("line")).alias("r"),
-    )
-    bodies = rows.groupBy("list_no").agg(F.array_sort(F.collect_list("r"))["line"].alias("lines"))
-    text = F.concat(F.lit("# stations of one list\n"), F.array_join("lines", "\n"), F.lit("\n"))
-    bodies.select(text.alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    line = F.concat(F.lit("S"), F.col("c_custkey"), F.lit("  ")).alias("# stations of one list")
+    rows = table(spark, sf, "customer").repartitionByRange(7, "c_custkey").sortWithinPartitions("c_custkey")
+    rows.select(line).write.option("ignoreTrailingWhiteSpace", False).csv(path, header=True)
     return lists.read_station_list(spark, path)
 
 

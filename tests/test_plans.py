@@ -358,6 +358,23 @@ def test_lists_and_node_table(spark):
     assert row[0]["navd_to_msl [ft]"] is None and row[0]["bathy"] == 459.26
 
 
+def test_lists_in_splits_and_files(spark):
+    """Splits of a few bytes: positions follow the lines of all files, blank lines keep their number."""
+    path = scratch(spark, "lists")
+    bodies = {"b.txt": ["# two", "B1", "", "B2  "], "a.txt": ["# one"] + [f"A{k}" for k in range(400)], "c.txt": ["# none"], "d.txt": []}
+    for name, body in bodies.items():
+        land_text(path, name, "".join(line + "\n" for line in body))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 256)
+    spark.conf.set("spark.sql.files.openCostInBytes", 64)
+    rows = lists.read_station_list(spark, path)
+    got = sorted(tuple(r) for r in rows.collect())
+    tasks = spark.read.text(path).rdd.getNumPartitions()
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert tasks > 4
+    assert got == [(k, f"A{k}") for k in range(400)] + [(400, "B1"), (402, "B2")]
+
+
 def test_grid_lists(spark):
     registry = spark.createDataFrame(
         [("hsofs", "tide", 0, "A"), ("ec95d", "tide", 0, "B"), ("", "gauge", 0, "G")], schema="grid string, kind string, position int, id string")
