@@ -16,7 +16,7 @@ from gaugeloom.schema import META_KEYS, STATION_NODE_TYPES, TIDE_OBS_SCHEMA
 from gaugeloom.session import scratch
 from gaugeloom.sinks import files as W
 from gaugeloom.sources import gauge, lists, model, tide
-from gaugeloom.sources.registry import SourceRegistry
+from gaugeloom.sources.registry import SourceRegistry, standard_sources
 from gaugeloom.streaming import table as live_table
 from gaugeloom.streaming.series import append_to, merge_stream, merged, stream_resample
 
@@ -128,6 +128,42 @@ def source_registry(spark, sf):
     return registry.series(spark, "TIDE", land_tide(spark, sf), minutes=60)
 
 
+@check("standard_source_tide", P.with_(
+    P.obs(station="user_id", unit="minute"), P.series(60), select="SELECT * FROM grid"))
+def standard_source_tide(spark, sf):
+    return standard_sources().series(spark, "noaa", land_tide(spark, sf), minutes=60)
+
+
+NAMED = """named AS (
+  SELECT url, split_part(trim(station_name), ' ', 1) AS station, min(node_idx) AS node_idx FROM nodes GROUP BY 1, 2)"""
+
+
+def land_model(spark, sf) -> str:
+    path = scratch(spark, "model")
+    model_series(spark, sf).write.parquet(f"{path}/series")
+    model_nodes(spark, sf).write.parquet(f"{path}/nodes")
+    return path
+
+
+@check("standard_source_model", P.with_(P.runs(), P.model_series(), P.model_nodes(), P.PARTS, NAMED, """obs AS (
+  SELECT station, time, CASE WHEN zeta >= -1000 THEN zeta END AS value,
+    (coalesce(p.start, TIMESTAMP '1970-01-01'), s.url, s.node_idx) AS seq
+  FROM series s JOIN named n ON n.url = s.url AND n.node_idx = s.node_idx JOIN parts p ON p.url = s.url)""",
+    P.series(1440), select="SELECT * FROM grid"))
+def standard_source_model(spark, sf):
+    """All landed runs as one source, by the day."""
+    return standard_sources().series(spark, "asgs", land_model(spark, sf), minutes=1440)
+
+
+@check("standard_source_model_meta", P.with_(P.runs(), P.model_nodes(), P.PARTS, NAMED, """first AS (
+  SELECT n.station, min(n.url) AS url FROM named n GROUP BY 1)""", select="""
+SELECT f.station AS "STATION", d.y AS "LAT", d.x AS "LON", p.grid || '_' || upper(p.ensemble) AS "NAME",
+  'meters' AS "UNITS", 'gmt' AS "TZ", d.source AS "OWNER", CAST(NULL AS VARCHAR) AS "STATE", CAST(NULL AS VARCHAR) AS "COUNTY"
+FROM first f JOIN named n USING (station, url) JOIN nodes d ON d.url = f.url AND d.node_idx = n.node_idx JOIN parts p ON p.url = f.url"""))
+def standard_source_model_meta(spark, sf):
+    return standard_sources().metadata(spark, "asgs", land_model(spark, sf))
+
+
 # --- river and coastal gauges -----------------------------------------------------------------
 
 def land_gauge(spark, sf) -> str:

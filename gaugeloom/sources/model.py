@@ -6,8 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeloom.operators.matching import of_listed_runs, present_runs
-from gaugeloom.schema import MODEL_NODE_SCHEMA, MODEL_SERIES_SCHEMA, RUN_DAY
+from gaugeloom.functions.runs import grid_cast_name, parse_run_url, run_start
+from gaugeloom.functions.values import mask_below
+from gaugeloom.operators.matching import of_listed_runs, present_runs, run_stations
+from gaugeloom.operators.metadata import standard_meta
+from gaugeloom.schema import (
+    MODEL_NODE_SCHEMA, MODEL_SERIES_SCHEMA, RUN_DAY, SEQ, STATION, TIME, VALUE, harvest_product,
+)
 
 
 def read_model_series(
@@ -52,3 +57,30 @@ def model_array_to_rows(arrays: DataFrame) -> DataFrame:
 def scan_if_present(runs: DataFrame, landed: DataFrame) -> DataFrame:
     """Runs that can be read, judged from the landed table without opening any file."""
     return present_runs(runs, landed)
+
+
+def read_product(spark: SparkSession, path: str, product: str = "water_level") -> DataFrame:
+    """`(station, time, value, seq)` of all runs landed under `series` and `nodes` of `path`, in metres.
+
+    A run's stations are the first nodes of their names. Of runs that share a station's time the one that starts
+    first counts, advisories before all; `seq` says so.
+    """
+    harvest_product("ASGS", product)
+    named = run_stations(read_model_nodes(spark, f"{path}/nodes"))
+    found = read_model_series(spark, f"{path}/series").join(named, ["url", "node_idx"])
+    start = F.coalesce(run_start(parse_run_url("url")["start_token"]), F.lit("1970-01-01").cast("timestamp_ntz"))
+    return found.select(
+        STATION, TIME, mask_below("zeta").alias(VALUE), F.struct(start.alias("start"), "url", "node_idx").alias(SEQ)
+    )
+
+
+def read_meta(spark: SparkSession, path: str) -> DataFrame:
+    """Standard metadata of all named nodes: place and owner from the first run by URL that has the station."""
+    nodes = read_model_nodes(spark, f"{path}/nodes")
+    placed = nodes.join(run_stations(nodes), ["url", "node_idx"])
+    name = grid_cast_name(parse_run_url("url")["grid"], parse_run_url("url")["ensemble"])
+    first = placed.groupBy(STATION).agg(F.min_by(F.struct("x", "y", "source", name.alias("name")), "url").alias("_n"))
+    named = first.select(
+        STATION, F.col("_n.y").alias("LAT"), F.col("_n.x").alias("LON"), F.col("_n.name").alias("NAME"), F.col("_n.source")
+    )
+    return standard_meta(named, F.col("source"))

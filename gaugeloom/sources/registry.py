@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gaugeloom.plans.series import harvest_series
 from gaugeloom.schema import DEFAULT_MINUTES
-from gaugeloom.sources import gauge, tide
+from gaugeloom.sources import gauge, model, tide
 
 Reader = Callable[..., DataFrame]
 
@@ -45,8 +45,9 @@ class SourceRegistry:
 
 
 def standard_sources() -> SourceRegistry:
-    """The tide and gauge sources; more can be registered."""
+    """The tide, gauge and model sources; more can be registered."""
     found = SourceRegistry()
     found.register("NOAA", tide.read_tide_obs, tide.read_tide_meta)
     found.register("CONTRAILS", gauge.read_product, gauge.read_meta)
+    found.register("ASGS", model.read_product, model.read_meta)
     return found
