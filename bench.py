@@ -31,6 +31,8 @@ HEADLINE = [
     "attach_meta",
     "excluded_stations",
     "model_harvest",
+    "backfill",
+    "tide_harvest_files",
 ]
 SERIES = ("harvest_series", "resample_first")
 RUNS = 2
