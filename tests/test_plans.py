@@ -82,7 +82,7 @@ def test_registry_of_sources(spark, tides):
 
 def test_standard_sources(spark, tides):
     found = standard_sources()
-    assert found.names() == ["NOAA", "CONTRAILS"]
+    assert found.names() == ["NOAA", "CONTRAILS", "ASGS"]
     assert by_key(found.series(spark, "noaa", tides[0], product="water_level", minutes=0))["A", at(6)] == 2.0
     root = scratch(spark, "gauge")
     land_text(f"{root}/obs/class=20/station=S", "a.xml", gauge_xml([("2022-01-15 22:45:00", "10")]))
