@@ -238,7 +238,10 @@ def prefix_stripes(rows: DataFrame, heavy: set[tuple[str, bytes]], buckets: int,
             yield found
 
     kind = "bucket int, far boolean, lang string, lengths binary, entries binary, counts binary"
-    dealt = rows.mapInArrow(build, kind).repartition("bucket").sortWithinPartitions("bucket", "far", "lang")
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # buckets go round the tasks by number: hashed, some tasks would get many
+    dealt = rows.mapInArrow(build, kind).repartitionById(tasks, F.col("bucket") % tasks)
+    dealt = dealt.sortWithinPartitions("bucket", "far", "lang")
     kind = "far boolean, lang string, prefix string, total long, next array<struct<next: string, c: long>>"
     return dealt.mapInArrow(merge, kind)
 
