@@ -7,7 +7,7 @@ import pytest
 from llm_cases import PLAIN, documents, empty, prose
 from pyspark.sql import functions as F
 
-from gaugeloom.llm.kd_shards import kd_shards, write_shards
+from gaugeloom.llm.kd_shards import TIE_BITS, grow, kd_shards, write_shards
 from gaugeloom.llm.queries import op6
 
 
@@ -59,3 +59,47 @@ def test_query(spark, small):
     assert {(r["law"], r["grown_shard"]) for r in rows} == {("bytes", None)}
     sizes = check(rows, 16, 2.5 * max(r["size"] for r in rows))
     assert len(sizes) == 16 and len(rows) == spark.read.parquet(f"{small}/documents.parquet").count()
+
+
+def plain_tree(keys, size, shards):
+    """Rows of each shard in the tree's order, by sorting every node along its widest dimension."""
+    whole = [max(1, int(np.ptp(keys[:, i]))) for i in range(keys.shape[1])]
+
+    def split(rows, n):
+        if n == 1 or not len(rows):
+            return [rows] + [rows[:0]] * (n - 1)
+        own = keys[rows]
+        wide = [int(np.ptp(own[:, i])) / whole[i] for i in range(keys.shape[1])]
+        dim = wide.index(max(wide))
+        order = rows[np.argsort(own[:, dim], kind="stable")]
+        upto = np.cumsum(size[order])
+        target = int(upto[-1]) * (n // 2) / n
+        k = min(int(np.searchsorted(upto, target)), len(order) - 1)
+        cut = k if abs(upto[k] - size[order[k]] - target) < abs(upto[k] - target) else k + 1
+        return split(order[:cut], n // 2) + split(order[cut:], n - n // 2)
+
+    return split(np.arange(len(keys)), shards)
+
+
+@pytest.mark.parametrize("shards, seed", [(2, 1), (7, 2), (16, 3)])
+def test_tree_against_plain_recursion(spark, shards, seed):
+    """Widest dimensions and weighted medians, with hot values, a constant dimension and ties."""
+    rng = np.random.default_rng(seed)
+    n = 900
+    values = np.stack([rng.choice([5, 900, 70_000], n, p=[0.6, 0.3, 0.1]), rng.integers(0, 1 << 32, n), np.full(n, 3)], 1)
+    tie, size = rng.permutation(1 << 16)[:n], rng.integers(1, 60, n)
+    size[:3] = 2_000
+    rows = [(*map(int, v), int(t), int(w)) for v, t, w in zip(values, tie, size)]
+    frame = spark.createDataFrame(rows, "a long, b long, c long, tie long, size long").repartition(5)
+    tree = grow(frame, ["a", "b", "c"], shards)
+    keys = values << TIE_BITS | tie[:, None]
+    leaf, leaves, todo = tree.place(keys), [], [0]
+    while todo:
+        node = todo.pop()
+        if tree.dim[node] < 0:
+            leaves.append(node)
+        else:
+            todo += [tree.right[node], tree.left[node]]
+    assert len(leaves) == shards
+    for node, want in zip(leaves, plain_tree(keys, size, shards)):
+        assert set(np.flatnonzero(leaf == node)) == set(want)
