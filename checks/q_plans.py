@@ -253,9 +253,12 @@ def model_harvest(spark, sf):
     return H.model_harvest(*model_inputs(spark, sf), requested(spark, sf)).data
 
 
-@check("model_harvest_by_run", P.with_(*RUN_SET, model_rows(PAIRS, "r.start BETWEEN TIMESTAMP '1985-01-01' AND TIMESTAMP '1985-12-31'")
-       .replace("JOIN runs r", "JOIN parts r"), NATIVE, select="SELECT * FROM grid").replace("pairs AS (", P.PARTS + ",\npairs AS (", 1).replace(
-           "FROM matched)", "FROM matched WHERE url IN (SELECT url FROM parts WHERE start BETWEEN TIMESTAMP '1985-01-01' AND TIMESTAMP '1985-12-31'))", 1))
+@check("model_harvest_by_run", P.with_(*RUN_SET, P.PARTS, """listed AS (
+  SELECT * FROM parts WHERE start BETWEEN TIMESTAMP '1985-01-01' AND TIMESTAMP '1985-12-31'),
+pairs AS (SELECT DISTINCT station, node_idx FROM matched WHERE url IN (SELECT url FROM listed)),
+obs AS (
+  SELECT p.station, s.time, CASE WHEN s.zeta >= -1000 THEN s.zeta END AS value, (r.position, s.node_idx) AS seq
+  FROM series s JOIN listed r USING (url) JOIN pairs p ON p.node_idx = s.node_idx)""", NATIVE, select="SELECT * FROM grid"))
 def model_harvest_by_run(spark, sf):
     """Runs landed in folders by day; a list of one year's runs opens its days only."""
     batch, nodes, series = model_inputs(spark, sf)

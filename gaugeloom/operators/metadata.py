@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeloom.functions.values import empty_to_null, fill_missing_text
-from gaugeloom.schema import META_KEYS, SENSOR_CLASSES, STATION, TIME, TIME_ZONE, UNITS
+from gaugeloom.schema import META_KEYS, SENSOR_CLASSES, STATION, TIME_ZONE, UNITS
 
 
 def standard_meta(df: DataFrame, owner: str | Column) -> DataFrame:

@@ -26,7 +26,7 @@ from gaugeloom.operators.runs import (
 )
 from gaugeloom.plans.series import harvest_series
 from gaugeloom.schema import (
-    DAY, DEFAULT_MINUTES, FILL_VALUE, GAUGE_GROUPS, OWNERS, REQUEST_ROW_CAP, SEQ, STATION, TIME, VALUE, harvest_product,
+    DAY, DEFAULT_MINUTES, GAUGE_GROUPS, OWNERS, REQUEST_ROW_CAP, SEQ, STATION, TIME, VALUE, harvest_product,
 )
 from gaugeloom.session import stage
 from gaugeloom.sinks.files import write_meta, write_series

@@ -198,8 +198,3 @@ def product_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(
         rows, "source string, product string, provider_column string, class_code int"
     )
-
-
-def sensor_class_table(spark: SparkSession) -> DataFrame:
-    """The sensor-class registry as a dimension table (23 rows)."""
-    return spark.createDataFrame(list(SENSOR_CLASSES.items()), "sensor string, class_code int")
