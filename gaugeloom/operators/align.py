@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeloom.functions.times import epoch_us, iso_time
@@ -81,20 +81,41 @@ def align_in_groups(
     return cells.select(TIME, F.inline(F.concat(here, absent))).select(STATION, TIME, VALUE)
 
 
+def time_cells(times: DataFrame) -> DataFrame:
+    """`(time, _cell)`: distinct times counted along the axis, `CELL_BINS` to a cell, however dense they lie.
+
+    Times are numbered within their hour of the clock; the window over hours sees one row for each.
+    """
+    placed = times.withColumn("_hour", F.floor(epoch_us(TIME) / F.lit(3_600_000_000)))
+    ahead = Window.orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
+    hours = placed.groupBy("_hour").agg(F.count("*").alias("_n")).select(
+        "_hour", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_before")
+    )
+    inside = Window.partitionBy("_hour").orderBy(TIME)
+    numbered = placed.withColumn("_rn", F.row_number().over(inside)).join(hours, "_hour")
+    place = F.col("_before") + F.col("_rn") - F.lit(1)
+    return numbered.select(TIME, F.floor(place / F.lit(CELL_BINS)).alias("_cell"))
+
+
 def unfold_in_order(
     found: DataFrame, axis: DataFrame, stations: DataFrame, requested: DataFrame | None = None,
     minutes: int = DEFAULT_MINUTES, fill: float = FILL_VALUE,
 ) -> DataFrame:
     """`align_stations`, filled and in the order of `order_output`, without a sort of the dense grid.
 
-    A cell is a station's stretch of `CELL_BINS` bins of the clock: the times of the axis in it, and the values
-    found there. Cells are sorted by range over (position, station, stretch), and the sorted task unfolds
-    them, so what is shuffled for the order is one row for a hundred or so of the output. `found` must have
-    unique (station, time).
+    A cell is a station's stretch of `CELL_BINS` bins of the clock, in native time (`minutes=0`) of as many times
+    of the axis: the times in it, and the values found there. Cells are sorted by range over (position, station,
+    stretch), and the sorted task unfolds them, so what is shuffled for the order is one row for a hundred or so
+    of the output. `found` must have unique (station, time).
     """
-    width = F.lit(minutes * 60_000_000 * CELL_BINS)
-    cell = F.floor(epoch_us(TIME) / width).alias("_cell")
-    times = axis.select(TIME).distinct().groupBy(cell).agg(F.sort_array(F.collect_list(TIME)).alias("_times"))
+    placed, valued = axis.select(TIME).distinct(), found.where(F.col(VALUE).isNotNull())
+    if minutes == 0:
+        placed = time_cells(placed)
+        valued = valued.join(placed, TIME)
+    else:
+        cell = F.floor(epoch_us(TIME) / F.lit(minutes * 60_000_000 * CELL_BINS))
+        placed, valued = (df.withColumn("_cell", cell) for df in (placed, valued))
+    times = placed.groupBy("_cell").agg(F.sort_array(F.collect_list(TIME)).alias("_times"))
     members = stations.select(STATION).distinct()
     if requested is None:
         members = members.withColumn("position", F.lit(None).cast("int"))
@@ -107,7 +128,7 @@ def unfold_in_order(
     each = times.withColumn("_roster", F.explode(F.sequence(F.lit(0).cast("bigint"), rosters_n - F.lit(1))))
     cells = each.repartition(tasks, "_cell", "_roster").join(rosters, "_roster")
     cells = cells.select("_cell", "_times", F.inline("_members"))
-    values = found.where(F.col(VALUE).isNotNull()).groupBy(STATION, cell).agg(
+    values = valued.groupBy(STATION, "_cell").agg(
         F.map_from_entries(F.collect_list(F.struct(TIME, VALUE))).alias("_values")
     )
     ordered = cells.join(values, [STATION, "_cell"], "left").orderBy(

@@ -64,4 +64,5 @@ def ordered_series(
     obs: DataFrame, requested: DataFrame | None = None, minutes: int | None = DEFAULT_MINUTES
 ) -> DataFrame:
     """The rows of `harvest_series` in output order, sorted as cells of many times before they are unfolded."""
-    return unfold_in_order(*series_parts(obs, minutes), requested, minutes or DEFAULT_MINUTES)
+    width = DEFAULT_MINUTES if minutes is None else minutes
+    return unfold_in_order(*series_parts(obs, minutes), requested, width)

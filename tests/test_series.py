@@ -10,13 +10,13 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from gaugeloom.operators.align import align_stations, order_output, to_long, to_wide
+from gaugeloom.operators.align import CELL_BINS, align_stations, order_output, time_cells, to_long, to_wide
 from gaugeloom.operators.dedupe import (
     concat_order, dedupe_keep_first, duplicate_report, merge_harvests,
 )
 from gaugeloom.operators.gaps import gap_runs, interpolate_linear
 from gaugeloom.operators.resample import bin_origin, dense_bins, repair_resample, resample_first
-from gaugeloom.plans.series import harvest_series
+from gaugeloom.plans.series import harvest_series, ordered_series
 from helpers import OBS, at, binned, by_key, first_of_times, obs_frame, recipe, repaired
 
 BURSTY = st.lists(
@@ -237,3 +237,13 @@ def test_no_station_is_dropped_when_all_its_values_are_missing(spark):
                    ("B", at(0)): -99999.0, ("B", at(15)): -99999.0}
     assert at(15) == at(0) + timedelta(minutes=15)
     assert OBS.startswith("station")
+
+
+def test_native_cells_hold_as_many_times_however_dense(spark):
+    dense = [("A" if i % 2 else "B", 1 + i / 1000, float(i)) for i in range(700)]
+    obs = obs_frame(spark, [*dense, *[("A", 1440 * d, 1.0) for d in range(1, 200)]])
+    cells = time_cells(obs.select("time").distinct()).orderBy("time").collect()
+    assert [c["_cell"] for c in cells] == [i // CELL_BINS for i in range(899)]
+    got = ordered_series(obs, minutes=0).collect()
+    assert [(r["station"], r["time"]) for r in got] == [(s, c["time"]) for s in "AB" for c in cells]
+    assert {(r["station"], r["time"]): r["value"] for r in got} == by_key(harvest_series(obs, minutes=0))
