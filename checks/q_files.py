@@ -168,17 +168,14 @@ def standard_source_model_meta(spark, sf):
 
 def land_gauge(spark, sf) -> str:
     """Events as gauge answers: two sensor classes by value, a folder per class and station."""
-    path = scratch(spark, "gauge")
     code = F.when(F.col("value") >= 50, 20).otherwise(94)
-    table(spark, sf, "events").select(
+    rows = table(spark, sf, "events").select(
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("data_time"),
         F.when(F.col("value") >= 20, F.col("value")).alias("data_value"),
         code.alias("class"),
         F.col("event_type").alias("station"),
-    ).write.format("xml").option("rootTag", "general").option("rowTag", "row").partitionBy(
-        "class", "station"
-    ).save(path)
-    return path
+    )
+    return W.write_xml(rows, scratch(spark, "gauge"), ("class", "station"))
 
 
 def land_gauge_days(spark, sf) -> str:
@@ -194,9 +191,7 @@ def land_gauge_days(spark, sf) -> str:
 
 
 def land_xml(spark, rows, name) -> str:
-    path = scratch(spark, name)
-    rows.write.format("xml").option("rootTag", "general").option("rowTag", "row").save(path)
-    return path
+    return W.write_xml(rows, scratch(spark, name))
 
 
 @check("read_gauge_obs", """
@@ -209,11 +204,11 @@ def read_gauge_obs(spark, sf):
 @check("gauge_first_of_repeats", P.with_(P.obs(unit="hour"), P.dedupe(), select="SELECT station, time, value FROM ded"))
 def gauge_first_of_repeats(spark, sf):
     """Gauge answers that repeat times: the provider's first row stays."""
-    path = scratch(spark, "gauge")
-    observations(spark, sf, unit="hour").select(
+    answers = observations(spark, sf, unit="hour").select(
         F.date_format("time", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("data_time"), F.col("value").alias("data_value"), "seq",
         F.lit(20).alias("class"), "station",
-    ).write.format("xml").option("rootTag", "general").option("rowTag", "row").partitionBy("class", "station").save(path)
+    )
+    path = W.write_xml(answers, scratch(spark, "gauge"), ("class", "station"))
     rows = gauge.read_gauge_obs(spark, path, "river_water_level").drop("class")
     return dedupe_keep_first(rows).drop("seq")
 

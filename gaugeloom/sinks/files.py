@@ -11,6 +11,9 @@ from gaugeloom.operators.metadata import filled_meta
 from gaugeloom.plans.series import ordered_series
 from gaugeloom.schema import DAY, DEFAULT_MINUTES, FILE_ROOTS, RUN_DAY
 
+#: An XML file is read whole by one task, so landed files are bounded: some 20 MB of short rows.
+XML_ROWS = 100_000
+
 
 def artifact_path(root: str, source: str, *parts: str | None, meta: bool = False) -> str:
     """`{root}/{source root}[_meta]_{part}_...`; missing parts drop out."""
@@ -85,7 +88,15 @@ def write_landed(
     by = [*folders, DAY]
     dated = df.withColumn(DAY, F.to_date(F.col(time).cast("timestamp_ntz")))
     rows = dated.repartitionByRange(*by, time)
-    rows.write.mode("append").format(fmt).options(**options).partitionBy(*by).save(path)
+    bound = {"maxRecordsPerFile": XML_ROWS} if fmt == "xml" else {}
+    rows.write.mode("append").format(fmt).options(**{**bound, **options}).partitionBy(*by).save(path)
+    return path
+
+
+def write_xml(df: DataFrame, path: str, by: tuple[str, ...] = (), rows: int = XML_ROWS) -> str:
+    """Write rows as the gauge provider's XML, at most `rows` to a file, under folders of `by` where it is given."""
+    out = df.write.format("xml").options(rootTag="general", rowTag="row", maxRecordsPerFile=rows)
+    (out.partitionBy(*by) if by else out).save(path)
     return path
 
 

@@ -13,7 +13,7 @@ from gaugeloom.plans import harvests as H
 from gaugeloom.plans import windows as W
 from gaugeloom.plans.series import harvest_series, ordered_series
 from gaugeloom.session import scratch, stage
-from gaugeloom.sinks.files import write_landed, write_model_runs, write_series
+from gaugeloom.sinks.files import write_landed, write_model_runs, write_series, write_xml
 from gaugeloom.sources import gauge, lists, model, tide
 from gaugeloom.sources.registry import SourceRegistry, standard_sources
 from gaugeloom.streaming.series import append_to, merge_stream, merged, stream_resample
@@ -435,3 +435,14 @@ def test_merge_over_a_new_checkpoint(spark):
         merge_stream(spark.readStream.schema(frame.schema).parquet(landing), out, state).awaitTermination()
     assert by_key(merged(spark, out)) == {("A", at(0)): 1.0, ("A", at(6)): 2.0, ("A", at(12)): 3.0, ("B", at(3000)): 4.0}
     assert merged(spark, out).count() == 4
+
+
+def test_landed_xml_files_are_bounded(spark, tmp_path):
+    rows = spark.range(0, 950, 1, 1).select(
+        *[F.concat(F.lit(c), F.col("id").cast("string")).alias(c) for c in ("site_id", "or_site_id", "sensor_class", "or_sensor_id", "location")]
+    )
+    path = write_xml(rows, f"{tmp_path}/sensors", rows=100)
+    files = [p.read_text() for p in (tmp_path / "sensors").glob("part-*")]
+    assert len(files) == 10 and max(f.count("<row>") for f in files) == 100
+    found = gauge.read_gauge_sensor_meta(spark, path).select(*rows.columns)
+    assert sorted(found.collect()) == sorted(rows.collect())
