@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeloom.functions.runs import grid_cast_name, parse_run_url, run_start
+from gaugeloom.functions.runs import grid_cast_name, parse_run_url, run_start, station_token
 from gaugeloom.functions.values import mask_below
 from gaugeloom.operators.matching import of_listed_runs, present_runs, run_stations
 from gaugeloom.operators.metadata import standard_meta
@@ -76,11 +76,13 @@ def read_product(spark: SparkSession, path: str, product: str = "water_level") -
 
 def read_meta(spark: SparkSession, path: str) -> DataFrame:
     """Standard metadata of all named nodes: place and owner from the first run by URL that has the station."""
-    nodes = read_model_nodes(spark, f"{path}/nodes")
-    placed = nodes.join(run_stations(nodes), ["url", "node_idx"])
-    name = grid_cast_name(parse_run_url("url")["grid"], parse_run_url("url")["ensemble"])
-    first = placed.groupBy(STATION).agg(F.min_by(F.struct("x", "y", "source", name.alias("name")), "url").alias("_n"))
-    named = first.select(
-        STATION, F.col("_n.y").alias("LAT"), F.col("_n.x").alias("LON"), F.col("_n.name").alias("NAME"), F.col("_n.source")
+    nodes = read_model_nodes(spark, f"{path}/nodes").where(F.col("url").isNotNull() & F.col("node_idx").isNotNull())
+    # The first node of the first run is the least (url, node): one aggregate, of which a task sends a row a station.
+    first = F.min_by(F.struct("url", "x", "y", "source"), F.struct("url", "node_idx")).alias("_n")
+    found = nodes.groupBy(station_token("station_name").alias(STATION)).agg(first)
+    parts = parse_run_url("_n.url")
+    named = found.select(
+        STATION, F.col("_n.y").alias("LAT"), F.col("_n.x").alias("LON"),
+        grid_cast_name(parts["grid"], parts["ensemble"]).alias("NAME"), F.col("_n.source"),
     )
     return standard_meta(named, F.col("source"))
