@@ -8,7 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from gaugeloom.plans.series import harvest_series
-from gaugeloom.schema import DEFAULT_MINUTES
+from gaugeloom.schema import DEFAULT_MINUTES, SEQ, STATION, TIME, VALUE
+from gaugeloom.session import stage
 from gaugeloom.sources import gauge, model, tide
 
 Reader = Callable[..., DataFrame]
@@ -40,8 +41,9 @@ class SourceRegistry:
     def series(
         self, spark: SparkSession, name: str, path: str, minutes: int = DEFAULT_MINUTES, **options
     ) -> DataFrame:
-        """Repaired, resampled, aligned and filled series of a source."""
-        return self.observations(spark, name, path, **options).transform(harvest_series, minutes)
+        """Repaired, resampled, aligned and filled series of a source, whose rows are read and joined once."""
+        rows = self.observations(spark, name, path, **options).select(STATION, TIME, VALUE, SEQ)
+        return harvest_series(stage(rows, name.lower()), minutes)
 
 
 def standard_sources() -> SourceRegistry:
