@@ -47,6 +47,10 @@ def user_ranges(spark, sf) -> DataFrame:
     )
 
 
+#: What the URL of an order is made of. Lines are dealt by order once, and the URL is made after they are joined.
+RUN_FIELDS = ("o_orderdate", "o_orderpriority", "o_orderstatus")
+
+
 def run_columns(shift_years: int = 0) -> list:
     """Run URL parts of an order. Urgent orders are storms, numbered instead of timed."""
     start = F.col("o_orderdate") - F.make_ym_interval(F.lit(shift_years))
@@ -72,27 +76,27 @@ def runs(spark, sf, shift_years: int = 0) -> DataFrame:
 
 def model_series(spark, sf, shift_years: int = 0) -> DataFrame:
     """Line items as model output: node = supplier, time = ship date."""
-    urls = table(spark, sf, "orders").select("o_orderkey", run_columns(shift_years)[1])
+    orders = table(spark, sf, "orders").select("o_orderkey", *RUN_FIELDS)
     lines = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_suppkey", "l_shipdate", "l_extendedprice"
-    )
+    ).repartition("l_orderkey")
     steps = lines.groupBy("l_orderkey", "l_suppkey", "l_shipdate").agg(
         F.max(F.lit(20000.0) - F.col("l_extendedprice")).alias("zeta")
     )
-    return steps.join(urls, steps.l_orderkey == urls.o_orderkey).select(
-        "url", F.col("l_suppkey").cast("int").alias("node_idx"),
+    return steps.join(orders, steps.l_orderkey == orders.o_orderkey).select(
+        run_columns(shift_years)[1], F.col("l_suppkey").cast("int").alias("node_idx"),
         F.col("l_shipdate").alias("time"), "zeta",
     )
 
 
 def model_nodes(spark, sf, shift_years: int = 0) -> DataFrame:
     """The nodes of each run, with a padded station name led by the station id."""
-    urls = table(spark, sf, "orders").select("o_orderkey", run_columns(shift_years)[1])
-    found = table(spark, sf, "lineitem").select("l_orderkey", "l_suppkey").distinct()
-    placed = found.join(urls, found.l_orderkey == urls.o_orderkey)
+    orders = table(spark, sf, "orders").select("o_orderkey", *RUN_FIELDS)
+    found = table(spark, sf, "lineitem").select("l_orderkey", "l_suppkey").repartition("l_orderkey").distinct()
+    placed = found.join(orders, found.l_orderkey == orders.o_orderkey)
     supplier = table(spark, sf, "supplier")
     return placed.join(supplier, placed.l_suppkey == supplier.s_suppkey).select(
-        "url",
+        run_columns(shift_years)[1],
         F.col("s_suppkey").cast("int").alias("node_idx"),
         F.col("s_acctbal").alias("x"),
         F.col("s_nationkey").cast("double").alias("y"),
