@@ -9,6 +9,8 @@ from gaugeloom.functions.times import epoch_us
 from gaugeloom.schema import STATION, TIME, VALUE
 
 BLOCK_MINUTES = 60
+#: Model output has minutes to days between its times: in blocks of 90 days a block is many rows, not one.
+MODEL_BLOCK_MINUTES = 90 * 1440
 
 
 def linear(p: Column, pt: Column, n: Column, nt: Column, t: Column) -> Column:

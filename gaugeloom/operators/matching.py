@@ -29,6 +29,13 @@ def match_stations(requested: DataFrame, nodes: DataFrame) -> DataFrame:
     return wanted.groupBy("url", "position", STATION).agg(F.min("node_idx").alias("node_idx"))
 
 
+def requested_pairs(requested: DataFrame, nodes: DataFrame) -> DataFrame:
+    """`distinct_pairs(match_stations(requested, nodes))` without positions: each run's first nodes collapse to
+    distinct pairs before they meet the request, so no row of a run is shuffled by station."""
+    pairs = run_stations(nodes).select(STATION, "node_idx").distinct()
+    return pairs.join(requested.select(STATION).distinct(), [STATION], "left_semi")
+
+
 def unmatched_stations(requested: DataFrame, nodes: DataFrame) -> DataFrame:
     """Requested stations that no run has."""
     known = nodes.select(station_token("station_name").alias(STATION)).distinct()
@@ -56,17 +63,19 @@ def node_lookup(station_nodes: DataFrame, series: DataFrame) -> DataFrame:
     return joined.select("url", STATION, "node_idx", *rest)
 
 
-def of_listed_runs(series: DataFrame, runs: DataFrame) -> DataFrame:
-    """Rows of the listed runs.
+def of_listed_days(series: DataFrame, runs: DataFrame) -> DataFrame:
+    """A table landed by run day (`write_model_runs`) cut to the days of the listed runs: a broadcast of one short
+    row a day, by which the scan leaves other days' folders unopened. Other tables stay as they are."""
+    if RUN_DAY not in series.columns:
+        return series
+    days = runs.where(F.col("url") != "").select(run_day("url").alias(RUN_DAY)).distinct()
+    return series.join(F.broadcast(days), RUN_DAY, "left_semi")
 
-    A table landed by run day (`write_model_runs`) is first cut to the days of the list: a broadcast of one short
-    row a day, by which the scan leaves other days' folders unopened.
-    """
+
+def of_listed_runs(series: DataFrame, runs: DataFrame) -> DataFrame:
+    """Rows of the listed runs; of a table landed by run day only the days of the list are opened."""
     listed = runs.where(F.col("url") != "").select("url")
-    if RUN_DAY in series.columns:
-        days = listed.select(run_day("url").alias(RUN_DAY)).distinct()
-        series = series.join(F.broadcast(days), RUN_DAY, "left_semi")
-    return series.join(listed.distinct(), "url", "left_semi")
+    return of_listed_days(series, runs).join(listed.distinct(), "url", "left_semi")
 
 
 def present_runs(runs: DataFrame, landed: DataFrame) -> DataFrame:

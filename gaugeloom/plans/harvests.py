@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from gaugeloom.functions.runs import grid_cast_name, to_nowcast_url
 from gaugeloom.functions.times import day_slice, time_slice
 from gaugeloom.functions.values import convert_units, mask_below
+from gaugeloom.operators.gaps import BLOCK_MINUTES, MODEL_BLOCK_MINUTES
 from gaugeloom.operators.matching import (
-    distinct_pairs, match_stations, node_pairs, of_listed_runs, unmatched_stations,
+    node_pairs, of_listed_days, of_listed_runs, requested_pairs, unmatched_stations,
 )
 from gaugeloom.operators.metadata import resolve_site, standard_meta
 from gaugeloom.operators.periods import (
@@ -44,6 +45,7 @@ class Harvest:
     minutes: int | None = DEFAULT_MINUTES
     stop: str | datetime | None = None
     ledger: DataFrame | None = None
+    block_minutes: int = BLOCK_MINUTES
 
     @cached_property
     def staged(self) -> DataFrame:
@@ -53,7 +55,7 @@ class Harvest:
     @cached_property
     def data(self) -> DataFrame:
         """Repaired, resampled, aligned and filled series."""
-        return harvest_series(self.staged, self.minutes)
+        return harvest_series(self.staged, self.minutes, block_minutes=self.block_minutes)
 
     @cached_property
     def excluded(self) -> DataFrame:
@@ -74,7 +76,7 @@ class Harvest:
     def write(self, root: str, tag: str | None = None) -> tuple[str, str]:
         """Write data and metadata; the names follow from the run unless a tag is given."""
         tag = tag or self.tag()
-        data = write_series(self.staged, root, self.source, tag, self.product, self.requested, self.minutes)
+        data = write_series(self.staged, root, self.source, tag, self.product, self.requested, self.minutes, self.block_minutes)
         return data, write_meta(self.meta, root, self.source, tag)
 
 
@@ -207,17 +209,17 @@ def model_harvest(
     Spark cuts the model output down to them in the scan's own tasks.
     """
     listed = runs.where(F.col("url") != "")
-    # Landed runs outside the list go before anything is summed or joined, by folder where they have any.
-    series = of_listed_runs(series, listed)
+    # Folders outside the list stay closed; other runs go where the list is joined for what it says of a run.
+    series = of_listed_days(series, listed)
     if station_nodes is not None:
         pairs = stage(node_pairs(station_nodes), "pairs")
         requested = station_nodes.select(
             (F.col("serial_nr") - 1).alias("position"), F.col("stationid").alias(STATION)
         )
-        unmatched = unmatched_nodes(pairs, series)
+        unmatched = unmatched_nodes(pairs, of_listed_runs(series, listed))
     else:
         landed = nodes.join(listed.select("url"), ["url"], "left_semi")
-        pairs = stage(distinct_pairs(match_stations(requested, landed)).drop("position"), "pairs")
+        pairs = stage(requested_pairs(requested, landed), "pairs")
         unmatched = unmatched_stations(requested, landed)
 
     casts = run_cast(series, listed)
@@ -241,7 +243,7 @@ def model_harvest(
     )
     return ModelHarvest(
         "ASGS", "water_level", requested, rows, meta, 0, casts=casts, unmatched=unmatched, runs=runs,
-        meta_with_cast=meta.withColumn("CAST", cast),
+        meta_with_cast=meta.withColumn("CAST", cast), block_minutes=MODEL_BLOCK_MINUTES,
     )
 
 

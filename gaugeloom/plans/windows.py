@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gaugeloom.functions.values import fill_missing
 from gaugeloom.operators.align import align_in_groups
+from gaugeloom.operators.gaps import BLOCK_MINUTES
 from gaugeloom.operators.periods import rows_in_windows, windows_table
 from gaugeloom.operators.resample import bin_axis, bin_counts, station_spans
 from gaugeloom.operators.runs import assert_single_cast, with_run_parts
@@ -20,7 +21,9 @@ from gaugeloom.session import stage
 WINDOW = "window_no"
 
 
-def windowed_series(rows: DataFrame, minutes: int | None = DEFAULT_MINUTES, fill: float = FILL_VALUE) -> DataFrame:
+def windowed_series(
+    rows: DataFrame, minutes: int | None = DEFAULT_MINUTES, fill: float = FILL_VALUE, block_minutes: int = BLOCK_MINUTES
+) -> DataFrame:
     """The series recipe in each window, and the windows merged: `(station, time, value)`.
 
     `rows` are observations with the number of their window. Within a window the recipe is that of
@@ -35,7 +38,7 @@ def windowed_series(rows: DataFrame, minutes: int | None = DEFAULT_MINUTES, fill
     keyed = rows.select(F.struct(WINDOW, STATION).alias(STATION), TIME, VALUE, SEQ)
     parts = [F.col(STATION)[WINDOW].alias(WINDOW), F.col(STATION)[STATION].alias(STATION)]
     if minutes == 0:
-        found = native_series(keyed)
+        found = native_series(keyed, block_minutes=block_minutes)
         axis = rows.select(WINDOW, TIME).distinct()
         members = rows.select(WINDOW, STATION).distinct()
     else:
@@ -63,7 +66,7 @@ def backfill(windows: list[tuple], harvest: Callable[..., Harvest]) -> DataFrame
     """
     whole = harvest(min(min(w) for w in windows), max(max(w) for w in windows))
     spark = whole.rows.sparkSession
-    return windowed_series(rows_in_windows(whole.staged, windows_table(spark, windows)), whole.minutes)
+    return windowed_series(rows_in_windows(whole.staged, windows_table(spark, windows)), whole.minutes, block_minutes=whole.block_minutes)
 
 
 def backfill_runs(
@@ -86,4 +89,4 @@ def backfill_runs(
     batches = assert_single_cast(whole.casts.join(placed.select("url", WINDOW), "url"), WINDOW)
     met = stage(whole.rows, "model").join(placed.select("url", WINDOW), "url")
     checked = met.join(batches.where(F.col("cast").isNotNull()).select(WINDOW), WINDOW)
-    return windowed_series(checked.select(WINDOW, STATION, TIME, VALUE, SEQ), 0)
+    return windowed_series(checked.select(WINDOW, STATION, TIME, VALUE, SEQ), 0, block_minutes=whole.block_minutes)

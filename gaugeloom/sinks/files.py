@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gaugeloom.functions.runs import run_day
 from gaugeloom.operators.align import order_output, output_form
+from gaugeloom.operators.gaps import BLOCK_MINUTES
 from gaugeloom.operators.metadata import filled_meta
 from gaugeloom.plans.series import ordered_series
 from gaugeloom.schema import DAY, DEFAULT_MINUTES, FILE_ROOTS, RUN_DAY
@@ -52,12 +53,13 @@ def write_series(
     product: str = "water_level",
     requested: DataFrame | None = None,
     minutes: int | None = DEFAULT_MINUTES,
+    block_minutes: int = BLOCK_MINUTES,
 ) -> str:
     """Write the aligned series of raw observations as `write_long` does, with the same lines in the same order.
 
     What is sorted are cells of many times; the sorted tasks unfold them into the files.
     """
-    return _write_ordered(ordered_series(obs, requested, minutes), root, source, tag, product)
+    return _write_ordered(ordered_series(obs, requested, minutes, block_minutes), root, source, tag, product)
 
 
 def write_meta(meta: DataFrame, root: str, source: str, tag: str) -> str:

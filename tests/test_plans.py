@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gaugeloom.operators import periods
+from gaugeloom.operators.gaps import MODEL_BLOCK_MINUTES
 from gaugeloom.plans import harvests as H
 from gaugeloom.plans import windows as W
 from gaugeloom.plans.series import harvest_series, ordered_series
@@ -446,3 +447,38 @@ def test_landed_xml_files_are_bounded(spark, tmp_path):
     assert len(files) == 10 and max(f.count("<row>") for f in files) == 100
     found = gauge.read_gauge_sensor_meta(spark, path).select(*rows.columns)
     assert sorted(found.collect()) == sorted(rows.collect())
+
+
+def test_a_source_is_read_once_for_its_series(spark, tmp_path):
+    obs = obs_frame(spark, [("A", 1, 1.0), ("B", 20, 2.0)])
+    obs.write.parquet(f"{tmp_path}/landed")
+    registry = SourceRegistry()
+    registry.register("own", lambda session, path: session.read.schema(obs.schema).parquet(path), None)
+    found = registry.series(spark, "own", f"{tmp_path}/landed")
+    assert all("/own-" in f for f in found.inputFiles())
+    assert by_key(found) == by_key(harvest_series(obs))
+
+
+def test_model_metadata_come_from_one_aggregate(spark, tmp_path):
+    url = "https://x/{}/HSOFS/m/i/nowcast/f".format
+    rows = [(url("2021090100"), 7, 1.0, 2.0, " A x ", "late"), (url("2021083100"), 9, 3.0, 4.0, " A x ", "second node"),
+            (url("2021083100"), 8, 5.0, 6.0, " A x ", "first node"), (url("2021090100"), 9, 7.0, 8.0, " B ", "b")]
+    schema = "url string, node_idx int, x double, y double, station_name string, source string"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/nodes")
+    meta = model.read_meta(spark, str(tmp_path))
+    assert "Join" not in meta._jdf.queryExecution().executedPlan().toString()
+    got = sorted((r["STATION"], r["LAT"], r["LON"], r["NAME"], r["OWNER"]) for r in meta.collect())
+    assert got == [("A", 6.0, 5.0, "HSOFS_NOWCAST", "first node"), ("B", 8.0, 7.0, "HSOFS_NOWCAST", "b")]
+
+
+def test_stations_of_one_small_file_are_dealt_before_they_unfold(spark):
+    asked_ = spark.createDataFrame([(i, f"S{i}") for i in range(40)], "position int, station string").coalesce(1)
+    manifest = periods.harvest_manifest(asked_, "2021-09-01 00:00:00", "2021-09-04 12:00:00")
+    held = [r["n"] for r in manifest.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert len(held) > 1 and sum(held) == 160
+
+
+def test_model_rows_are_repaired_in_long_blocks(spark):
+    rows = [(s, 1440 * d, None if (d + len(s)) % 5 == 0 else float(d)) for s in ("A", "BB") for d in range(200)]
+    obs = obs_frame(spark, rows)
+    assert by_key(harvest_series(obs, 0, block_minutes=MODEL_BLOCK_MINUTES)) == by_key(harvest_series(obs, 0))

@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from checks.standins import model_nodes, model_series
 from gaugeloom.operators import matching as M
 from gaugeloom.operators import metadata as D
 from gaugeloom.operators import quality as Q
@@ -135,3 +136,25 @@ def test_missing_cap_and_empty(spark):
     day = data.withColumn("day", F.to_date("time"))
     assert {r["station"]: r["at_cap"] for r in Q.row_cap_check(day, ["day"], cap=2).collect()} == {
         "A": True, "B": False}
+
+
+def executed(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_requested_pairs_are_the_matches_without_runs(spark):
+    rows = [("u1", 5, " A x "), ("u1", 3, " A y "), ("u2", 4, " A z "), ("u2", 9, " B x "), ("u3", 9, " B x "), ("u3", 1, " C ")]
+    nodes = spark.createDataFrame(rows, "url string, node_idx int, station_name string")
+    wanted = spark.createDataFrame([(0, "A"), (1, "B"), (2, "A"), (3, "Q")], "position int, station string")
+    want = M.distinct_pairs(M.match_stations(wanted, nodes)).select("station", "node_idx").collect()
+    assert sorted(M.requested_pairs(wanted, nodes).collect()) == sorted(want) == [("A", 3), ("A", 4), ("B", 9)]
+
+
+def test_lines_of_the_runs_are_shuffled_by_order_once(spark, small):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert executed(model_series(spark, small)).count("Exchange hashpartitioning") == 2
+        # Lines, orders, then their rows and the suppliers.
+        assert executed(model_nodes(spark, small)).count("Exchange hashpartitioning") == 4
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
