@@ -40,8 +40,13 @@ def daily_periods(df: DataFrame, start="start", end="end", as_of=None) -> DataFr
 
 
 def harvest_manifest(stations: DataFrame, start, end, as_of=None) -> DataFrame:
-    """One request per station and day period. Each station row unfolds its own periods."""
-    ranged = stations.withColumns({"_from": time_literal(start), "_to": time_literal(end)})
+    """One request per station and day period. Each station row unfolds its own periods.
+
+    A list of stations is a small file of few tasks, and unfolds to many times its rows: stations are dealt out
+    first, to a fixed number of partitions that the adaptive plan does not pack by their size.
+    """
+    tasks = int(stations.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = stations.repartition(tasks, STATION).withColumns({"_from": time_literal(start), "_to": time_literal(end)})
     return daily_periods(ranged, "_from", "_to", as_of).drop("_from", "_to")
 
 
@@ -130,6 +135,12 @@ def range_bucket_join(
     return rows.join(days, [*on, "_day"], "inner").where(in_period(time)).drop("_day")
 
 
+def plan_periods(plan: DataFrame) -> DataFrame:
+    """The distinct periods of a plan, joined by shuffles. Spark takes a plan to be as small as the list of stations
+    it unfolds from, and would broadcast all periods of a long one to every task."""
+    return plan.select(STATION, "period_start", "period_end").distinct().hint("merge")
+
+
 def request_ledger(manifest: DataFrame, obs: DataFrame, cap: int = REQUEST_ROW_CAP) -> DataFrame:
     """The manifest with what each request brought: `rows` landed in its period, and `status`.
 
@@ -137,7 +148,7 @@ def request_ledger(manifest: DataFrame, obs: DataFrame, cap: int = REQUEST_ROW_C
     the period is too short to be cut. `done`: all others. Rows are counted where they landed, one day's
     periods against that day's rows.
     """
-    periods = manifest.select(STATION, "period_start", "period_end").distinct()
+    periods = plan_periods(manifest)
     found = range_bucket_join(obs, periods, on=[STATION]).groupBy(*periods.columns).agg(F.count("*").alias("rows"))
     counted = manifest.join(found, periods.columns, "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
     short = F.col("period_end") < F.col("period_start") + F.make_dt_interval(secs=F.lit(2))

@@ -18,7 +18,7 @@ from gaugeloom.operators.matching import (
 )
 from gaugeloom.operators.metadata import resolve_site, standard_meta
 from gaugeloom.operators.periods import (
-    gauge_requests, harvest_manifest, range_bucket_join, request_ledger,
+    gauge_requests, harvest_manifest, plan_periods, range_bucket_join, request_ledger,
 )
 from gaugeloom.operators.products import select_sensor_class
 from gaugeloom.operators.quality import excluded_stations, harvest_counts, row_cap_check
@@ -149,8 +149,7 @@ def gauge_harvest(
     sliced, ledger = _of_stations(_of_range(own, start, end), requested), None
     if plan is not None:
         ledger = request_ledger(plan, sliced, cap)
-        periods = plan.select(STATION, "period_start", "period_end").distinct()
-        sliced = range_bucket_join(sliced, periods, on=[STATION]).drop("period_start", "period_end")
+        sliced = range_bucket_join(sliced, plan_periods(plan), on=[STATION]).drop("period_start", "period_end")
     metric = sliced.withColumn(VALUE, convert_units(VALUE))
     located = resolve_site(sensors, sites, sensor).join(
         requested.select(STATION).distinct(), STATION, "left_semi"
@@ -169,8 +168,7 @@ def gauge_plan(
 
 def capped_requests(obs: DataFrame, plan: DataFrame, cap: int = REQUEST_ROW_CAP) -> DataFrame:
     """Rows each planned request brought, and whether it may have been cut at the provider's cap."""
-    periods = plan.select(STATION, "period_start", "period_end").distinct()
-    placed = range_bucket_join(obs, periods, on=[STATION])
+    placed = range_bucket_join(obs, plan_periods(plan), on=[STATION])
     return row_cap_check(placed, ["period_start", "period_end"], cap)
 
 

@@ -482,3 +482,10 @@ def test_model_rows_are_repaired_in_long_blocks(spark):
     rows = [(s, 1440 * d, None if (d + len(s)) % 5 == 0 else float(d)) for s in ("A", "BB") for d in range(200)]
     obs = obs_frame(spark, rows)
     assert by_key(harvest_series(obs, 0, block_minutes=MODEL_BLOCK_MINUTES)) == by_key(harvest_series(obs, 0))
+
+
+def test_periods_of_a_plan_are_not_broadcast(spark):
+    plan = H.gauge_plan(asked(spark, "A", "B"), "2021-09-01 00:00:00", "2021-09-04 12:00:00")
+    found = H.capped_requests(obs_frame(spark, [("A", 1, 1.0), ("A", 2, 1.0), ("B", 1500, 2.0)]), plan, cap=2)
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r["station"], r["rows"], r["at_cap"]) for r in found.collect()) == [("A", 2, True), ("B", 1, False)]
